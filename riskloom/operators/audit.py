@@ -7,13 +7,12 @@ from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.config import RiskConfig
 from riskloom.roles import POST_EVENT_NAMES, SENSITIVE_NAMES, SNAPSHOT_NAMES
 
-REPORT_SCHEMA = T.StructType.fromDDL(
-    """
+REPORT_SCHEMA = """
     status string,
     checks struct<
         temporal_order_valid: boolean,
@@ -33,7 +32,6 @@ REPORT_SCHEMA = T.StructType.fromDDL(
     warnings array<string>,
     recommendations array<string>
     """
-)
 
 
 def temporal_order(splits: DataFrame, time: str) -> DataFrame:

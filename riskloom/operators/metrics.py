@@ -83,15 +83,20 @@ def evaluate(
     df: DataFrame,
     label: str,
     score: str,
-    threshold: float,
+    threshold: float | str,
     beta: float,
     limits: ScaleLimits,
     keys: Sequence[str] = (),
     rows: int | None = None,
 ) -> DataFrame:
-    """All metrics per key from the ranked scores, in one aggregation."""
+    """All metrics per key from the ranked scores, in one aggregation.
+
+    ``threshold`` is a number, or the key column that holds it.
+    """
     ranked = ranked_scores(df, keys, label, score, limits, rows)
-    hit = decision(F.col("score"), threshold) == 1
+    own = isinstance(threshold, str)
+    at = F.col(threshold).cast("double") if own else F.lit(float(threshold))
+    hit = decision(F.col("score"), at) == 1
 
     def total(condition: Column, count: str) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col(count))), F.lit(0))
@@ -103,8 +108,8 @@ def evaluate(
         total(~hit, "positives").alias("fn"),
         *[c.alias(n) for n, c in _area_columns().items()],
     )
-    return with_ratios(totals.withColumn("threshold", F.lit(float(threshold))), beta).select(
-        *keys,
+    return with_ratios(totals.withColumn("threshold", at), beta).select(
+        *[k for k in keys if k != "threshold"],
         "threshold",
         "precision",
         "recall",

@@ -283,7 +283,7 @@ def run_artifacts(spark: SparkSession, run_id: str, folder: str) -> DataFrame:
 
 
 def compare_models(
-    splits: DataFrame, cfg: RiskConfig, names: Sequence[str] = C.MODEL_NAMES
+    splits: DataFrame, cfg: RiskConfig, names: Sequence[str] = C.COMPARED_MODELS
 ) -> DataFrame:
     """Metrics per model and split, each model at its own F-beta threshold.
 
