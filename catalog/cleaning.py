@@ -175,9 +175,9 @@ def _(spark, sf_dir):
 
 @query(
     "calendar_features",
-    """SELECT CAST(hour(t) AS INTEGER) AS transaction_hour,
-      CAST(isodow(t) - 1 AS INTEGER) AS transaction_dayofweek,
-      CAST(month(t) AS INTEGER) AS transaction_month,
+    """SELECT coalesce(CAST(hour(t) AS INTEGER), -1) AS transaction_hour,
+      coalesce(CAST(isodow(t) - 1 AS INTEGER), -1) AS transaction_dayofweek,
+      coalesce(CAST(month(t) AS INTEGER), -1) AS transaction_month,
       CASE WHEN isodow(t) >= 6 THEN 1 ELSE 0 END AS is_weekend,
       CASE WHEN hour(t) BETWEEN 0 AND 5 THEN 1 ELSE 0 END AS is_night, count(*) AS n_rows
     FROM (SELECT CASE WHEN event_id % 50 <> 0 THEN ts END AS t FROM events)
@@ -186,7 +186,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     time = F.when(F.col("_source_pos") % 50 != 0, F.col("date"))
     features = transactions(spark, sf_dir).select(
-        *[c.alias(n) for n, c in calendar_features(time).items()]
+        # -1 shows a missing time; whole numbers with gaps compare badly.
+        *[F.coalesce(c, F.lit(-1)).alias(n) for n, c in calendar_features(time).items()]
     )
     return features.groupBy(*features.columns).agg(F.count("*").alias("n_rows"))
 

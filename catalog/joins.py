@@ -76,7 +76,7 @@ def _cards(spark, sf_dir):
 @query(
     "card_join",
     f"""WITH {_CARDS_SQL}
-    SELECT card_type, c.client_id AS client_id_card, count(*) AS n_rows,
+    SELECT card_type, coalesce(c.client_id, -1) AS client_id_card, count(*) AS n_rows,
       CAST(sum(k.client_id) AS BIGINT) AS client_sum, round(sum(amount), 2) AS amount_sum
     FROM keyed k LEFT JOIN cards c ON k.card_id IS NOT DISTINCT FROM c.id GROUP BY 1, 2""",
 )
@@ -89,7 +89,8 @@ def _(spark, sf_dir):
         "_card",
         CFG.limits,
     )
-    return joined.groupBy("card_type", "client_id_card").agg(
+    shown = joined.withColumn("client_id_card", F.coalesce("client_id_card", F.lit(-1)))
+    return shown.groupBy("card_type", "client_id_card").agg(
         F.count("*").alias("n_rows"),
         F.sum("client_id").alias("client_sum"),
         F.round(F.sum("amount"), 2).alias("amount_sum"),

@@ -11,7 +11,6 @@ from catalog.domain import (
     TX_SQL,
     order_transactions,
     rounded,
-    scored,
     split_sql,
     stamp,
     table,
@@ -25,14 +24,16 @@ from riskloom.operators.split import split_bounds, split_summary, temporal_split
 
 @query(
     "target_distribution",
-    """SELECT is_fraud, count(*) AS "count", round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6)
+    """SELECT coalesce(is_fraud, -1) AS is_fraud, count(*) AS "count", round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6)
     AS rate FROM (SELECT CASE WHEN event_id % 11 <> 0 THEN CAST(event_type = 'error' AS INTEGER) END
-    AS is_fraud FROM events) GROUP BY is_fraud""",
+    AS is_fraud FROM events) GROUP BY 1""",
 )
 def _(spark, sf_dir):
     known = F.when(F.col("_source_pos") % 11 != 0, F.col("is_fraud"))
     tx = transactions(spark, sf_dir).withColumn("is_fraud", known)
-    return rounded(P.target_distribution(tx, "is_fraud"), ["rate"])
+    shares = P.target_distribution(tx, "is_fraud")
+    shown = shares.withColumn("is_fraud", F.coalesce("is_fraud", F.lit(-1)))
+    return rounded(shown, ["rate"])
 
 
 @query(
