@@ -71,7 +71,7 @@ def _(spark, sf_dir):
     )
     counts = pin(category_counts(df, ["category"]))
     index = category_index(counts, CFG.min_category_count)
-    return index.withColumn("is_rare", F.col("is_rare").cast("int"))
+    return index.frame.withColumn("is_rare", F.col("is_rare").cast("int"))
 
 
 @query(
@@ -199,8 +199,7 @@ def _(spark, sf_dir):
 @query("predict_csv")
 def _(spark, sf_dir):
     """Transactions written as CSV, read back, scored and persisted with their scores."""
-    ensure_checkpoint_dir(spark)
-    folder = join_path(spark.sparkContext.getCheckpointDir(), f"predict-{uuid4().hex}")
+    folder = join_path(ensure_checkpoint_dir(spark), f"predict-{uuid4().hex}")
     source, target = join_path(folder, "in"), join_path(folder, "out")
     _raw(spark, sf_dir).drop("_source_pos").write.option("header", True).csv(source)
     _service(spark, sf_dir).predict_csv(spark, source, target, fmt="parquet")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
+from typing import Any
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
@@ -66,51 +68,63 @@ def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def most_frequent_values(counts: DataFrame) -> DataFrame:
+def most_frequent_values(counts: DataFrame) -> dict[str, str]:
     """The filling value per feature: most rows, then smallest value."""
-    return (
-        counts.filter(F.col("value").isNotNull())
-        .groupBy("feature")
-        .agg(F.min(F.struct((-F.col("rows")).alias("r"), F.col("value").alias("value"))).alias("b"))
-        .select("feature", F.col("b.value").alias("mode"))
-    )
+    best = F.min(F.struct((-F.col("rows")).alias("r"), F.col("value").alias("value")))
+    rows = counts.filter(F.col("value").isNotNull()).groupBy("feature").agg(best.alias("b"))
+    return {r["feature"]: r["b"]["value"] for r in rows.collect()}
+
+
+@dataclass(frozen=True)
+class CategoryIndex:
+    """The indexed values (pinned) and, per feature, the few numbers about them."""
+
+    frame: DataFrame
+    modes: dict[str, str]
+    values: dict[str, int]
+    frequent: dict[str, int]
+    any_rare: dict[str, bool]
+
+
+def _per_feature(values: dict[str, Any], kind: str) -> Column:
+    pairs = [F.lit(x) for f, v in values.items() for x in (f, v)]
+    return F.create_map(*pairs)[F.col("feature")].cast(kind)
 
 
-def category_index(counts: DataFrame, min_rows: int) -> DataFrame:
+def category_index(counts: DataFrame, min_rows: int) -> CategoryIndex:
     """Index per (feature, value); all rare values share the last index.
 
-    Missing values count for the most frequent value, which replaces them.
-    ``slots`` is the number of one-hot columns of the feature.
+    Missing values count for the most frequent value, which replaces them;
+    features without any value are left out. ``slots`` is the number of one-hot
+    columns. Only what there is one of per feature passes through the driver.
     """
     modes = most_frequent_values(counts)
-    totals = (
-        counts.join(F.broadcast(modes), "feature")
-        .groupBy("feature", F.coalesce("value", "mode").alias("value"))
+    if not modes:
+        return CategoryIndex(counts.limit(0), {}, {}, {}, {})
+    totals = pin(
+        counts.filter(F.col("feature").isin(*modes))
+        .groupBy("feature", F.coalesce("value", _per_feature(modes, "string")).alias("value"))
         .agg(F.sum("rows").alias("rows"))
         .withColumn("is_rare", F.col("rows") < min_rows)
     )
+    sizes = (
+        totals.groupBy("feature")
+        .agg(F.count("*").alias("values"), F.count_if("is_rare").alias("rare"))
+        .collect()
+    )
+    values = {r["feature"]: r["values"] for r in sizes}
+    frequent = {r["feature"]: r["values"] - r["rare"] for r in sizes}
+    any_rare = {r["feature"]: r["rare"] > 0 for r in sizes}
     # Only the values that become columns are numbered in one task per feature.
     in_order = Window.partitionBy("feature").orderBy("value")
-    frequent = totals.filter(~F.col("is_rare")).withColumn(
-        "index", F.row_number().over(in_order) - 1
-    )
-    widths = totals.groupBy("feature").agg(
-        F.count_if(~F.col("is_rare")).alias("_frequent"), F.bool_or("is_rare").alias("_any_rare")
-    )
-    rare = totals.filter("is_rare").join(F.broadcast(widths), "feature").withColumn(
-        "index", F.col("_frequent").cast("int")
-    )
-    numbered = frequent.select("feature", "value", "rows", "is_rare", "index").unionByName(
-        rare.select("feature", "value", "rows", "is_rare", "index")
-    )
-    return numbered.join(F.broadcast(widths), "feature").select(
-        "feature",
-        "value",
-        "rows",
-        "is_rare",
-        F.col("index").cast("int").alias("index"),
-        (F.col("_frequent") + F.col("_any_rare").cast("int")).cast("int").alias("slots"),
+    numbered = (
+        totals.filter(~F.col("is_rare"))
+        .withColumn("index", F.row_number().over(in_order) - 1)
+        .unionByName(totals.filter("is_rare").withColumn("index", _per_feature(frequent, "int")))
     )
+    slots = {f: n + any_rare[f] for f, n in frequent.items()}
+    frame = pin(numbered.withColumn("slots", _per_feature(slots, "int")))
+    return CategoryIndex(frame, modes, values, frequent, any_rare)
 
 
 class TabularEncoder(Estimator):
@@ -134,8 +148,9 @@ class TabularEncoder(Estimator):
                     f"{width} one-hot columns exceed {limits.max_categories}: "
                     "drop the free-text columns or raise min_category_count"
                 )
-            categories = pin(category_index(counts, self.cfg.min_category_count))
-            described = self._describe(counts, categories, list(groups.categorical))
+            index = category_index(counts, self.cfg.min_category_count)
+            categories = index.frame
+            described = self._describe(index, list(groups.categorical))
         return TabularEncoderModel(
             {
                 "numeric": numeric_statistics(dataset, list(groups.numeric), limits),
@@ -146,26 +161,21 @@ class TabularEncoder(Estimator):
         )
 
     @staticmethod
-    def _describe(counts: DataFrame, categories: DataFrame, order: list[str]) -> list[dict]:
-        modes = {r["feature"]: r["mode"] for r in most_frequent_values(counts).collect()}
-        sizes = categories.groupBy("feature").agg(
-            F.count("*").alias("values"), F.bool_or("is_rare").alias("any_rare")
-        )
-        known = {r["feature"]: r for r in sizes.collect()}
-        slots: dict[str, list[str]] = {f: [] for f in known}
-        shown = categories.filter(~F.col("is_rare")).select("feature", "value", "index")
+    def _describe(index: CategoryIndex, order: list[str]) -> list[dict]:
+        slots: dict[str, list[str]] = {f: [] for f in index.modes}
+        shown = index.frame.filter(~F.col("is_rare")).select("feature", "value", "index")
         for r in sorted(shown.collect(), key=lambda r: r["index"]):
             slots[r["feature"]].append(f"{r['feature']}_{r['value']}")
-        for feature, row in known.items():
-            if row["any_rare"]:
+        for feature, any_rare in index.any_rare.items():
+            if any_rare:
                 shared = f"{feature}_{INFREQUENT}"
                 while shared in slots[feature]:
                     shared += "_"
                 slots[feature].append(shared)
         return [
-            {"name": f, "mode": modes[f], "values": known[f]["values"], "slots": slots[f]}
+            {"name": f, "mode": index.modes[f], "values": index.values[f], "slots": slots[f]}
             for f in order
-            if f in known
+            if f in index.modes
         ]
 
 

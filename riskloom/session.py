@@ -3,29 +3,36 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the session names; make one only if it names none."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the session names; a new one only if it names none."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get(CHECKPOINT_KEY, None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="riskloom-checkpoint-")
-    context.setCheckpointDir(shared)
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get(CHECKPOINT_KEY, None)
+        if shared is None:
+            if not context.master.startswith("local"):
+                raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
+            shared = tempfile.mkdtemp(prefix="riskloom-checkpoint-")
+        context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Materialize ``df`` in the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared checkpoint folder and read that instead.
+
+    This cuts the lineage like a checkpoint. Being Parquet, later steps read only
+    the columns they use, and Spark knows the size when it picks a join.
+    """
+    spark = df.sparkSession
+    path = join_path(ensure_checkpoint_dir(spark), f"pinned-{uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
