@@ -115,7 +115,7 @@ def _(spark, sf_dir):
       count(*) FILTER (WHERE score < 0.12 AND is_fraud = 0) AS tn,
       count(*) FILTER (WHERE score < 0.12 AND is_fraud = 1) AS fn FROM scored GROUP BY split),
     r AS (SELECT split, tp, fp, tn, fn, {RATIOS_SQL} FROM outcomes)
-    SELECT split, 0.12 AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall,
+    SELECT split, CAST(0.12 AS DOUBLE) AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall,
       round(f1, 6) AS f1, round(fbeta, 6) AS fbeta, round(pr_auc, 6) AS pr_auc,
       round(roc_auc, 6) AS roc_auc, tp, fp, tn, fn FROM r JOIN areas USING (split)""",
 )

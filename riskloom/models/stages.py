@@ -23,7 +23,7 @@ from riskloom.models.classifiers import balanced_weight, class_counts, classifie
 from riskloom.models.encoder import FEATURES, TabularEncoder, TabularEncoderModel
 from riskloom.operators.cleaning import clean
 from riskloom.operators.history import FeatureHistory, behaviour_features, row_features
-from riskloom.roles import LABEL, WEIGHT, Roles
+from riskloom.roles import LABEL, WEIGHT, Roles, feature_groups
 from riskloom.session import join_path, pin
 
 
@@ -135,7 +135,9 @@ def prepare(train: DataFrame, cfg: RiskConfig) -> PreparedTraining:
     if roles.group and roles.time and roles.amount:
         history = FeatureHistory.of(train, roles)
         history = FeatureHistory(history.rows, pin(history.compact), history.last_micros)
-    featured = pin(behaviour_features(row_features(train, roles), roles, cfg.limits))
+    featured = behaviour_features(row_features(train, roles), roles, cfg.limits)
+    groups = feature_groups(featured.schema, cfg)
+    featured = pin(featured.select(cfg.target, *groups.numeric, *groups.categorical))
     encoder = TabularEncoder(cfg).fit(featured)
     vectors = pin(
         encoder.transform(featured).select(

@@ -79,22 +79,32 @@ def history_rows(train: DataFrame, roles: Roles) -> DataFrame:
 
 
 def compact_history(history: DataFrame, roles: Roles) -> DataFrame:
-    """The last rows of each group, the oldest of them standing for all before it.
+    """The last rows of each group, and one row standing for all rows before them.
 
-    Gives the same features as the whole history to rows later than all of it.
+    The stand-in lies just outside the look-back of any later row, so its missing
+    amount is never seen; only its count is. Gives the same features as the whole
+    history to rows later than all of it. Both parts shrink before the shuffle.
     """
     newest_first = Window.partitionBy(roles.group).orderBy(
         F.col(roles.time).desc_nulls_first(), F.col(SOURCE_POS).desc()
     )
-    last = history.withColumn("_back", F.row_number().over(newest_first)).filter(
-        F.col("_back") <= LOOKBACK
+    one = F.lit(1).cast("bigint")
+    last = (
+        history.withColumn("_back", F.row_number().over(newest_first))
+        .filter(F.col("_back") <= LOOKBACK)
+        .select(*history.columns, one.alias(_STANDS_FOR))
     )
-    sizes = history.groupBy(F.col(roles.group).alias("_g")).agg(F.count("*").alias("_n"))
-    oldest = F.least(F.col("_n"), F.lit(LOOKBACK))
-    stands_for = F.when(F.col("_back") == oldest, F.col("_n") - oldest + 1).otherwise(1)
-    return last.join(sizes, F.col(roles.group).eqNullSafe(F.col("_g"))).select(
-        *history.columns, stands_for.cast("bigint").alias(_STANDS_FOR)
+    rest = (
+        history.groupBy(roles.group)
+        .agg(
+            F.min(roles.time).alias(roles.time),
+            F.min(SOURCE_POS).alias(SOURCE_POS),
+            (F.count("*") - LOOKBACK).alias(_STANDS_FOR),
+        )
+        .filter(F.col(_STANDS_FOR) > 0)
+        .withColumn(roles.amount, F.lit(None).cast(history.schema[roles.amount].dataType))
     )
+    return last.unionByName(rest)
 
 
 def behaviour_features(

@@ -25,10 +25,10 @@ class SplitBounds:
     test_micros: int
 
     def split_column(self) -> Column:
-        at = F.unix_micros(F.col(self.time_column).cast("timestamp"))
+        at = F.col(self.time_column).cast("timestamp")
         return (
-            F.when(at < self.validation_micros, SPLITS[0])
-            .when(at < self.test_micros, SPLITS[1])
+            F.when(at < F.timestamp_micros(F.lit(self.validation_micros)), SPLITS[0])
+            .when(at < F.timestamp_micros(F.lit(self.test_micros)), SPLITS[1])
             .when(at.isNotNull(), SPLITS[2])
         )
 
@@ -70,7 +70,10 @@ def split_bounds(df: DataFrame, cfg: RiskConfig, time: str | None = None) -> Spl
 
 def temporal_split(df: DataFrame, cfg: RiskConfig, time: str | None = None) -> DataFrame:
     """Add ``split``; rows without a time are dropped."""
-    bounds = split_bounds(df, cfg, time)
+    return split_at(df, split_bounds(df, cfg, time))
+
+
+def split_at(df: DataFrame, bounds: SplitBounds) -> DataFrame:
     kept = drop_missing_time(df, bounds.time_column)
     return kept.withColumn("split", bounds.split_column())
 

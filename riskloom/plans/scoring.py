@@ -15,7 +15,7 @@ from riskloom.models.classifiers import positive_score
 from riskloom.operators.cleaning import with_row_position
 from riskloom.operators.enrich import enrich
 from riskloom.roles import ORIGINAL, SOURCE_POS, normalize_headers
-from riskloom.session import join_path, path_exists
+from riskloom.session import join_path, path_exists, pin
 from riskloom.sources.files import read_csv
 from riskloom.sources.sinks import read_document, write_document
 
@@ -74,7 +74,9 @@ class ScoringService:
             self.dimensions.get("users"),
             self.dimensions.get("mcc"),
         )
-        scored = self.pipeline.transform(wide)
+        # Stored once: finding the history to use reads only times and groups of it.
+        cleaner, *learned = self.pipeline.stages
+        scored = PipelineModel(learned).transform(pin(cleaner.transform(wide)))
         score = positive_score(scored)
         return scored.select(
             f"{ORIGINAL}.*",

@@ -14,10 +14,10 @@ from riskloom.models import stages
 from riskloom.models.classifiers import positive_score
 from riskloom.operators import audit
 from riskloom.operators.cleaning import clean
-from riskloom.operators.enrich import supervised_table
+from riskloom.operators.enrich import enrich, join_labels, keyed_transactions, labels_frame
 from riskloom.operators.limits import first_rows
 from riskloom.operators.metrics import evaluate
-from riskloom.operators.split import split_summary, temporal_split
+from riskloom.operators.split import split_at, split_bounds, split_summary
 from riskloom.operators.thresholds import (
     configured_table,
     find_best_threshold,
@@ -26,7 +26,7 @@ from riskloom.operators.thresholds import (
 from riskloom.plans import tracking as K
 from riskloom.plans.scoring import save_model
 from riskloom.plans.store import RunStore
-from riskloom.roles import Roles, first_present
+from riskloom.roles import SOURCE_POS, Roles, first_present
 from riskloom.session import join_path, pin
 from riskloom.sources import artifacts, sinks
 from riskloom import config as C
@@ -50,12 +50,25 @@ class Training:
 
 
 def supervised_splits(raw: Mapping[str, DataFrame], cfg: RiskConfig) -> DataFrame:
-    """Limit, join, clean and split the raw tables; written once, read by every later step."""
+    """Limit, join, clean and split the raw tables into one stored table.
+
+    The boundaries come from ids and times alone: dimensions only widen the rows
+    that survive cleaning. So the wide table is computed and written just once,
+    with a folder per part that later steps read by itself.
+    """
     limited = first_rows(raw["transactions"], cfg.max_rows, cfg.limits)
-    merged = supervised_table(
-        limited, raw["labels"], cfg, raw.get("cards"), raw.get("users"), raw.get("mcc")
-    )
-    return pin(temporal_split(pin(clean(merged, cfg)), cfg))
+    labelled = join_labels(keyed_transactions(limited), labels_frame(raw["labels"], cfg))
+    wide = clean(enrich(labelled, cfg, raw.get("cards"), raw.get("users"), raw.get("mcc")), cfg)
+    time = Roles.of(wide.columns).time
+    if time is None:
+        raise ValueError("no time column to split by")
+    if time in labelled.columns:
+        needed = [c for c in ("transaction_id", time, SOURCE_POS) if c in labelled.columns]
+        times = clean(labelled.select(*needed), cfg).select(time)
+    else:
+        times = wide.select(time)
+    bounds = split_bounds(pin(times), cfg, time)
+    return pin(split_at(wide, bounds), by=["split"])
 
 
 def score_later_splits(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,18 +25,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def pin(df: DataFrame) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+def pin(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read that instead.
 
     This cuts the lineage like a checkpoint. Being Parquet, later steps read only
-    the columns they use, and Spark knows the size when it picks a join.
+    the columns they use, and Spark knows the size when it picks a join. Filters
+    on the columns in ``by`` read only the matching folders.
     """
     spark = df.sparkSession
     path = join_path(ensure_checkpoint_dir(spark), f"pinned-{uuid4().hex}")
-    df.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def pinned_scope(spark: SparkSession):
+    """Drop the tables pinned inside the block when it ends, as a stream needs."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, on whatever file system its scheme names."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Artifact type per file name; any other file is "other".
@@ -63,8 +65,9 @@ def folder_digest(spark: SparkSession, directory: str) -> str:
 def folder_inventory(spark: SparkSession, directory: str) -> DataFrame:
     """(name, sha256, size_bytes) per entry of a folder, its own parts added up."""
     files = file_digests(spark, directory, recursive=True)
-    base = F.regexp_replace(F.lit(directory.rstrip("/")), "^[a-z0-9]+:/+", "/")
-    inside = F.substring_index(F.col("uri"), F.concat(base, F.lit("/")), -1)
+    # Spark reports the folder with its scheme, whether or not it was given with one.
+    base = re.sub("^[a-z0-9]+:/+", "/", directory.rstrip("/")) + "/"
+    inside = F.substring_index("uri", base, -1)
     return (
         files.withColumn("name", F.element_at(F.split(inside, "/"), 1))
         .groupBy("name")

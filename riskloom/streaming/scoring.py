@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.plans.scoring import ScoringService
-from riskloom.session import join_path
+from riskloom.session import join_path, pinned_scope
 
 BATCH = "batch"
 
@@ -27,7 +27,8 @@ def start_scoring(
 
     def write_batch(batch: DataFrame, number: int) -> None:
         folder = join_path(target, f"{BATCH}={number}")
-        service.predict_frame(batch).write.mode("overwrite").parquet(folder)
+        with pinned_scope(batch.sparkSession):
+            service.predict_frame(batch).write.mode("overwrite").parquet(folder)
 
     return (
         records.writeStream.foreachBatch(write_batch)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.config import ScaleLimits
 from riskloom.operators.history import (
     BEHAVIOUR_COLUMNS,
+    LOOKBACK,
     FeatureHistory,
     behaviour_features,
     history_rows,
@@ -52,7 +53,7 @@ def expected(current, history=None):
     both = now if history is None else pd.concat([history.assign(past=1), now])
     both = both.sort_values(["date", "past", SOURCE_POS], na_position="last", kind="stable")
     out = {}
-    for _, group in both.groupby(both["card_id"].astype("object").fillna(-1)):
+    for _, group in both.groupby(both["card_id"].astype(float).fillna(-1)):
         amounts = group["amount"].to_numpy(float)
         for i, (pos, past) in enumerate(zip(group[SOURCE_POS], group["past"])):
             if past:
@@ -97,7 +98,8 @@ def test_compact_history_gives_the_same_features(spark, limits):
     now = to_spark(spark, current)
     chosen = history.rows_for(now, ROLES)
     assert chosen is history.compact
-    assert chosen.count() <= 5 * 5
+    # Five cards, the missing one included: the last rows and one stand-in each.
+    assert chosen.count() <= 5 * (LOOKBACK + 1)
     check(behaviour_features(now, ROLES, limits, chosen), expected(current, past))
 
 
