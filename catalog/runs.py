@@ -458,10 +458,9 @@ def _(spark, sf_dir):
     scored = _scored(spark, sf_dir)
     wide = K.metrics_by_split(_metrics(scored, _chosen(_evaluations(scored))))
     narrow = pin(wide.select("run_id", "test_pr_auc", "test_business_cost"))
-    rows = narrow.count()
-    ranked = K.dense_ranks(narrow, "test_pr_auc", "test_pr_auc_rank", CFG.limits, True, rows)
+    ranked = K.dense_ranks(narrow, "test_pr_auc", "test_pr_auc_rank", CFG.limits, True)
     ranked = K.dense_ranks(
-        ranked, "test_business_cost", "test_business_cost_rank", CFG.limits, False, rows
+        ranked, "test_business_cost", "test_business_cost_rank", CFG.limits, False
     )
     return ranked.select("run_id", "test_pr_auc_rank", "test_business_cost_rank")
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import Model, PipelineModel, Transformer
 from pyspark.ml.param import Param, Params
@@ -44,20 +45,27 @@ class HistoryFeaturesModel(Model, MLWritable, MLReadable):
     """Adds row features and the features that look back at the training rows."""
 
     config = Param(Params._dummy(), "config", "settings as JSON")
+    roles = Param(Params._dummy(), "roles", "column names found in training as JSON")
     last_micros = Param(Params._dummy(), "last_micros", "last training time, or missing")
 
     def __init__(
-        self, cfg: RiskConfig | None = None, history: FeatureHistory | None = None
+        self,
+        cfg: RiskConfig | None = None,
+        roles: Roles | None = None,
+        history: FeatureHistory | None = None,
     ) -> None:
         super().__init__()
         self._set(config=(cfg or RiskConfig()).to_json())
+        self._set(roles=json.dumps(asdict(roles or Roles(None, None, None, None))))
         if history is not None and history.last_micros is not None:
             self._set(last_micros=history.last_micros)
         self.history = history
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         limits = RiskConfig.from_json(self.getOrDefault(self.config)).limits
-        roles = Roles.of(dataset.columns)
+        # Roles are those of training; a column the input lacks plays none.
+        fitted = json.loads(self.getOrDefault(self.roles))
+        roles = Roles(**{k: v if v in dataset.columns else None for k, v in fitted.items()})
         featured = row_features(dataset, roles)
         past = None
         if self.history is not None and roles.group and roles.time and roles.amount:
@@ -80,15 +88,20 @@ class _HistoryWriter(MLWriter):
     def saveImpl(self, path: str) -> None:
         DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
         if self.instance.history is not None:
-            self.instance.history.rows.write.parquet(join_path(path, "history"))
-            self.instance.history.compact.write.parquet(join_path(path, "history_compact"))
+            kept = {"history": self.instance.history.rows}
+            kept["history_compact"] = self.instance.history.compact
+            for name, rows in kept.items():
+                # Artifacts are hashed file by file, so no file may grow too large.
+                rows.write.option("maxRecordsPerFile", 10_000_000).parquet(join_path(path, name))
 
 
 class _HistoryReader(MLReader):
     def load(self, path: str) -> HistoryFeaturesModel:
         metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
         params = metadata["paramMap"]
-        model = HistoryFeaturesModel(RiskConfig.from_json(params["config"]))
+        model = HistoryFeaturesModel(
+            RiskConfig.from_json(params["config"]), Roles(**json.loads(params["roles"]))
+        )
         model._resetUid(metadata["uid"])
         if "last_micros" in params:
             model._set(last_micros=params["last_micros"])
@@ -147,7 +160,7 @@ def prepare(train: DataFrame, cfg: RiskConfig) -> PreparedTraining:
         )
     )
     return PreparedTraining(
-        sum(counts.values()), counts, HistoryFeaturesModel(cfg, history), encoder, vectors
+        sum(counts.values()), counts, HistoryFeaturesModel(cfg, roles, history), encoder, vectors
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.config import ScaleLimits
 from riskloom.functions.features import confusion_ratios, decision
 from riskloom.operators.ordering import running_sums
+from riskloom.session import pin
 
 
 def score_counts(df: DataFrame, keys: Sequence[str], label: str, score: str) -> DataFrame:
@@ -25,13 +26,14 @@ def ranked_scores(
     label: str,
     score: str,
     limits: ScaleLimits,
-    rows: int | None = None,
 ) -> DataFrame:
-    """Distinct scores with the counts at and above each: ``tp`` and ``fp``."""
-    counts = score_counts(df, keys, label, score)
-    rows = df.count() if rows is None else rows
+    """Distinct scores with the counts at and above each: ``tp`` and ``fp``.
+
+    The scored rows are read once; everything after that is on the stored counts.
+    """
+    counts = pin(score_counts(df, keys, label, score))
     sums = running_sums(
-        counts, keys, "score", ("positives", "negatives"), limits, descending=True, rows=rows
+        counts, keys, "score", ("positives", "negatives"), limits, descending=True
     )
     return sums.withColumns(
         {
@@ -87,13 +89,12 @@ def evaluate(
     beta: float,
     limits: ScaleLimits,
     keys: Sequence[str] = (),
-    rows: int | None = None,
 ) -> DataFrame:
     """All metrics per key from the ranked scores, in one aggregation.
 
     ``threshold`` is a number, or the key column that holds it.
     """
-    ranked = ranked_scores(df, keys, label, score, limits, rows)
+    ranked = ranked_scores(df, keys, label, score, limits)
     own = isinstance(threshold, str)
     at = F.col(threshold).cast("double") if own else F.lit(float(threshold))
     hit = decision(F.col("score"), at) == 1

@@ -12,7 +12,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.config import ScaleLimits
-from riskloom.session import pin
 
 RanksOf = Callable[[int], Sequence[int]]
 
@@ -235,9 +234,9 @@ def running_sums(
 ) -> DataFrame:
     """Add ``<measure>_before``: the sum over the rows that come earlier.
 
-    ``df`` has one row per (keys, order). Beyond ``limits.rows_per_run`` rows the
-    order column is cut into slices; each is summed by itself and shifted by the
-    totals of the slices before it.
+    ``df`` is stored (it is read several times) and has one row per (keys, order).
+    Beyond ``limits.rows_per_run`` rows the order column is cut into slices; each
+    is summed by itself and shifted by the totals of the slices before it.
     """
     keys = list(keys)
     rows = df.count() if rows is None else rows
@@ -252,9 +251,8 @@ def running_sums(
         window = Window.partitionBy(*keys).orderBy(by)
         return df.withColumns({f"{m}_before": before(m, window) for m in measures})
 
-    base = pin(df)
-    edges, _ = slice_edges(base, order, slices)
-    cut = cut_slices(base, order, edges, "_slice")
+    edges, _ = slice_edges(df, order, slices)
+    cut = cut_slices(df, order, edges, "_slice")
     local = Window.partitionBy(*keys, "_slice").orderBy(by)
     summed = cut.withColumns({f"_in_{m}": before(m, local) for m in measures})
 
@@ -270,6 +268,6 @@ def running_sums(
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return summed.join(offsets, same).select(
-        *base.columns,
+        *df.columns,
         *[(F.col(f"_in_{m}") + F.col(f"_off_{m}")).alias(f"{m}_before") for m in measures],
     )

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from riskloom.config import ScaleLimits
 from riskloom.operators.ordering import running_sums
+from riskloom.session import pin
 
 # The declared tables.
 SCHEMAS = {
@@ -277,13 +278,13 @@ def promotion_rollup(promotions: DataFrame) -> DataFrame:
 
 
 def dense_ranks(
-    df: DataFrame, value: str, out: str, limits: ScaleLimits, descending: bool, rows: int, by=()
+    df: DataFrame, value: str, out: str, limits: ScaleLimits, descending: bool, by=()
 ) -> DataFrame:
     """Add a dense rank, missing values last, from the running count of distinct values."""
     keys = [*by, value]
-    distinct = df.select(*keys).filter(F.col(value).isNotNull()).distinct()
+    distinct = pin(df.select(*keys).filter(F.col(value).isNotNull()).distinct())
     counted = running_sums(
-        distinct.withColumn("_one", F.lit(1)), by, value, ["_one"], limits, descending, rows
+        distinct.withColumn("_one", F.lit(1)), by, value, ["_one"], limits, descending
     )
     ranks = counted.select(
         *[F.col(k).alias(f"_r_{k}") for k in keys], (F.col("_one_before") + 1).alias(out)
@@ -317,8 +318,9 @@ def run_ranks(fact: DataFrame, limits: ScaleLimits, rows: int) -> DataFrame:
     """The four ranks per run, on the ranked columns alone."""
     narrow = fact.select("run_id", "model_name", "test_pr_auc", "test_fbeta", "test_business_cost")
     if rows > limits.rows_per_run:
+        narrow = pin(narrow)
         for out, value, descending, by in RANKS:
-            narrow = dense_ranks(narrow, value, out, limits, descending, rows, by)
+            narrow = dense_ranks(narrow, value, out, limits, descending, by)
     else:
         for out, value, descending, by in RANKS:
             order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
