@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.ml import Model, PipelineModel, Transformer
 from pyspark.ml.param import Param, Params
@@ -23,7 +23,12 @@ from riskloom.config import RiskConfig
 from riskloom.models.classifiers import balanced_weight, class_counts, classifier, top_features
 from riskloom.models.encoder import FEATURES, TabularEncoder, TabularEncoderModel
 from riskloom.operators.cleaning import clean
-from riskloom.operators.history import FeatureHistory, behaviour_features, row_features
+from riskloom.operators.history import (
+    FeatureHistory,
+    behaviour_features,
+    of_same_groups,
+    row_features,
+)
 from riskloom.roles import LABEL, WEIGHT, Roles, feature_groups
 from riskloom.session import join_path, pin
 
@@ -47,6 +52,7 @@ class HistoryFeaturesModel(Model, MLWritable, MLReadable):
     config = Param(Params._dummy(), "config", "settings as JSON")
     roles = Param(Params._dummy(), "roles", "column names found in training as JSON")
     last_micros = Param(Params._dummy(), "last_micros", "last training time, or missing")
+    has_missing_time = Param(Params._dummy(), "has_missing_time", "training rows without time")
 
     def __init__(
         self,
@@ -57,8 +63,8 @@ class HistoryFeaturesModel(Model, MLWritable, MLReadable):
         super().__init__()
         self._set(config=(cfg or RiskConfig()).to_json())
         self._set(roles=json.dumps(asdict(roles or Roles(None, None, None, None))))
-        if history is not None and history.last_micros is not None:
-            self._set(last_micros=history.last_micros)
+        if history is not None:
+            self._set(last_micros=history.last_micros, has_missing_time=history.has_missing_time)
         self.history = history
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
@@ -70,6 +76,7 @@ class HistoryFeaturesModel(Model, MLWritable, MLReadable):
         past = None
         if self.history is not None and roles.group and roles.time and roles.amount:
             past = self.history.rows_for(featured, roles)
+            past = of_same_groups(past, featured, roles.group, limits)
         return behaviour_features(featured, roles, limits, past)
 
     def write(self) -> MLWriter:
@@ -103,13 +110,12 @@ class _HistoryReader(MLReader):
             RiskConfig.from_json(params["config"]), Roles(**json.loads(params["roles"]))
         )
         model._resetUid(metadata["uid"])
-        if "last_micros" in params:
-            model._set(last_micros=params["last_micros"])
+        if "has_missing_time" in params:
+            facts = {k: params[k] for k in ("last_micros", "has_missing_time")}
+            model._set(**facts)
             read = self.sparkSession.read.parquet
             model.history = FeatureHistory(
-                read(join_path(path, "history")),
-                read(join_path(path, "history_compact")),
-                params["last_micros"],
+                read(join_path(path, "history")), read(join_path(path, "history_compact")), **facts
             )
         return model
 
@@ -147,7 +153,7 @@ def prepare(train: DataFrame, cfg: RiskConfig) -> PreparedTraining:
     history = None
     if roles.group and roles.time and roles.amount:
         history = FeatureHistory.of(train, roles)
-        history = FeatureHistory(history.rows, pin(history.compact), history.last_micros)
+        history = replace(history, compact=pin(history.compact))
     featured = behaviour_features(row_features(train, roles), roles, cfg.limits)
     groups = feature_groups(featured.schema, cfg)
     featured = pin(featured.select(cfg.target, *groups.numeric, *groups.categorical))

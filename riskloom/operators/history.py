@@ -51,20 +51,37 @@ class FeatureHistory:
     rows: DataFrame
     compact: DataFrame
     last_micros: int | None
+    has_missing_time: bool = False
 
     @classmethod
     def of(cls, train: DataFrame, roles: Roles) -> "FeatureHistory":
         kept = history_rows(train, roles)
-        last = kept.agg(F.max(_micros(F.col(roles.time)))).first()[0]
-        return cls(kept, compact_history(kept, roles), last)
+        at = _micros(F.col(roles.time))
+        last, missing = kept.agg(F.max(at), F.count_if(at.isNull())).first()
+        return cls(kept, compact_history(kept, roles), last, missing > 0)
 
     def rows_for(self, current: DataFrame, roles: Roles) -> DataFrame:
         """The compact form if all current rows are later than all history rows."""
+        if self.has_missing_time:
+            return self.rows
         first = current.agg(F.min(_micros(F.col(roles.time)))).first()[0]
         later = self.last_micros is None or first is None or first > self.last_micros
-        if not later or self.rows.filter(F.col(roles.time).isNull()).limit(1).count():
-            return self.rows
-        return self.compact
+        return self.compact if later else self.rows
+
+
+def of_same_groups(
+    history: DataFrame, current: DataFrame, group: str, limits: ScaleLimits
+) -> DataFrame:
+    """Leave out history of groups that do not occur, if those that do are few.
+
+    A small batch then reads the history but shuffles next to nothing of it.
+    """
+    groups = current.select(F.col(group).alias("_group")).distinct()
+    if groups.limit(limits.broadcast_rows + 1).count() > limits.broadcast_rows:
+        return history
+    return history.join(
+        F.broadcast(groups), F.col(group).eqNullSafe(F.col("_group")), "left_semi"
+    )
 
 
 def _micros(time: Column) -> Column:

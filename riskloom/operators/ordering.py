@@ -216,6 +216,8 @@ def slice_edges(df: DataFrame, column: str, slices: int) -> tuple[list[float], l
 
 def cut_slices(df: DataFrame, column: str, edges: Sequence[float], out: str) -> DataFrame:
     """Number the slice each row falls into; missing values get a number of their own."""
+    if len(edges) <= 2:
+        return df.withColumn(out, F.when(F.col(column).isNotNull(), F.lit(0)).otherwise(1))
     return (
         Bucketizer(splits=list(edges), inputCol=column, outputCol=out, handleInvalid="keep")
         .transform(df)

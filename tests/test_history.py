@@ -12,6 +12,7 @@ from riskloom.operators.history import (
     FeatureHistory,
     behaviour_features,
     history_rows,
+    of_same_groups,
 )
 from riskloom.roles import SOURCE_POS, Roles
 
@@ -101,6 +102,13 @@ def test_compact_history_gives_the_same_features(spark, limits):
     # Five cards, the missing one included: the last rows and one stand-in each.
     assert chosen.count() <= 5 * (LOOKBACK + 1)
     check(behaviour_features(now, ROLES, limits, chosen), expected(current, past))
+    # A batch of few cards needs the history of those cards alone.
+    some = current[current["card_id"].isin([2]) | current["card_id"].isna()]
+    few = to_spark(spark, some)
+    used = of_same_groups(chosen, few, "card_id", limits)
+    assert used.count() <= 2 * (LOOKBACK + 1)
+    check(behaviour_features(few, ROLES, limits, used), expected(some, past))
+    assert of_same_groups(chosen, few, "card_id", ScaleLimits(broadcast_rows=1)) is chosen
 
 
 def test_overlapping_rows_use_the_whole_history(spark):
@@ -109,6 +117,10 @@ def test_overlapping_rows_use_the_whole_history(spark):
     history = FeatureHistory.of(past, ROLES)
     overlapping = to_spark(spark, table(rng, 50, first_pos=500))
     assert history.rows_for(overlapping, ROLES) is history.rows
+    timeless = past.withColumn("date", F.when(F.col(SOURCE_POS) > 3, F.col("date")))
+    unsure = FeatureHistory.of(timeless, ROLES)
+    later = to_spark(spark, table(rng, 5, start="2025-01-01", first_pos=900))
+    assert unsure.rows_for(later, ROLES) is unsure.rows
 
 
 def test_hot_groups_are_cut_into_bounded_windows(spark):

@@ -5,10 +5,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.config import ScaleLimits
-from riskloom.operators.ordering import exact_quantiles, rank_values, running_sums
+from riskloom.operators.ordering import (
+    cut_slices,
+    exact_quantiles,
+    rank_values,
+    running_sums,
+    slice_edges,
+)
 
 # Limits this small force every refinement step and slice on tiny data.
-TINY = ScaleLimits(histogram_cells=16, rows_per_run=40)
+TINY = ScaleLimits(histogram_cells=32, rows_per_run=40)
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +54,22 @@ def test_quantiles_of_several_columns(spark, numbers):
     assert got["c"] is None
 
 
+def test_values_without_cuts_are_one_slice(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (None,)], "v double")
+    edges, heavy = slice_edges(df, "v", 1)
+    assert heavy == []
+    assert [r["s"] for r in cut_slices(df, "v", edges, "s").collect()] == [0, 0, 1]
+
+
+def test_a_very_frequent_value_is_a_slice_of_its_own(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(50)] + [(7.0,)] * 100, "v double")
+    edges, heavy = slice_edges(df, "v", 10)
+    assert heavy == [7.0]
+    sliced = cut_slices(df, "v", edges, "s")
+    same = sliced.filter("v = 7").select("s").distinct().first()[0]
+    assert sliced.filter((F.col("s") == same) & (F.col("v") != 7)).isEmpty()
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_sliced_running_sums_equal_one_window(spark, descending):
     rng = random.Random(5)
