@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from catalog.domain import (
     CFG,
     ORDER_TX_SQL,
-    TX_SQL,
     order_transactions,
     rounded,
     split_sql,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from catalog.domain import CFG, rounded, table, transactions
 from catalog.registry import query
 from riskloom.models import stages
-from riskloom.models.classifiers import balanced_weight, class_counts, positive_score
+from riskloom.models.classifiers import balanced_weight, class_counts
 from riskloom.models.encoder import (
     TabularEncoder,
     TabularEncoderModel,

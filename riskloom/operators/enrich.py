@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from riskloom import config as C
 from riskloom.config import RiskConfig, ScaleLimits
 from riskloom.functions.cleaning import label_flag
+from riskloom.operators.cleaning import first_per_key
 from riskloom.roles import MATCH_POS, SOURCE_POS, first_present, normalize_headers
 
 
@@ -88,11 +89,13 @@ def left_join_dimension(
     tx_key_names: Sequence[str],
     suffix: str,
     limits: ScaleLimits,
+    first_match: bool = False,
 ) -> DataFrame:
     """Add the dimension's columns; names already taken get ``suffix``.
 
-    Missing keys match missing keys and repeated keys repeat the transaction.
-    Nothing happens if the table is empty or a key is absent.
+    Missing keys match missing keys. Repeated keys repeat the transaction, unless
+    ``first_match`` keeps only the first row per key. Nothing happens if the table
+    is empty or a key is absent.
     """
     if is_empty(dimension):
         return tx
@@ -110,10 +113,19 @@ def left_join_dimension(
             if c != key
         ],
     ]
-    side = sized_broadcast(dim.select(*renamed), limits)
+    side = dim.select(*renamed)
+    if first_match:
+        side = first_per_key(side, "_dim_key", _match_order(side))
+    side = sized_broadcast(side, limits)
     return tx.join(side, tx[tx_key].eqNullSafe(side["_dim_key"]), "left").drop("_dim_key")
 
 
+def _match_order(side: DataFrame) -> list[str]:
+    """The position column if there is one, else all columns, to make "first" definite."""
+    positions = [c for c in side.columns if c.startswith(SOURCE_POS)]
+    return positions or [c for c in side.columns if c != "_dim_key"] or ["_dim_key"]
+
+
 def _dimension_name(column: str, taken: set[str], suffix: str) -> str:
     if column == SOURCE_POS:
         return f"{SOURCE_POS}{suffix}"
@@ -141,16 +153,29 @@ def supervised_table(
     return enrich(joined, cfg, cards, users, codes)
 
 
+def first_labelled(tx: DataFrame, labels: DataFrame, cfg: RiskConfig) -> DataFrame:
+    """The labelled transactions, only the first of each id.
+
+    Both sides are reduced by id and then joined by id, so wide rows are shuffled
+    once. The result equals joining first and dropping repeated ids afterwards.
+    """
+    first = first_per_key(tx, "transaction_id", [SOURCE_POS])
+    order = [SOURCE_POS] if SOURCE_POS in labels.columns else [cfg.target]
+    side = first_per_key(labels, "transaction_id", order).drop(SOURCE_POS)
+    return first.join(side, "transaction_id", "inner")
+
+
 def enrich(
     tx: DataFrame,
     cfg: RiskConfig,
     cards: DataFrame | None = None,
     users: DataFrame | None = None,
     codes: DataFrame | None = None,
+    first_match: bool = False,
 ) -> DataFrame:
     """The dimension joins alone, as needed when scoring unlabelled rows."""
     wide = left_join_dimension(
-        tx, cards, ("id", "card_id"), C.CARD_NAMES, "_card", cfg.limits
+        tx, cards, ("id", "card_id"), C.CARD_NAMES, "_card", cfg.limits, first_match
     )
     wide = left_join_dimension(
         wide,
@@ -159,6 +184,7 @@ def enrich(
         C.USER_NAMES,
         "_user",
         cfg.limits,
+        first_match,
     )
     wide = join_codes(wide, codes, cfg.limits)
     return _fold_positions(wide)

@@ -13,8 +13,15 @@ from riskloom.config import RiskConfig
 from riskloom.models import stages
 from riskloom.models.classifiers import positive_score
 from riskloom.operators import audit
-from riskloom.operators.cleaning import clean
-from riskloom.operators.enrich import enrich, join_labels, keyed_transactions, labels_frame
+from riskloom.functions.cleaning import null_texts
+from riskloom.operators.cleaning import clean, clean_values, with_row_position
+from riskloom.operators.enrich import (
+    enrich,
+    first_labelled,
+    join_labels,
+    keyed_transactions,
+    labels_frame,
+)
 from riskloom.operators.limits import first_rows
 from riskloom.operators.metrics import evaluate
 from riskloom.operators.split import split_at, split_bounds, split_summary
@@ -26,7 +33,7 @@ from riskloom.operators.thresholds import (
 from riskloom.plans import tracking as K
 from riskloom.plans.scoring import save_model
 from riskloom.plans.store import RunStore
-from riskloom.roles import SOURCE_POS, Roles, first_present
+from riskloom.roles import MATCH_POS, SOURCE_POS, Roles, first_present
 from riskloom.session import join_path, pin
 from riskloom.sources import artifacts, sinks
 from riskloom import config as C
@@ -52,23 +59,33 @@ class Training:
 def supervised_splits(raw: Mapping[str, DataFrame], cfg: RiskConfig) -> DataFrame:
     """Limit, join, clean and split the raw tables into one stored table.
 
-    The boundaries come from ids and times alone: dimensions only widen the rows
-    that survive cleaning. So the wide table is computed and written just once,
-    with a folder per part that later steps read by itself.
+    A first pass over ids and times alone settles which rows survive cleaning and
+    where the parts begin. The wide rows are then shuffled once, by id, and
+    written once, with a folder per part that later steps read by itself.
     """
-    limited = first_rows(raw["transactions"], cfg.max_rows, cfg.limits)
-    labelled = join_labels(keyed_transactions(limited), labels_frame(raw["labels"], cfg))
-    wide = clean(enrich(labelled, cfg, raw.get("cards"), raw.get("users"), raw.get("mcc")), cfg)
+    tx = keyed_transactions(
+        with_row_position(first_rows(raw["transactions"], cfg.max_rows, cfg.limits))
+    )
+    labels = labels_frame(raw["labels"], cfg)
+    dimensions = (raw.get("cards"), raw.get("users"), raw.get("mcc"))
+    wide = enrich(first_labelled(tx, labels, cfg), cfg, *dimensions, first_match=True)
     time = Roles.of(wide.columns).time
     if time is None:
         raise ValueError("no time column to split by")
-    if time in labelled.columns:
-        needed = [c for c in ("transaction_id", time, SOURCE_POS) if c in labelled.columns]
-        times = clean(labelled.select(*needed), cfg).select(time)
-    else:
-        times = wide.select(time)
-    bounds = split_bounds(pin(times), cfg, time)
-    return pin(split_at(wide, bounds), by=["split"])
+    if time not in tx.columns:
+        # The time comes from a dimension, so the first pass needs the joins too.
+        cleaned = pin(clean(wide, cfg))
+        return pin(split_at(cleaned, split_bounds(cleaned, cfg, time)), by=["split"])
+
+    narrow = join_labels(tx.select("transaction_id", time, SOURCE_POS), labels)
+    kept = pin(clean(narrow, cfg).select("transaction_id", time, SOURCE_POS))
+    bounds = split_bounds(kept, cfg, time)
+    # Ids are distinct already, except those that cleaning turns into the missing id.
+    unnamed = kept.filter(F.col("transaction_id").isNull()).select(SOURCE_POS).first()
+    named = null_texts(F.col("transaction_id")).isNotNull()
+    once = named if unnamed is None else named | (F.col(SOURCE_POS) == F.lit(unnamed[0]))
+    cleaned = clean_values(wide.filter(once), cfg).drop(MATCH_POS)
+    return pin(split_at(cleaned, bounds), by=["split"])
 
 
 def score_later_splits(

@@ -5,7 +5,6 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from helpers import DAY, days
 from riskloom.config import RiskConfig, ScaleLimits

@@ -5,13 +5,17 @@ import random
 from datetime import timedelta
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import types as T
 
 from helpers import DAY
 from riskloom.config import RiskConfig
+from riskloom.operators.cleaning import clean
+from riskloom.operators.enrich import supervised_table
+from riskloom.operators.split import temporal_split
 from riskloom.plans import training
 from riskloom.plans.scoring import PREDICTION_COLUMNS, ScoringService
 from riskloom.plans.store import RunStore
+from riskloom.roles import SOURCE_POS
 from riskloom.sources.files import load_all
 from riskloom.streaming.scoring import record_stream, scored_records, start_scoring
 
@@ -56,6 +60,35 @@ def test_splits_hold_the_labelled_rows(raw):
     assert last["train"] < first["validation"] and last["validation"] < first["test"]
 
 
+def test_one_wide_shuffle_equals_join_then_clean(spark):
+    """Repeated and missing-like ids, repeated labels and repeated card keys."""
+    rng = random.Random(4)
+    ids = [rng.choice(["", "nan", "None", None, *map(str, range(40))]) for _ in range(150)]
+    rows = [
+        (t, i, str(DAY + timedelta(hours=rng.randrange(900))), rng.choice([1, 2, 3, None]), f"${i}")
+        for i, t in enumerate(ids)
+    ]
+    tx = spark.createDataFrame(
+        rows, f"id string, {SOURCE_POS} bigint, date string, card_id bigint, amount string"
+    )
+    names = ["", "nan", "None", *map(str, range(30)), "5", "6"]
+    labels = spark.createDataFrame(
+        [(n, rng.choice(["Yes", "No"]), k) for k, n in enumerate(names)],
+        f"id string, target string, {SOURCE_POS} bigint",
+    )
+    cards = spark.createDataFrame(
+        [(k % 3 + 1, f"kind {k}", k) for k in range(5)] + [(None, "none", 9)],
+        f"id bigint, kind string, {SOURCE_POS} bigint",
+    )
+    cfg = RiskConfig(max_rows=140)
+    raw = {"transactions": tx, "labels": labels, "cards": cards}
+    got = training.supervised_splits(raw, cfg)
+    joined = supervised_table(tx.filter(f"{SOURCE_POS} < 140"), labels, cfg, cards)
+    want = temporal_split(clean(joined, cfg), cfg).select(*got.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert got.filter("transaction_id IS NULL").count() == 1
+
+
 def test_a_run_is_recorded(spark, finished):
     root, run_id = finished
     store = RunStore(spark, root)
