@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import packing, pieces, token_counts, training_order
+from riskloom.llm import neardup, packing, pieces, token_counts, training_order
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,6 +53,35 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+OP4_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t\\n\\v\\f\\r]+') AS w FROM documents
+), shingles AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words
+), single AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM shingles
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM single a JOIN single b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), links AS (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), smallest AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles, m.component_id, s.doc_id = m.component_id AS kept
+FROM shingles s JOIN smallest m ON m.a = s.doc_id
+"""
+
+
+@query("op4_minhash_neardup", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 @query("op5_training_order")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.training_order(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
