@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import neardup, packing, pieces, token_counts, training_order
+from riskloom.llm import neardup, packing, pieces, quality, token_counts, training_order
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,6 +48,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op2_quality_rules")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
 @query("op3_token_counts")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
