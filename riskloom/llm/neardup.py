@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.blocks import block_links
@@ -253,3 +253,21 @@ def member_sets(docs: DataFrame, groups: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sets[at : at + 1000], pa.binary())], names=["grp", "id", "payload"])
 
     return texts.mapInArrow(work, "grp long, id long, payload binary").filter(F.length("payload") > 0)
+
+
+def clean(docs: DataFrame, words: int, percent: int = 80) -> DataFrame:
+    """One document of each group: the rows of ``docs`` whose doc_id is their component's
+    smallest, with the same columns. Of several rows with one doc_id the one with the
+    smallest text stays; rows with a null doc_id all stay."""
+    scratch = Scratch(docs.sparkSession, "near-duplicates")
+    found = scratch.write(near_duplicates(docs, words, percent).select("doc_id", "kept"), "kept")
+    ids = found.filter("doc_id is not null").groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n"))
+    ids = scratch.write(ids.filter("not kept or n > 1"), "ids")
+    many = ids.filter("kept").select("doc_id")
+    sized = lambda x: F.broadcast(x) if x.count() <= BROADCAST_IDS else x
+    rest = docs.join(sized(ids.select("doc_id")), "doc_id", "left_anti").select(docs.columns)
+    if not many.limit(1).count():
+        return rest
+    order = Window.partitionBy("doc_id").orderBy("text")
+    again = docs.join(sized(many), "doc_id", "left_semi").withColumn("_rank", F.row_number().over(order))
+    return rest.union(again.filter("_rank = 1").select(docs.columns))

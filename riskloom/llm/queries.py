@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import neardup, packing, pieces, quality, token_counts, training_order
+from riskloom.llm import neardup, packing, pieces, quality, token_counts, toxicity, training_order
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,6 +97,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
 
 
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return made.select("doc_id", "held_out", "score", "predicted", F.size("offences").cast("long").alias("n_offences"))
+
+
 @query("op10_pieces")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = pieces.encode_decode(table(spark, sf_dir, "documents"), PIECE_MODEL)
