@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import neardup, packing, pieces, quality, token_counts, toxicity, training_order
+from riskloom.llm import licences, neardup, packing, pieces, quality, token_counts, toxicity, training_order, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,6 +92,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.training_order(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
 
 
+@query("op6_licences")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.summary(licences.scan(table(spark, sf_dir, "documents")))
+
+
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
@@ -103,6 +108,23 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "held_out", "score", "predicted", F.size("offences").cast("long").alias("n_offences"))
 
 
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest,
+    octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+@query("op9_warc", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).drop("payload")
+
+
 @query("op10_pieces")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = pieces.encode_decode(table(spark, sf_dir, "documents"), PIECE_MODEL)
