@@ -57,15 +57,13 @@ class Training:
 
 
 def supervised_splits(raw: Mapping[str, DataFrame], cfg: RiskConfig) -> DataFrame:
-    """Limit, join, clean and split the raw tables into one stored table.
+    """Join, clean and split the raw tables into one stored table.
 
     A first pass over ids and times alone settles which rows survive cleaning and
     where the parts begin. The wide rows are then shuffled once, by id, and
     written once, with a folder per part that later steps read by itself.
     """
-    tx = keyed_transactions(
-        with_row_position(first_rows(raw["transactions"], cfg.max_rows, cfg.limits))
-    )
+    tx = keyed_transactions(with_row_position(raw["transactions"]))
     labels = labels_frame(raw["labels"], cfg)
     dimensions = (raw.get("cards"), raw.get("users"), raw.get("mcc"))
     wide = enrich(first_labelled(tx, labels, cfg), cfg, *dimensions, first_match=True)
@@ -115,12 +113,20 @@ def choose_threshold(
     return find_best_threshold(validation, cfg.target, SCORE, cfg)
 
 
+def fit_rows(splits: DataFrame, cfg: RiskConfig) -> DataFrame:
+    """The training rows, or the first ``max_rows`` of them; other parts stay whole."""
+    rows = splits.filter(F.col("split") == "train").drop("split")
+    if cfg.max_rows is None:
+        return rows
+    return pin(first_rows(with_row_position(rows), cfg.max_rows, cfg.limits))
+
+
 def train(
     splits: DataFrame, cfg: RiskConfig, ready: stages.PreparedTraining | None = None
 ) -> Training:
     """Fit on train, choose the threshold on validation, evaluate and audit both."""
     roles = Roles.of(splits.columns)
-    model = stages.fit(splits.filter(F.col("split") == "train").drop("split"), cfg, ready)
+    model = stages.fit(fit_rows(splits, cfg), cfg, ready)
     scored = score_later_splits(splits, model, cfg)
     table = pin(configured_table(scored, cfg, cfg.target, SCORE))
     threshold, _ = choose_threshold(table, scored, cfg)
@@ -319,7 +325,7 @@ def compare_models(
 
     The encoded training rows are computed once and shared by all models.
     """
-    rows = splits.filter(F.col("split") == "train").drop("split")
+    rows = fit_rows(splits, cfg)
     ready = stages.prepare(rows, cfg)
     out = None
     for name in names:

@@ -82,6 +82,26 @@ def test_earliest_rows(spark, count, limits):
     assert got == list(range(min(count, 25)))
 
 
+def test_limit_is_exact_where_positions_repeat(spark):
+    df = spark.createDataFrame([(i, i // 4) for i in range(20)] + [(99, None)], f"id int, {SOURCE_POS} bigint")
+    for count in (1, 4, 6, 11, 20, 21):
+        got = [r[SOURCE_POS] for r in first_rows(df, count, SMALL).collect()]
+        assert sorted(got, key=lambda x: (x is None, x or 0)) == ([i // 4 for i in range(20)] + [None])[:count]
+
+
+@pytest.mark.parametrize("tie", ["text", "repeated", "number"])
+@pytest.mark.parametrize("count", [1, 3, 20, 27, 33, 40])
+def test_earliest_rows_are_the_same_on_both_sides_of_the_switch(spark, tie, count):
+    texts = ["b", "", "ab", "abcdefgh", "abcdefgi", "é", None, "abcdefg", "b\0", "zz"]
+    rows = [(DAY + timedelta(days=i // 20) if i < 36 else None, texts[i % 10], i % 3, (i * 7 % 10) / 4 - 1) for i in range(40)]
+    df = spark.createDataFrame(rows, "t timestamp, text string, repeated int, number double")
+    few, many = (
+        sorted(((r["t"], r[tie]) for r in earliest_rows(df, count, "t", tie, limits).collect()), key=repr)
+        for limits in (ScaleLimits(), ScaleLimits(histogram_cells=0 if count < 2 else 1))
+    )
+    assert few == many and len(few) == count
+
+
 def test_riskiest_rows(spark):
     df = spark.createDataFrame([(0.5, 1), (0.9, 2), (0.5, 0)], "s double, k int")
     assert [r["k"] for r in riskiest_rows(df, 2, "s", "k").collect()] == [2, 0]

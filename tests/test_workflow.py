@@ -19,7 +19,7 @@ from riskloom.roles import SOURCE_POS
 from riskloom.sources.files import load_all
 from riskloom.streaming.scoring import record_stream, scored_records, start_scoring
 
-CFG = RiskConfig(max_rows=380)
+CFG = RiskConfig()
 ROWS = 400
 
 
@@ -53,13 +53,25 @@ def finished(spark, raw, tmp_path_factory):
 def test_splits_hold_the_labelled_rows(raw):
     splits = training.supervised_splits(raw[0], CFG)
     rows = {r["transaction_id"]: r for r in splits.collect()}
-    assert set(rows) == {k for k in raw[2] if int(k) < 380}
+    assert set(rows) == set(raw[2])
     assert {"card_brand", "client_id_card", "gender", "mcc_description"} <= set(splits.columns)
     last = {s: max(r["date"] for r in rows.values() if r["split"] == s) for s in ("train", "validation")}
     first = {s: min(r["date"] for r in rows.values() if r["split"] == s) for s in ("validation", "test")}
     assert last["train"] < first["validation"] and last["validation"] < first["test"]
 
 
+def test_a_bound_on_training_rows_leaves_the_other_parts_whole(raw):
+    whole = training.supervised_splits(raw[0], CFG)
+    bounded = CFG.with_(max_rows=50)
+    splits = training.supervised_splits(raw[0], bounded)
+    count = lambda df: {r["split"]: r["count"] for r in df.groupBy("split").count().collect()}
+    assert count(splits) == count(whole) and whole.count() == len(raw[2])
+    rows = training.fit_rows(splits, bounded)
+    assert rows.count() == 50 and training.fit_rows(splits, CFG).count() == count(whole)["train"]
+    latest = rows.agg({SOURCE_POS: "max"}).first()[0]
+    assert splits.filter(f"split = 'train' and {SOURCE_POS} <= {latest}").count() == 50
+
+
 def test_one_wide_shuffle_equals_join_then_clean(spark):
     """Repeated and missing-like ids, repeated labels and repeated card keys."""
     rng = random.Random(4)
@@ -80,10 +92,10 @@ def test_one_wide_shuffle_equals_join_then_clean(spark):
         [(k % 3 + 1, f"kind {k}", k) for k in range(5)] + [(None, "none", 9)],
         f"id bigint, kind string, {SOURCE_POS} bigint",
     )
-    cfg = RiskConfig(max_rows=140)
+    cfg = RiskConfig()
     raw = {"transactions": tx, "labels": labels, "cards": cards}
     got = training.supervised_splits(raw, cfg)
-    joined = supervised_table(tx.filter(f"{SOURCE_POS} < 140"), labels, cfg, cards)
+    joined = supervised_table(tx, labels, cfg, cards)
     want = temporal_split(clean(joined, cfg), cfg).select(*got.columns)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
     assert got.filter("transaction_id IS NULL").count() == 1
