@@ -24,7 +24,7 @@ class Replacing:
         self.draft = f"{self.path}.{uuid4().hex}.tmp"
 
     def __enter__(self):
-        self.out = self.fs.open_output_stream(self.draft)
+        self.out = self.fs.open_output_stream(self.draft, compression=None)
         return self.out
 
     def __exit__(self, kind, value, trace) -> None:
