@@ -14,9 +14,12 @@ from riskloom.roles import MATCH_POS, SOURCE_POS, first_present, normalize_heade
 
 
 def sized_broadcast(df: DataFrame, limits: ScaleLimits) -> DataFrame:
-    """Mark ``df`` for broadcast if it has few rows; else leave the choice to Spark."""
-    few = df.select(F.lit(1)).limit(limits.broadcast_rows + 1).count() <= limits.broadcast_rows
-    return F.broadcast(df) if few else df
+    """Mark ``df`` for broadcast if its rows and their bytes are few; else leave the choice to Spark."""
+    few = df.limit(limits.broadcast_rows + 1)
+    texts = [F.octet_length(F.col(f"`{n}`")) for n, kind in df.dtypes if kind == "string"]
+    width = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(16 * len(df.columns)))
+    rows, size = few.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if rows <= limits.broadcast_rows and size <= limits.broadcast_bytes else df
 
 
 def is_empty(df: DataFrame | None) -> bool:
@@ -117,7 +120,10 @@ def left_join_dimension(
     if first_match:
         side = first_per_key(side, "_dim_key", _match_order(side))
     side = sized_broadcast(side, limits)
-    return tx.join(side, tx[tx_key].eqNullSafe(side["_dim_key"]), "left").drop("_dim_key")
+    left, right = tx[tx_key], side["_dim_key"]
+    if dict(tx.dtypes)[tx_key] != dict(side.dtypes)["_dim_key"]:
+        left, right = left.cast("string"), right.cast("string")  # a text id beside a number
+    return tx.join(side, left.eqNullSafe(right), "left").drop("_dim_key")
 
 
 def _match_order(side: DataFrame) -> list[str]:
@@ -132,11 +138,17 @@ def _dimension_name(column: str, taken: set[str], suffix: str) -> str:
     return f"{column}{suffix}" if column in taken else column
 
 
-def join_codes(tx: DataFrame, codes: DataFrame | None, limits: ScaleLimits) -> DataFrame:
-    """Add ``mcc_description`` by the text form of the code."""
+def join_codes(
+    tx: DataFrame, codes: DataFrame | None, limits: ScaleLimits, first_match: bool = False
+) -> DataFrame:
+    """Add ``mcc_description`` by the text form of the code; with ``first_match`` the smallest
+    of several descriptions, so that no row is repeated."""
     if is_empty(codes) or "mcc" not in tx.columns:
         return tx
-    side = sized_broadcast(code_frame(codes), limits)
+    side = code_frame(codes)
+    if first_match:
+        side = side.groupBy("mcc").agg(F.min("mcc_description").alias("mcc_description"))
+    side = sized_broadcast(side, limits)
     return tx.withColumn("mcc", F.col("mcc").cast("string")).join(side, "mcc", "left")
 
 
@@ -186,7 +198,7 @@ def enrich(
         cfg.limits,
         first_match,
     )
-    wide = join_codes(wide, codes, cfg.limits)
+    wide = join_codes(wide, codes, cfg.limits, first_match)
     return _fold_positions(wide)
 
 

@@ -7,14 +7,14 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riskloom.config import RiskConfig
+from riskloom.config import CLEAN_ID_NAMES, RiskConfig
 from riskloom.functions.features import decision
 from riskloom.models.classifiers import positive_score
-from riskloom.operators.cleaning import with_row_position
+from riskloom.operators.cleaning import clean_values, with_row_position
 from riskloom.operators.enrich import enrich
-from riskloom.roles import ORIGINAL, SOURCE_POS, normalize_headers
+from riskloom.roles import MATCH_POS, ORIGINAL, SOURCE_POS, first_present, normalize_headers
 from riskloom.session import join_path, path_exists, pin
 from riskloom.sources.files import read_csv
 from riskloom.sources.sinks import read_document, write_document
@@ -60,24 +60,46 @@ class ScoringService:
         return cls(PipelineModel.load(saved), metadata, dimensions or {}, cfg or RiskConfig())
 
     def predict_frame(self, records: DataFrame) -> DataFrame:
-        """The input columns, the score, the decision and the threshold.
+        """The input columns, the score, the decision and the threshold: one row per input row.
 
-        The score is a column of the row it belongs to. Repeated transaction ids
-        are scored once, for the first of them.
+        Values are cleaned row by row and each dimension gives its first match, so no row is
+        lost or repeated. Rows that repeat a transaction id are one transaction: the first
+        of them is scored and counts in the look-back, the others get its score. Rows
+        without an id are scored each.
         """
         named = [c for c in records.columns if c != SOURCE_POS]
         kept = with_row_position(records).withColumn(ORIGINAL, F.struct(*[F.col(f"`{c}`") for c in named]))
+        # Stored once: positions stay what they are, and the history reads only some columns.
+        kept = pin(kept)
         wide = enrich(
             normalize_headers(kept),
             self.cfg,
             self.dimensions.get("cards"),
             self.dimensions.get("users"),
             self.dimensions.get("mcc"),
+            first_match=True,
         )
-        # Stored once: finding the history to use reads only times and groups of it.
-        cleaner, *learned = self.pipeline.stages
-        scored = PipelineModel(learned).transform(pin(cleaner.transform(wide)))
-        score = positive_score(scored)
+        cleaned = pin(clean_values(wide, self.cfg).drop(MATCH_POS))
+        learned = PipelineModel(self.pipeline.stages[1:])
+        key = first_present(cleaned.columns, CLEAN_ID_NAMES)
+        again = None
+        if key is not None:
+            ids = cleaned.filter(F.col(key).isNotNull()).groupBy(key)
+            again = pin(ids.agg(F.min(SOURCE_POS).alias("_first"), F.count("*").alias("_n")).filter("_n > 1"))
+        if again is None or again.isEmpty():
+            return self._decided(learned.transform(cleaned))
+        repeated = cleaned.join(again.select(key, "_first"), key).filter(F.col(SOURCE_POS) != F.col("_first"))
+        repeated = pin(repeated.select(SOURCE_POS, "_first", ORIGINAL))
+        first = cleaned.join(repeated.select(SOURCE_POS), SOURCE_POS, "left_anti").select(cleaned.columns)
+        scored = learned.transform(first)
+        scored = pin(scored.select(SOURCE_POS, ORIGINAL, positive_score(scored).alias("_score")))
+        others = repeated.join(
+            scored.select(F.col(SOURCE_POS).alias("_first"), "_score"), "_first"
+        ).select(SOURCE_POS, ORIGINAL, "_score")
+        return self._decided(scored.unionByName(others), F.col("_score"))
+
+    def _decided(self, scored: DataFrame, score: Column | None = None) -> DataFrame:
+        score = positive_score(scored) if score is None else score
         return scored.select(
             f"{ORIGINAL}.*",
             score.alias("fraud_score"),

@@ -34,7 +34,7 @@ from riskloom.plans import tracking as K
 from riskloom.plans.scoring import save_model
 from riskloom.plans.store import RunStore
 from riskloom.roles import MATCH_POS, SOURCE_POS, Roles, first_present
-from riskloom.session import join_path, pin
+from riskloom.session import join_path, pin, pinned_scope
 from riskloom.sources import artifacts, sinks
 from riskloom import config as C
 
@@ -204,7 +204,21 @@ def run(
     promote: bool = False,
     overwrite_baseline: bool = False,
 ) -> str:
-    """Train, save below ``root/runs/<run id>``, record the run; returns the run id."""
+    """Train, save below ``root/runs/<run id>``, record the run; returns the run id.
+
+    What the job pinned on its way is dropped when it ends."""
+    with pinned_scope(spark):
+        return _run(spark, raw, root, cfg, promote, overwrite_baseline)
+
+
+def _run(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    root: str,
+    cfg: RiskConfig,
+    promote: bool,
+    overwrite_baseline: bool,
+) -> str:
     started = datetime.now(timezone.utc)
     run_id = K.new_run_id(cfg.model_name)
     store = RunStore(spark, root, cfg.limits)
@@ -323,19 +337,22 @@ def compare_models(
 ) -> DataFrame:
     """Metrics per model and split, each model at its own F-beta threshold.
 
-    The encoded training rows are computed once and shared by all models.
+    The encoded training rows are computed once and shared by all models. The result has two
+    rows per model; all that was pinned for them is dropped.
     """
-    rows = fit_rows(splits, cfg)
-    ready = stages.prepare(rows, cfg)
-    out = None
-    for name in names:
-        one = cfg.with_(model_name=name)
-        model = stages.fit(rows, one, ready)
-        scored = score_later_splits(splits, model, one)
-        validation = scored.filter(F.col("split") == "validation")
-        threshold, _ = find_best_threshold(validation, cfg.target, SCORE, one)
-        metrics = evaluate(
-            scored, cfg.target, SCORE, threshold, cfg.beta, cfg.limits, ("split",)
-        ).withColumn("model", F.lit(name))
-        out = metrics if out is None else out.unionByName(metrics)
-    return out
+    spark, found, schema = splits.sparkSession, [], None
+    with pinned_scope(spark):
+        rows = fit_rows(splits, cfg)
+        ready = stages.prepare(rows, cfg)
+        for name in names:
+            one = cfg.with_(model_name=name)
+            model = stages.fit(rows, one, ready)
+            scored = score_later_splits(splits, model, one)
+            validation = scored.filter(F.col("split") == "validation")
+            threshold, _ = find_best_threshold(validation, cfg.target, SCORE, one)
+            metrics = evaluate(
+                scored, cfg.target, SCORE, threshold, cfg.beta, cfg.limits, ("split",)
+            ).withColumn("model", F.lit(name))
+            found += metrics.collect()
+            schema = metrics.schema
+    return spark.createDataFrame(found, schema)

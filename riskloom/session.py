@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,19 +13,13 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; a new one only if it names none."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get(CHECKPOINT_KEY, None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
-            shared = tempfile.mkdtemp(prefix="riskloom-checkpoint-")
-        context.setCheckpointDir(shared)
-    return context.getCheckpointDir()
+    """The shared folder the session names; where it names none, one in its warehouse."""
+    shared = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    return shared or join_path(spark.conf.get("spark.sql.warehouse.dir"), "_pinned")
 
 
-_scopes: list[list[str]] = []
+#: Paths pinned in the innermost open scope of this thread (or task of an event loop).
+_scope: ContextVar[list[str] | None] = ContextVar("pinned", default=None)
 
 
 def pin(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -37,20 +31,25 @@ def pin(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """
     spark = df.sparkSession
     path = join_path(ensure_checkpoint_dir(spark), f"pinned-{uuid4().hex}")
-    if _scopes:
-        _scopes[-1].append(path)
+    if (own := _scope.get()) is not None:
+        own.append(path)
     df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def pinned_scope(spark: SparkSession):
-    """Drop the tables pinned inside the block when it ends, as a stream needs."""
-    _scopes.append([])
+    """Drop the tables that this thread pins inside the block when it ends.
+
+    Scopes belong to the thread that opened them, so a job beside a stream keeps its
+    tables while a micro-batch of the stream drops its own."""
+    own: list[str] = []
+    before = _scope.set(own)
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        _scope.reset(before)
+        for path in own:
             jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
             jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 

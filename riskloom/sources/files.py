@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -101,28 +100,44 @@ def with_source_position(df: DataFrame) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, infer: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    infer: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header. Without a schema, known columns get their known types.
+    """CSV with a header. Without a schema, known columns get their known types, but for
+    those that hold anything else: they stay text, so that no value is lost.
 
-    ``infer`` reads the data once more to guess the types of the others.
+    ``infer`` reads the data once more to guess the types of the others. ``multi_line`` reads
+    quoted line breaks; each file is then read by one task.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is None and infer:
         return _without_missing_texts(
             with_source_position(reader.option("inferSchema", True).csv(path))
         )
     if schema is None:
         names = reader.csv(path).columns
-        schema = T.StructType(
-            [
-                T.StructField(n, T._parse_datatype_string(COLUMN_TYPES.get(normalized_name(n), "string")))
-                for n in names
-            ]
-        )
+        texts = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(path)
+        kinds = _kinds(_without_missing_texts(texts))
+        fields = [T.StructField(n, T._parse_datatype_string(kinds.get(n, "string"))) for n in names]
+        schema = T.StructType(fields)
     return _without_missing_texts(with_source_position(reader.schema(schema).csv(path)))
 
 
+def _kinds(texts: DataFrame) -> dict[str, str]:
+    """The known types of the columns whose values all have them; one pass over those columns."""
+    known = {c: COLUMN_TYPES[normalized_name(c)] for c in texts.columns if normalized_name(c) in COLUMN_TYPES}
+    if not known:
+        return {}
+    odd = [
+        F.count_if(F.col(f"`{c}`").isNotNull() & F.trim(f"`{c}`").try_cast(kind).isNull()) for c, kind in known.items()
+    ]
+    counts = texts.select(*[f"`{c}`" for c in known]).agg(*odd).first()
+    return {c: kind for (c, kind), n in zip(known.items(), counts, strict=True) if not n}
+
+
 def _without_missing_texts(df: DataFrame) -> DataFrame:
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     return df.withColumns(
@@ -158,20 +173,24 @@ def read_json_object(spark: SparkSession, path: str) -> DataFrame:
 def read_json_records(spark: SparkSession, path: str) -> DataFrame:
     """Records of a JSON list of flat objects, all columns as text, read by many tasks.
 
+    A record may lack fields that others have.
+
     The file is cut at closing braces. A piece that is not a whole flat object
     stops the job instead of vanishing.
     """
-    pieces = spark.read.option("lineSep", "}").text(path)
-    body = pieces.select(F.regexp_replace("value", r"^[\s,\[]+", "").alias("body")).filter(
+    pieces = with_source_position(spark.read.option("lineSep", "}").text(path))
+    body = pieces.select(F.regexp_replace("value", r"^[\s,\[]+", "").alias("body"), SOURCE_POS).filter(
         ~F.col("body").rlike(r"^[\s\]]*$")
     )
-    first = body.first()
-    if first is None:
+    text = F.concat("body", F.lit("}"))
+    # the fields of all records, as the first one that has each orders them
+    fields = body.select(SOURCE_POS, F.posexplode(F.json_object_keys(text)).alias("_at", "_name"))
+    order = fields.groupBy("_name").agg(F.min(F.struct(SOURCE_POS, "_at")).alias("_first")).orderBy("_first")
+    names = [r["_name"] for r in order.collect()]
+    if not names:
         return spark.createDataFrame([], "key string, value string")
-    names = list(json.loads(first[0] + "}"))
     kind = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    text = F.concat("body", F.lit("}"))
-    return body.select(F.from_json(text, kind, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    return body.select(F.from_json(text, kind, {"mode": "FAILFAST"}).alias("r"), SOURCE_POS).select("r.*", SOURCE_POS)
 
 
 def read_json_labels(spark: SparkSession, path: str) -> DataFrame:
@@ -181,7 +200,7 @@ def read_json_labels(spark: SparkSession, path: str) -> DataFrame:
     needs keys and values without commas, as ids and labels are; any piece that
     is not a single ``"id": label`` entry stops the job instead of vanishing.
     """
-    pieces = spark.read.option("lineSep", ",").text(path)
+    pieces = with_source_position(spark.read.option("lineSep", ",").text(path))
     entry = r'^[\s{]*(?:"target"\s*:\s*\{)?\s*"([^"]*)"\s*:\s*(?:"([^"]*)"|([^\s"{}\[\]]+))[\s}]*$'
 
     def group(i: int) -> Column:
@@ -195,7 +214,8 @@ def read_json_labels(spark: SparkSession, path: str) -> DataFrame:
     return (
         pieces.filter(~is_blank)
         .withColumn("key", F.when(is_entry, group(1)).otherwise(wrong.cast("string")))
-        .select("key", value.alias("value"))
+        # of an object's repeated keys the last one holds: it comes first in this order
+        .select("key", value.alias("value"), (-F.col(SOURCE_POS)).alias(SOURCE_POS))
     )
 
 

@@ -4,7 +4,7 @@ import json
 import pytest
 
 from riskloom.config import RiskConfig
-from riskloom.operators.enrich import labels_frame
+from riskloom.operators.enrich import first_labelled, labels_frame
 from riskloom.roles import SOURCE_POS
 from riskloom.sources import artifacts, files, landing, sinks
 
@@ -56,7 +56,7 @@ def test_missing_required_file_is_an_error(spark, tmp_path):
 def test_label_files(spark, tmp_path, text):
     write(tmp_path, "labels.json", text)
     frame = labels_frame(files.read_labels(spark, str(tmp_path / "labels.json")), CFG)
-    assert sorted(map(tuple, frame.collect())) == [("1", 0), ("2", 1)]
+    assert sorted(map(tuple, frame.drop(SOURCE_POS).collect())) == [("1", 0), ("2", 1)]
 
 
 @pytest.mark.parametrize("text", ["{}", '{"target": {}}', "[]"])
@@ -156,3 +156,39 @@ def test_documents_have_no_infinities(spark, tmp_path):
     assert sinks.read_document(spark, path) == {"a": None, "b": [None, 1.5]}
     df = spark.createDataFrame([(float("nan"), float("-inf"), 2.0)], "a double, b double, c double")
     assert tuple(sinks.finite_or_null(df).first()) == (None, None, 2.0)
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ('[{"id": "1", "target": "Yes"}, {"id": "1", "target": "No"}]', 1),  # the first record
+        ('{"target": {"1": "No", "1": "Yes"}}', 1),  # the last entry of an object
+        ('{"target": {"1": "Yes", "1": "No"}}', 0),
+    ],
+)
+def test_repeated_labels(spark, tmp_path, text, want):
+    write(tmp_path, "labels.json", text)
+    labels = labels_frame(files.read_labels(spark, str(tmp_path / "labels.json")), CFG)
+    tx = spark.createDataFrame([("1", 0)], f"transaction_id string, {SOURCE_POS} bigint")
+    assert [r[CFG.target] for r in first_labelled(tx, labels, CFG).collect()] == [want]
+
+
+def test_records_with_unlike_fields(spark, tmp_path):
+    write(tmp_path, "labels.json", '[{"id": "1"}, {"id": "2", "is_fraud": "Yes"},\n{"note": "x", "id": "3", "is_fraud": "No"}]')
+    rows = files.read_json_records(spark, str(tmp_path / "labels.json"))
+    assert rows.columns == ["id", "is_fraud", "note", SOURCE_POS]
+    got = sorted((r["id"], r["is_fraud"], r["note"]) for r in rows.collect())
+    assert got == [("1", None, None), ("2", "Yes", None), ("3", "No", "x")]
+
+
+def test_text_ids_are_kept(spark, tmp_path):
+    write(tmp_path, "transactions.csv", "id,card_id,mcc,amount\ntx-1,7,5411,$1\n2,8,x,$2\n3,,,$3\n")
+    rows = files.read_csv(spark, str(tmp_path / "transactions.csv"))
+    assert dict(rows.dtypes) | {"id": "string", "card_id": "bigint", "mcc": "string"} == dict(rows.dtypes)
+    assert [(r["id"], r["card_id"], r["mcc"]) for r in rows.orderBy(SOURCE_POS).collect()] == [("tx-1", 7, "5411"), ("2", 8, "x"), ("3", None, None)]
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    write(tmp_path, "t.csv", 'id,name\n1,"a\nb"\n2,c\n')
+    rows = files.read_csv(spark, str(tmp_path / "t.csv"), multi_line=True).collect()
+    assert [(r["id"], r["name"]) for r in rows] == [(1, "a\nb"), (2, "c")]
