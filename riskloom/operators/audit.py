@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.config import RiskConfig
@@ -91,89 +90,91 @@ def gather(
     return AuditInput(order=order, shared_ids=shared, selected=sorted(selected), **facts)
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A finding: when it holds and what it concerns, as SQL over the one-row facts."""
+
+    code: str
+    severity: str
+    holds: str
+    concerns: str
+    remedy: str
+
+
+#: Severity "fail" blocks a run, "warning" asks for a look. Texts are made of code, what it
+#: concerns and remedy.
+RULES = (
+    Rule("parts_out_of_order", "fail", "NOT in_order", "'train_max, validation_min, validation_max, test_min'", "split again at later times"),
+    Rule("ids_in_several_parts", "fail", "shared_ids > 0", "concat(shared_ids, ' shared')", "keep each transaction in one part"),
+    Rule("label_as_input", "fail", "array_contains(selected, target)", "target", "take the label out of the inputs"),
+    Rule("sensitive_inputs", "warning", "size(sensitive) > 0", "array_join(sensitive, ', ')", "drop these inputs"),
+    Rule("post_event_inputs", "warning", "size(post_event) > 0", "array_join(post_event, ', ')", "prove that they are known when a decision is made"),
+    Rule("snapshot_inputs", "warning", "size(snapshot) > 0", "array_join(snapshot, ', ')", "fit without them and compare average precision"),
+    Rule("ranking_too_good", "warning", "best_area >= area_limit", "concat('area ', format_number(best_area, 3))", "score a later period and look at the strongest inputs"),
+    Rule("threshold_at_edge", "warning", "exists(edges, e -> abs(threshold - e) <= 1e-8 + 1e-5 * abs(e))", "concat('threshold ', threshold)", "analyse a wider range"),
+    Rule("bounded_training", "warning", "bounded", "'max_rows'", "check the result on rows that were left out"),
+)
+
+FACTS = """in_order boolean, shared_ids bigint, selected array<string>, target string,
+    snapshot array<string>, post_event array<string>, sensitive array<string>, best_area double,
+    area_limit double, threshold double, edges array<double>, bounded boolean"""
+
+
+def findings(facts: DataFrame) -> DataFrame:
+    """One row per rule that holds for the one-row ``facts``: code, severity, concerns, remedy."""
+    rules = [
+        F.struct(
+            F.lit(r.code).alias("code"), F.lit(r.severity).alias("severity"),
+            F.coalesce(F.expr(r.holds), F.lit(False)).alias("holds"),
+            F.expr(f"string({r.concerns})").alias("concerns"), F.lit(r.remedy).alias("remedy"),
+        )
+        for r in RULES
+    ]
+    return facts.select(F.inline(F.array(*rules))).filter("holds").drop("holds")
+
+
 def report(facts: AuditInput, cfg: RiskConfig) -> dict[str, Any]:
-    """Status, findings and what to do about them."""
-    selected = set(facts.selected)
-    risks = {
-        "snapshot": sorted(selected & SNAPSHOT_NAMES),
-        "post_event": sorted(selected & POST_EVENT_NAMES),
-        "sensitive": sorted(selected & SENSITIVE_NAMES),
-    }
+    """Status, checks and findings; see RULES."""
+    selected = sorted(set(facts.selected))
+    kinds = {"snapshot": SNAPSHOT_NAMES, "post_event": POST_EVENT_NAMES, "sensitive": SENSITIVE_NAMES}
+    risks = {kind: [c for c in selected if c in names] for kind, names in kinds.items()}
     areas = [a for a in (facts.validation_roc_auc, facts.test_roc_auc) if a is not None]
-    checks = {
-        "temporal_order_valid": bool(facts.order["temporal_order_valid"]),
-        "duplicate_transaction_ids_across_splits": int(facts.shared_ids),
-        "target_selected_as_feature": cfg.target in selected,
-        "high_roc_auc_warning": max(areas, default=0.0) >= cfg.roc_auc_warning,
-        "threshold_at_analysis_boundary": any(
-            bool(np.isclose(facts.threshold, end)) for end in (cfg.grid_start, cfg.grid_stop)
-        ),
-        "limited_training_window": cfg.max_rows is not None,
+    row = {
+        "in_order": bool(facts.order["temporal_order_valid"]),
+        "shared_ids": int(facts.shared_ids),
+        "selected": selected,
+        "target": cfg.target,
+        **risks,
+        "best_area": float(max(areas)) if areas else None,
+        "area_limit": float(cfg.roc_auc_warning),
+        "threshold": float(facts.threshold),
+        "edges": [float(cfg.grid_start), float(cfg.grid_stop)],
+        "bounded": cfg.max_rows is not None,
     }
-    failures = [
-        text
-        for failed, text in (
-            (not checks["temporal_order_valid"], "The parts overlap in time or are out of order."),
-            (
-                checks["duplicate_transaction_ids_across_splits"] > 0,
-                "Transaction ids occur in more than one part.",
-            ),
-            (checks["target_selected_as_feature"], "The target is among the model inputs."),
-        )
-        if failed
-    ]
-    findings = [
-        (
-            risks["snapshot"],
-            "Snapshot attributes may know more than the transaction did: ",
-            "Train once without the snapshot attributes and compare PR-AUC.",
-        ),
-        (
-            risks["post_event"],
-            "Attributes that may be known only after the decision: ",
-            "Confirm that they exist at the moment of authorization.",
-        ),
-        (
-            risks["sensitive"],
-            "Sensitive attributes are among the inputs: ",
-            "Remove personal data and credentials from the inputs.",
-        ),
-    ]
-    warnings = [text + ", ".join(names) for names, text, _ in findings if names]
-    advice = [todo for names, _, todo in findings if names]
-    for raised, text, todo in (
-        (
-            checks["high_roc_auc_warning"],
-            f"ROC-AUC is at least {cfg.roc_auc_warning:.3f}.",
-            "Validate on a later time window and review the strongest inputs.",
-        ),
-        (
-            checks["threshold_at_analysis_boundary"],
-            "The chosen threshold is at an end of the analysed range.",
-            "Widen the threshold range before approving the operating cost.",
-        ),
-        (
-            checks["limited_training_window"],
-            "Training used a limited first stretch of the transactions.",
-            "Validate out of time on a later stretch of the full data.",
-        ),
-    ):
-        if raised:
-            warnings.append(text)
-            advice.append(todo)
-    stamps = ("train_max", "validation_min", "validation_max", "test_min")
+    found = [r.asDict() for r in findings(SparkSession.active().createDataFrame([row], FACTS)).collect()]
+    held = {r["code"] for r in found}
+    said = {level: [f"{r['code']}: {r['concerns']}" for r in found if r["severity"] == level] for level in ("fail", "warning")}
     return {
-        "status": "fail" if failures else "warning" if warnings else "pass",
-        "checks": checks,
+        "status": next((level for level, texts in said.items() if texts), "pass"),
+        "checks": {
+            "temporal_order_valid": row["in_order"],
+            "duplicate_transaction_ids_across_splits": row["shared_ids"],
+            "target_selected_as_feature": "label_as_input" in held,
+            "high_roc_auc_warning": "ranking_too_good" in held,
+            "threshold_at_analysis_boundary": "threshold_at_edge" in held,
+            "limited_training_window": "bounded_training" in held,
+        },
         "split_boundaries": {
-            s: facts.order[s].isoformat() if facts.order[s] is not None else None for s in stamps
+            edge: at.isoformat() if at is not None else None
+            for edge, at in facts.order.items()
+            if edge != "temporal_order_valid"
         },
-        "selected_input_columns": sorted(selected),
+        "selected_input_columns": selected,
         "top_model_features": [dict(f) for f in facts.top_features],
         "risk_columns": risks,
-        "failures": failures,
-        "warnings": warnings,
-        "recommendations": advice,
+        "failures": said["fail"],
+        "warnings": said["warning"],
+        "recommendations": [f"{r['code']}: {r['remedy']}" for r in found if r["severity"] == "warning"],
     }
 
 

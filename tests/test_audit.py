@@ -30,7 +30,7 @@ def build(parts, selected, cfg=RiskConfig(), validation=0.5, test=0.5, threshold
 
 
 def test_snapshot_and_high_area_are_warnings(parts):
-    report = build(parts, ["amount", "card_on_dark_web"], validation=0.997, test=0.996)
+    report = build(parts, ["amount", "card_on_dark_web"], RiskConfig(max_rows=9), validation=0.997, test=0.996)
     assert report["status"] == "warning"
     assert report["checks"]["temporal_order_valid"] is True
     assert report["risk_columns"]["snapshot"] == ["card_on_dark_web"]

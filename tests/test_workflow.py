@@ -128,6 +128,50 @@ def service(spark, raw, finished):
     return ScoringService.load(spark, RunStore(spark, root).run_directory(run_id), dimensions, CFG)
 
 
+@pytest.mark.parametrize("with_id", [True, False])
+def test_every_input_row_gets_a_score(spark, raw, service, with_id):
+    """Repeated ids, missing ids, no id column at all, and repeated keys in the dimensions."""
+    rows = [("a", 1, "$5.00"), ("a", 1, "$900.00"), (None, 2, "$5.00"), (None, 2, "$7.00"), ("b", 3, None), ("a", 4, "x")]
+    rows = [(*r, f"2020-03-0{i + 1} 10:00:00", 5411, i) for i, r in enumerate(rows)]
+    frame = spark.createDataFrame(rows, "id string, card_id bigint, amount string, date string, mcc int, row_no int")
+    cards = raw[0]["cards"]
+    doubled = ScoringService(service.pipeline, service.metadata, {**service.dimensions, "cards": cards.union(cards)}, CFG)
+    for one in (service, doubled):
+        out = one.predict_frame(frame if with_id else frame.drop("id"))
+        got = {r["row_no"]: r for r in out.collect()}
+        assert out.count() == 6 and sorted(got) == list(range(6))
+        assert all(0 <= r["fraud_score"] <= 1 for r in got.values())
+        assert all(r["is_fraud_predicted"] == int(r["fraud_score"] >= r["threshold"]) for r in got.values())
+        if with_id:
+            assert got[0]["fraud_score"] == got[1]["fraud_score"] == got[5]["fraud_score"]
+            assert [got[i]["amount"] for i in range(6)] == [r[2] for r in rows]
+
+
+def test_a_run_leaves_nothing_pinned(spark, raw, tmp_path, monkeypatch):
+    from riskloom import session
+
+    pinned = str(tmp_path / "pinned")
+    monkeypatch.setattr(session, "ensure_checkpoint_dir", lambda _: pinned)
+    (tmp_path / "pinned").mkdir()
+    training.run(spark, raw[0], str(tmp_path / "work"), CFG)
+    assert list((tmp_path / "pinned").iterdir()) == []
+
+
+def test_a_scope_drops_only_what_its_own_thread_pins(spark):
+    import threading
+
+    from riskloom.session import path_exists, pin, pinned_scope
+
+    made = {}
+    with pinned_scope(spark):
+        worker = threading.Thread(target=lambda: made.update(other=pin(spark.range(3).toDF("x"))))
+        worker.start()
+        worker.join()
+        own = pin(spark.range(2).toDF("x"))
+        path = own.inputFiles()[0]
+    assert made["other"].count() == 3 and not path_exists(spark, path)
+
+
 def test_batch_scores_every_row(spark, raw, service, tmp_path):
     target = str(tmp_path / "scored")
     scored = service.predict_csv(spark, f"{raw[1]}/transactions_data.csv", target)
