@@ -34,7 +34,8 @@ TX_SQL = """tx AS (
   FROM events)"""
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
+    """One transaction per event; ``more`` adds columns of the same scan."""
     e = table(spark, sf_dir, "events")
     return e.select(
         F.col("event_id").alias(SOURCE_POS),
@@ -45,6 +46,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("amount"),
         F.col("event_type").alias("use_chip"),
         (F.col("event_type") == "error").cast("int").alias("is_fraud"),
+        *more,
     )
 
 

@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from catalog.domain import CFG, rounded, table, transactions
+from catalog.domain import CFG, TX_SQL, rounded, split_sql, table, transactions
 from catalog.registry import query
 from riskloom.models import stages
 from riskloom.models.classifiers import balanced_weight, class_counts
@@ -94,9 +94,7 @@ def _(spark, sf_dir):
 def _labelled(spark, sf_dir) -> DataFrame:
     """Transactions with a category and without the column that is the label."""
     code = F.regexp_extract("props", r"(\d+)", 1).alias("mcc")
-    props = table(spark, sf_dir, "events").select(F.col("event_id").alias("_e"), code)
-    tx = transactions(spark, sf_dir).drop("use_chip")
-    return tx.join(props, F.col("_source_pos") == F.col("_e")).drop("_e")
+    return transactions(spark, sf_dir, code).drop("use_chip")
 
 
 def _splits(spark, sf_dir) -> DataFrame:
@@ -165,10 +163,17 @@ def _(spark, sf_dir):
     return compare_models(_splits(spark, sf_dir), CFG)
 
 
+_FITTED: dict[tuple[str, str], ScoringService] = {}
+
+
 def _service(spark, sf_dir) -> ScoringService:
-    model, scored = _scored(spark, sf_dir, "logistic_regression")
-    row = lowest_cost_row(configured_table(scored, CFG, CFG.target, SCORE)).first()
-    return ScoringService(model.pipeline, {"threshold": row["threshold"]}, {}, CFG)
+    """The scoring service of a folder, fitted once per session."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _FITTED:
+        model, scored = _scored(spark, sf_dir, "logistic_regression")
+        row = lowest_cost_row(configured_table(scored, CFG, CFG.target, SCORE)).first()
+        _FITTED[key] = ScoringService(model.pipeline, {"threshold": row["threshold"]}, {}, CFG)
+    return _FITTED[key]
 
 
 def _raw(spark, sf_dir) -> DataFrame:
@@ -187,6 +192,64 @@ def _(spark, sf_dir):
     return _service(spark, sf_dir).predict_frame(_raw(spark, sf_dir))
 
 
+# What does not depend on the optimizer: each row comes back once, with a decision that
+# follows from its score.
+_ROWS_SQL = """SELECT CAST(event_id AS VARCHAR) AS transaction_id, round(value, 6) AS amount,
+  1 AS score_in_range, 1 AS decision_follows FROM events"""
+
+
+def _rows(predictions: DataFrame) -> DataFrame:
+    score, limit = F.col("fraud_score"), F.col("threshold")
+    return predictions.select(
+        "transaction_id",
+        F.round(F.regexp_replace(F.col("amount").cast("string"), r"\$", "").cast("double"), 6).alias("amount"),
+        score.between(0, 1).cast("int").alias("score_in_range"),
+        (F.col("is_fraud_predicted").cast("int") == (score >= limit).cast("int")).cast("int").alias("decision_follows"),
+    )
+
+
+@query("predict_frame_rows", _ROWS_SQL)
+def _(spark, sf_dir):
+    return _rows(_service(spark, sf_dir).predict_frame(_raw(spark, sf_dir)))
+
+
+@query("predict_csv_rows", _ROWS_SQL)
+def _(spark, sf_dir):
+    folder = join_path(ensure_checkpoint_dir(spark), f"predict-{uuid4().hex}")
+    _raw(spark, sf_dir).drop("_source_pos").write.option("header", True).csv(folder)
+    return _rows(_service(spark, sf_dir).predict_csv(spark, folder))
+
+
+@query(
+    "fit_and_score_rows",
+    f"""WITH {TX_SQL}, {split_sql('tx')}
+    SELECT split, count(*) AS n_rows, CAST(sum(is_fraud) AS BIGINT) AS positives, count(*) AS scores_in_range
+    FROM parts WHERE split <> 'train' GROUP BY split""",
+)
+def _(spark, sf_dir):
+    _, scored = _scored(spark, sf_dir, "logistic_regression")
+    return scored.groupBy("split").agg(
+        F.count("*").alias("n_rows"),
+        F.sum(F.col(CFG.target).cast("long")).alias("positives"),
+        F.count_if(F.col(SCORE).between(0, 1)).alias("scores_in_range"),
+    )
+
+
+@query(
+    "logistic_regression_counts",
+    f"""WITH {TX_SQL}, {split_sql('tx')}
+    SELECT split, count(*) AS n_rows, CAST(sum(is_fraud) AS BIGINT) AS positives
+    FROM parts WHERE split <> 'train' GROUP BY split""",
+)
+def _(spark, sf_dir):
+    found = _evaluated(spark, sf_dir, "logistic_regression")
+    return found.select(
+        "split",
+        (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).cast("long").alias("n_rows"),
+        (F.col("tp") + F.col("fn")).cast("long").alias("positives"),
+    )
+
+
 @query("predict_records")
 def _(spark, sf_dir):
     """Records as JSON text in, the three prediction columns out."""

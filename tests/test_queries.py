@@ -13,9 +13,6 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
-# Two hundred trees and 250 boosting rounds take minutes; their settings are
-# checked in test_models.
-LONG = {"gradient_boosting", "random_forest", "compare_models"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver tables")
 
@@ -49,7 +46,7 @@ def test_query_equals_sql(spark, sf_small, duck, name):
     assert want[1]
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - LONG))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_query_gives_rows(spark, sf_small, name):
     assert QUERIES[name](spark, sf_small).count() > 0
 
