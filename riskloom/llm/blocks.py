@@ -9,7 +9,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.components import components
 from riskloom.llm.store import Scratch
 
 #: Rows and bytes of one block; a task holds two.
@@ -42,10 +41,11 @@ def block_links(members: DataFrame, matrix: Callable[[list[bytes]], np.ndarray],
     Returns links a, b whose components are those of all links within each group.
 
     A group of one block is compared whole; small groups share a task. In a larger group
-    every block is first compared with itself and with the group's first block, which
-    joins the bulk of a group of copies; then the rows outside the largest component meet
-    all blocks. Two rows of different components always meet, so no component is split,
-    and each task gives at most a link a row.
+    every block is first compared with itself and with the group's first block. The largest
+    component within the first block, which every such task sees alike, is the group's core:
+    rows that a task finds linked to it are settled, as in a group of copies nearly all are.
+    The rows left over then meet all blocks. So two rows always meet unless both are linked
+    to the core, no component is split, and each task gives at most a few links a row.
     """
     sizes = members.groupBy("grp").agg(F.count("*").alias("_rows"), F.sum(F.length("payload")).alias("_bytes"))
     sizes = scratch.write(
@@ -63,44 +63,59 @@ def block_links(members: DataFrame, matrix: Callable[[list[bytes]], np.ndarray],
     first = rows.select(
         F.when(F.col("_blocks") == 1, bundle).otherwise(F.col("grp")).alias("_key"),
         F.explode(F.when((F.col("_blocks") > 1) & (F.col("_block") == 0), F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).otherwise(F.array("_block"))).alias("_task"),
-        (F.col("_blocks") > 1).alias("_wide"), "grp", "id", "payload",
+        (F.col("_blocks") > 1).alias("_wide"), "grp", "id", "payload", "_block",
     )
 
-    def link(table: pa.Table) -> pa.Table:
+    def compared(table: pa.Table, wide: bool) -> pa.Table:
+        """Links a, b; of a wide group's task also its own rows outside the core: a alone."""
         grp, ids = (table.column(c).to_numpy() for c in ("grp", "id"))
         payload = table.column("payload").to_pylist()
         order = np.argsort(grp, kind="stable")
-        found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for at in np.split(order, np.flatnonzero(np.diff(grp[order])) + 1):
             if len(at) > 1:
-                found.append((int(grp[at[0]]), *star_links(ids[at], matrix([payload[i] for i in at]))))
-        own = np.concatenate([np.full(len(a), g, np.int64) for g, a, _ in found] or [np.zeros(0, np.int64)])
-        ends = [np.concatenate([x[i] for x in found] or [np.zeros(0, np.int64)]) for i in (1, 2)]
-        return pa.table({"grp": own, "a": ends[0], "b": ends[1]})
+                a, b = star_links(ids[at], matrix([payload[i] for i in at]))
+                found.append((np.full(len(a), grp[at[0]]), a, b))
+        own, a, b = (np.concatenate([x[i] for x in found] or [np.zeros(0, np.int64)]) for i in range(3))
+        if not wide:
+            return pa.table({"grp": own, "a": a, "b": b})
+        first, block = ids[table.column("_block").to_numpy() == 0], table.column("_block").to_numpy()
+        mine = ids[block == block.max()]
+        head = dict(zip(b.tolist(), a.tolist(), strict=True))  # each row's smallest linked id
+        inner = np.flatnonzero(block == 0)
+        if block.max():  # links through this block don't count in finding the core
+            c, d = star_links(first, matrix([payload[i] for i in inner]))
+        else:
+            c, d = a, b
+        within = dict(zip(d.tolist(), c.tolist(), strict=True))
+        heads, sizes = np.unique([within.get(i, i) for i in first.tolist()], return_counts=True)
+        core = int(heads[np.lexsort((heads, -sizes))[0]])
+        core = head.get(core, core)
+        rest = [i for i in mine.tolist() if head.get(i, i) != core]
+        return pa.table({
+            "grp": pa.array(np.append(own, np.full(len(rest), grp[0]))), "a": pa.array(np.append(a, np.array(rest, np.int64))),
+            "b": pa.array([*b.tolist(), *[None] * len(rest)], pa.int64()),
+        })
 
     schema = "grp long, a long, b long"
-    links = scratch.write(first.groupBy("_key", "_task", "_wide").applyInArrow(link, schema), "block-links")
+    keys = ("_key", "_task", "_wide")
+    found = first.groupBy(*keys).applyInArrow(lambda t: compared(t, t.column("_wide")[0].as_py()), schema)
+    found = scratch.write(found, "block-links")
+    links = found.filter("b is not null").select("a", "b")
     if not wide or wide == 1:
-        return links.select("a", "b")
-    large = rows.filter("_blocks > 1")
-    inner = links.join(sizes.filter("_blocks > 1").select("grp"), "grp")
-    # ids can stand in several groups: components are those within one group
-    numbered = scratch.write(large.select("grp", "id").distinct().withColumn("_node", F.xxhash64("grp", "id")), "nodes")
-    ends = inner.select(F.xxhash64("grp", "a").alias("a"), F.xxhash64("grp", "b").alias("b"))
-    label = components(ends, scratch).withColumnRenamed("id", "_node")
-    labelled = numbered.join(label, "_node", "left").select("grp", "id", F.coalesce("component", "_node").alias("component"))
-    counts = labelled.groupBy("grp", "component").agg(F.count("*").alias("_n"))
-    bulk = counts.groupBy("grp").agg(F.max(F.struct("_n", "component")).alias("_bulk")).select("grp", F.col("_bulk.component").alias("component"))
-    rest = scratch.write(labelled.join(bulk, ["grp", "component"], "left_anti").select("grp", "id"), "rest")
+        return links
+    rest = found.filter("b is null").select("grp", F.col("a").alias("id")).distinct()
     left = rest.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("_left"))
-    if not left.limit(1).count():
-        return links.select("a", "b")
-    outside = large.join(rest, ["grp", "id"], "left_semi").join(left, "grp").withColumn("_part", F.pmod(F.xxhash64("id", F.lit(2)), F.col("_left")))
+    left = scratch.write(left, "left")
+    if left.isEmpty():
+        return links
+    large = rows.filter("_blocks > 1").join(left, "grp")
+    outside = large.join(rest, ["grp", "id"], "left_semi").withColumn("_part", F.pmod(F.xxhash64("id", F.lit(2)), F.col("_left")))
     # every row goes to the tasks of all outside parts; an outside row to those of all blocks
     task = F.col("_block") * F.lit(1 << 20) + F.col("_part")
-    everyone = large.join(left, "grp").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_left") - 1)))
+    everyone = large.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_left") - 1)))
     others = outside.withColumn("_at", F.col("_block")).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
     others = others.filter("_at <> _block")  # it is there already
     second = everyone.select("grp", task.alias("_task"), "id", "payload").union(others.select("grp", task.alias("_task"), "id", "payload"))
-    more = second.groupBy("grp", "_task").applyInArrow(link, schema)
-    return scratch.write(links.union(more), "block-links").select("a", "b")
+    more = second.groupBy("grp", "_task").applyInArrow(lambda t: compared(t, False), schema)
+    return links.union(scratch.write(more, "block-links").select("a", "b"))

@@ -2,42 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.store import Scratch
 
 
+def _stars(pairs: DataFrame) -> bool:
+    """Whether every id has one smaller neighbour at most, and those that have one are nobody's."""
+    ends = pairs.select(F.col("u").alias("id"), F.lit(1).alias("up")).union(pairs.select("v", F.lit(0)))
+    seen = ends.groupBy("id").agg(F.sum("up").alias("up"), F.min("up").alias("root"))
+    return seen.filter("up > 1 or (up = 1 and root = 0)").isEmpty()
+
+
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """links: a, b (any order, repeats allowed). Returns id, component (its smallest id), one
     row for each id that a link names.
 
-    A step points every neighbour of an id at the smallest one around it: first the larger
-    neighbours, then the smaller ones. Repeated until nothing moves, each component is a
+    A step points every neighbour of an id at the smallest one around it: first the smaller
+    neighbours (and the id itself), then the larger ones. Repeated until each component is a
     star around its smallest id; that takes a number of steps logarithmic in its size.
     Links stay in tables that all executors read.
     """
     pairs = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     pairs = scratch.write(pairs, "links")
-    state = None
-    while True:
-        both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    while not _stars(pairs):
+        # an id has few smaller neighbours: the bands it was linked in, or stars it is between
+        near = pairs.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+        small = near.select(F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))
+        small = scratch.write(small, "smaller")
+        both = small.union(small.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(nearest, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(smallest, "u")
-            .select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-            .filter("u <> v")
-            .distinct()
-        )
-        now = scratch.write(small, "links")
-        sums = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        large = both.join(nearest, "u").filter("v > u and v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        now = scratch.write(large, "links")
         scratch.drop(pairs)
+        scratch.drop(small)
         pairs = now
-        if sums == state:
-            break
-        state = sums
     return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         pairs.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )

@@ -198,14 +198,16 @@ def near_duplicates(docs: DataFrame, words: int, percent: int = 80) -> DataFrame
     buckets = keyed.groupBy("grp").agg(F.count("*").alias("n"), F.min("rep").alias("a"), F.max("rep").alias("b"))
     buckets = scratch.write(buckets.filter("n > 1"), "buckets")
     similarity = percent / 100
-    rough = pair_links(buckets.filter("n = 2").select("a", "b").filter("a <> b").distinct(), classes, similarity)
+    rough = pair_links(buckets.filter("n = 2").select("a", "b").filter("a <> b"), classes, similarity)
     larger = keyed.join(buckets.filter("n > 2").select("grp"), "grp").join(classes.select("rep", F.col("bits").alias("payload")), "rep")
     larger = scratch.write(larger.select("grp", F.col("rep").alias("id"), "payload"), "larger")
     rough = rough.union(block_links(larger, bit_matrix(similarity), scratch))
     groups = scratch.write(components(rough, scratch), "groups")
     members = scratch.write(member_sets(docs, groups, words), "members")
     links = block_links(members, set_matrix(percent), scratch)
-    found = scratch.write(components(links.union(repeated_ids(made, classes)), scratch), "components")
+    again = repeated_ids(made, classes)
+    links = links if again is None else links.union(again)
+    found = scratch.write(components(links, scratch), "components")
     label = classes.select("k1", "k2", "rep", "n_docs").join(found.withColumnRenamed("id", "rep"), "rep", "left")
     label = label.filter("n_docs > 1 or component is not null").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     return (
@@ -217,10 +219,12 @@ def near_duplicates(docs: DataFrame, words: int, percent: int = 80) -> DataFrame
     )
 
 
-def repeated_ids(made: DataFrame, classes: DataFrame) -> DataFrame:
+def repeated_ids(made: DataFrame, classes: DataFrame) -> DataFrame | None:
     """Links a, b between a doc_id that stands on several rows and the classes of its texts."""
     own = made.filter("n_shingles > 0 and doc_id is not null")
     several = own.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    if several.isEmpty():
+        return None
     return own.join(several, "doc_id").join(classes, ["k1", "k2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
 
