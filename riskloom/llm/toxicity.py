@@ -15,11 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.store import Scratch
 from riskloom.llm.textscan import LOWER, hash_spans, mix, row_slices, spans, text_bytes
 
 #: Labelled rows that the model is fitted on, at most (about: they are drawn by a hash of
 #: the id, so that the share fits the bound).
-FIT_ROWS = 20_000
+FIT_ROWS = 10_000
 BUCKETS = 1 << 20
 #: Features kept for the fit: the most telling ones, by their log odds in standard errors.
 FEATURES, MIN_ERRORS, MIN_TEXTS = 2048, 2.5, 4
@@ -109,18 +110,15 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), *(pa.array(np.append(sums[s][at], seen[s]).astype(np.int64)) for s in (0, 1))], names=["bucket", "clean", "toxic"])
 
     counts = texts.mapInArrow(count, "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    counts = counts.filter(f"bucket < 0 or clean + toxic >= {MIN_TEXTS}").toPandas()
-    whole = counts[counts.bucket < 0]
-    n_clean, n_toxic = int(whole.clean.sum()), int(whole.toxic.sum())
-    empty = Model(np.zeros(BUCKETS, np.float32), 0.0, False)
-    if not n_clean or not n_toxic:
-        return empty
-    counts = counts[counts.bucket >= 0]
-    a, b = counts.toxic.to_numpy() + 0.5, counts.clean.to_numpy() + 0.5
-    odds = np.log(a / (n_toxic - a + 1)) - np.log(b / (n_clean - b + 1))
-    errors = np.abs(odds) / np.sqrt(1 / a + 1 / b)
-    order = np.lexsort((counts.bucket.to_numpy(), -errors))[:FEATURES]
-    chosen = counts.bucket.to_numpy()[order[errors[order] >= MIN_ERRORS]]
+    counts = Scratch(spark, "toxicity").write(counts.filter(f"bucket < 0 or clean + toxic >= {MIN_TEXTS}"), "counts")
+    whole = counts.filter("bucket < 0").first()
+    if whole is None or not whole["clean"] or not whole["toxic"]:
+        return Model(np.zeros(BUCKETS, np.float32), 0.0, False)
+    a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    odds = F.log(a / (whole["toxic"] + 1 - a)) - F.log(b / (whole["clean"] + 1 - b))
+    told = counts.filter("bucket >= 0").select("bucket", (F.abs(odds) / F.sqrt(1 / a + 1 / b)).alias("errors")).filter(F.col("errors") >= MIN_ERRORS)
+    best = told.orderBy(F.desc("errors"), "bucket").limit(FEATURES).collect()
+    chosen = np.array([r["bucket"] for r in best], np.int64)
     place = np.full(BUCKETS, -1, np.int16)
     place[chosen] = np.arange(len(chosen))
     places = spark.sparkContext.broadcast(place)
@@ -150,10 +148,10 @@ def learn(made: pa.Table, chosen: np.ndarray) -> Model:
     toxic = made.column("toxic").to_numpy()
     plain = made.column("sentences").to_numpy().astype(np.int64)
     at, features = (made.column(c).combine_chunks() for c in ("at", "features"))
-    doc = np.repeat(np.arange(len(toxic)), np.diff(at.offsets.to_numpy()))
-    local, feature = at.values.to_numpy().astype(np.int64), features.values.to_numpy()
+    doc = np.repeat(np.arange(len(toxic), dtype=np.int32), np.diff(at.offsets.to_numpy()))
+    local, feature = at.values.to_numpy(), features.values.to_numpy()
     new = np.append(True, (doc[1:] != doc[:-1]) | (local[1:] != local[:-1])) if len(doc) else np.zeros(0, bool)
-    sentence = np.cumsum(new) - 1
+    sentence = (np.cumsum(new) - 1).astype(np.int32)
     doc = doc[new]
     plain = plain - np.bincount(doc, minlength=len(toxic))  # sentences without a feature
     w, bias = np.zeros(len(chosen)), -5.0
