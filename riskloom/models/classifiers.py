@@ -14,6 +14,8 @@ from riskloom.config import RiskConfig
 from riskloom.models.encoder import FEATURES
 from riskloom.roles import LABEL, WEIGHT
 
+HELD_OUT = "_held_out"
+
 
 def class_counts(df: DataFrame, target: str) -> dict[int, int]:
     flag = F.col(target).cast("int")
@@ -58,10 +60,24 @@ def _random_forest(cfg: RiskConfig, rows: int) -> Estimator:
     )
 
 
+#: Boosting holds out a share of the rows, and stops when the loss there no longer falls, if
+#: there are more than so many.
+STOPPING_ROWS, HELD_OUT_SHARE, STOPPING_TOLERANCE = 10_000, 0.1, 1e-3
+
+
 def _gradient_boosting(cfg: RiskConfig, rows: int) -> Estimator:
-    return GBTClassifier(
+    model = GBTClassifier(
         featuresCol=FEATURES, labelCol=LABEL, stepSize=0.05, maxIter=250, seed=cfg.seed
     )
+    if rows <= STOPPING_ROWS:
+        return model
+    return model.setParams(validationIndicatorCol=HELD_OUT, validationTol=STOPPING_TOLERANCE)
+
+
+def with_held_out_rows(vectors: DataFrame, estimator: Estimator, cfg: RiskConfig) -> DataFrame:
+    """Adds the column of held-out rows where the estimator stops by one."""
+    watched = estimator.hasParam("validationIndicatorCol") and estimator.isSet("validationIndicatorCol")
+    return vectors.withColumn(HELD_OUT, F.rand(cfg.seed) < HELD_OUT_SHARE) if watched else vectors
 
 
 BUILDERS: dict[str, Callable[[RiskConfig, int], Estimator]] = {

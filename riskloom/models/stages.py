@@ -20,7 +20,13 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.config import RiskConfig
-from riskloom.models.classifiers import balanced_weight, class_counts, classifier, top_features
+from riskloom.models.classifiers import (
+    balanced_weight,
+    class_counts,
+    classifier,
+    top_features,
+    with_held_out_rows,
+)
 from riskloom.models.encoder import FEATURES, TabularEncoder, TabularEncoderModel
 from riskloom.operators.cleaning import clean
 from riskloom.operators.history import (
@@ -173,7 +179,8 @@ def prepare(train: DataFrame, cfg: RiskConfig) -> PreparedTraining:
 def fit(train: DataFrame, cfg: RiskConfig, ready: PreparedTraining | None = None) -> FittedModel:
     """Fit the configured classifier on clean training rows."""
     ready = ready or prepare(train, cfg)
-    model = classifier(cfg, ready.rows).fit(ready.vectors)
+    estimator = classifier(cfg, ready.rows)
+    model = estimator.fit(with_held_out_rows(ready.vectors, estimator, cfg))
     stages = [TransactionCleaner(cfg), ready.history, ready.encoder, model]
     return FittedModel(
         PipelineModel(stages),

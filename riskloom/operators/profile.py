@@ -33,7 +33,7 @@ def monthly_volume(df: DataFrame, time: str, target: str) -> DataFrame:
 def column_quality(
     df: DataFrame, limit: int | None = 30, approximate: bool = False
 ) -> DataFrame:
-    """Type, share of missing values and distinct values per column, worst first.
+    """Type, share of missing values (NULL and NaN) and distinct values per column, worst first.
 
     The exact distinct counts go through one (column, value) aggregation that is
     combined before the shuffle; ``approximate`` uses sketches instead.
@@ -41,9 +41,9 @@ def column_quality(
     columns = df.columns
     types = dict(df.dtypes)
     missing = df.agg(
-        *[F.avg(F.col(c).isNull().cast("double")).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[F.avg(_known(df, c).isNull().cast("double")).alias(f"m{i}") for i, c in enumerate(columns)],
         *(
-            [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]
+            [F.approx_count_distinct(_known(df, c)).alias(f"d{i}") for i, c in enumerate(columns)]
             if approximate
             else []
         ),
@@ -68,7 +68,7 @@ def column_quality(
             F.explode(
                 F.array(
                     *[
-                        F.struct(F.lit(c).alias("_column"), _value_text(c, types[c]).alias("_value"))
+                        F.struct(F.lit(c).alias("_column"), _value_text(df, c).alias("_value"))
                         for c in columns
                     ]
                 )
@@ -87,10 +87,16 @@ def column_quality(
     return ordered if limit is None else ordered.limit(limit)
 
 
-def _value_text(column: str, dtype: str) -> Column:
-    # Adding 0 makes the two zeros one value.
-    value = F.col(column) + F.lit(0.0) if dtype in ("double", "float") else F.col(column)
-    return value.cast("string")
+def _known(df: DataFrame, column: str) -> Column:
+    """The value, where it is one: NaN is as missing as NULL. Adding 0 makes both zeros one."""
+    value = F.col(f"`{column}`")
+    if dict(df.dtypes)[column] not in ("double", "float"):
+        return value
+    return F.when(~F.isnan(value), value + F.lit(0.0))
+
+
+def _value_text(df: DataFrame, column: str) -> Column:
+    return _known(df, column).cast("string")
 
 
 def source_shapes(sources: Mapping[str, DataFrame]) -> DataFrame:
@@ -107,7 +113,7 @@ def source_shapes(sources: Mapping[str, DataFrame]) -> DataFrame:
 def missing_rates(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Share of missing values per created feature, highest first."""
     rates = df.agg(
-        *[F.avg(F.col(c).isNull().cast("double")).alias(f"m{i}") for i, c in enumerate(features)]
+        *[F.avg(_known(df, c).isNull().cast("double")).alias(f"m{i}") for i, c in enumerate(features)]
     )
     return (
         rates.select(
