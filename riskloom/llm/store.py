@@ -32,10 +32,10 @@ class Scratch:
     def __init__(self, spark: SparkSession, job: str) -> None:
         self.spark, self.root, self.steps = spark, new_path(spark, job), 0
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, level: int = 3) -> DataFrame:
         self.steps += 1
         path = f"{self.root}/{self.steps:03d}-{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +21,17 @@ from pyspark.sql import functions as F
 from riskloom.llm import byte_tokens
 from riskloom.llm.files import Replacing, locate
 from riskloom.llm.store import Scratch, new_path
-from riskloom.llm.textscan import mix
+from riskloom.llm.textscan import mix, text_bytes
 
 ROUNDS = 6
 SEQUENCE_TOKENS = 128
 END_ID = 1
 #: Records of a shard: 16 MB of two-byte ids.
 SHARD_ROWS = 65_536
+#: Record bytes that a task sorts by shard at once, and how hard it packs them.
+HELD_BYTES, PACKING_LEVEL = 32 << 20, 9
+#: What travels with each record: place in its shard, doc_id, whether there is one, seq_no, n_tokens.
+FIELDS = tuple(map(np.dtype, ("<u4", "<i8", "u1", "<i4", "<i4")))
 
 
 def permute(index: np.ndarray, size: int, key: str) -> np.ndarray:
@@ -97,7 +102,7 @@ def materialise(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "training-order")
-    made = scratch.write(sequences(docs, vocabulary, tokens, end_id), "sequences")
+    made = scratch.write(sequences(docs, vocabulary, tokens, end_id), "sequences", level=12)
     # counts per task are as many as tasks; each task's records follow those of earlier tasks
     counts = sorted((r["_part"], r["n"]) for r in made.groupBy("_part").agg(F.count("*").alias("n")).collect())
     parts, sizes = (np.array(x, np.int64) for x in (zip(*counts, strict=True) if counts else ((), ())))
@@ -105,47 +110,76 @@ def materialise(
     if not total:
         return spark.createDataFrame([], INDEX)
     first = spark.sparkContext.broadcast(dict(zip(parts.tolist(), (np.cumsum(sizes) - sizes).tolist(), strict=True)))
-    names = ["doc_id", "seq_no", "n_tokens", "record", "slot"]
+    stride = tokens * _id_type(vocabulary).itemsize
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = batch.column(4).to_numpy(zero_copy_only=False)
-            index = np.array([first.value[p] for p in part.tolist()], np.int64) + batch.column(5).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(permute(index, total, key))], names=names)
+        pack = zstandard.ZstdCompressor(level=PACKING_LEVEL).compress
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def flush() -> pa.RecordBatch:
+            slot, *fields, records = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order = np.argsort(slot, kind="stable")
+            shard = slot[order] // shard_rows
+            groups = np.split(order, np.flatnonzero(np.diff(shard)) + 1)
+            own = [int(slot[g[0]] // shard_rows) for g in groups]
+            parts = [[slot[g] - k * shard_rows, *(f[g] for f in fields)] for k, g in zip(own, groups, strict=True)]
+            blobs = [
+                pack(b"".join([*(x.astype(t).tobytes() for x, t in zip(part, FIELDS, strict=True)), records[g].tobytes()]))
+                for part, g in zip(parts, groups, strict=True)
+            ]
+            return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], names=["shard", "blob"])
 
-    slots = made.mapInArrow(place, "doc_id long, seq_no long, n_tokens long, record binary, slot long")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            doc, seq, size, part, at = (batch.column(i) for i in (0, 1, 2, 4, 5))
+            index = np.array([first.value[p] for p in part.to_pylist()], np.int64) + at.to_numpy()
+            known = doc.is_valid().to_numpy(zero_copy_only=False)
+            records = text_bytes(batch.column(3))[0].reshape(-1, stride)
+            held.append((permute(index, total, key), doc.fill_null(0).to_numpy(), known, seq.to_numpy(), size.to_numpy(), records))
+            if sum(len(x[0]) for x in held) * stride >= HELD_BYTES:
+                yield flush()
+        if held:
+            yield flush()
+
+    # what a task has for one shard travels as one compressed blob
     shards = -(-total // shard_rows)
-    ranged = (
-        slots.withColumn("shard", F.expr(f"slot div {shard_rows}"))
-        .repartitionByRange(shards, "shard")
-        .sortWithinPartitions("slot")
-    )
+    ranged = made.mapInArrow(place, "shard long, blob binary").repartitionByRange(shards, "shard").sortWithinPartitions("shard")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         held: list[bytes] = []
         shard = None
 
-        def flush() -> None:
-            if held:
-                with Replacing(shard_path(folder, shard)) as out:
-                    out.write(b"".join(held))
-                held.clear()
+        def flush() -> pa.RecordBatch:
+            rows = min(shard_rows, total - shard * shard_rows)
+            whole, table = np.zeros((rows, stride), np.uint8), np.zeros((5, rows), np.int64)
+            for blob in held:
+                raw = unpack(blob)
+                n, fields, at = len(raw) // (sum(t.itemsize for t in FIELDS) + stride), [], 0
+                for t in FIELDS:
+                    fields.append(np.frombuffer(raw, t, n, at))
+                    at += n * t.itemsize
+                place = fields[0].astype(np.int64)
+                table[:, place] = fields
+                whole[place] = np.frombuffer(raw, np.uint8, n * stride, at).reshape(n, stride)
+            with Replacing(shard_path(folder, shard)) as out:
+                out.write(whole.tobytes())
+            held.clear()
+            doc = pa.array(table[1], mask=table[2] == 0)
+            arrays = [doc, *(pa.array(x) for x in (table[3], table[4], table[0] + shard * shard_rows, np.full(rows, shard), np.arange(rows) * stride))]
+            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "seq_no", "n_tokens", "slot", "shard", "offset"])
 
         for batch in batches:
-            own = batch.column(5).to_numpy(zero_copy_only=False)
-            for at in np.split(np.arange(len(own)), np.flatnonzero(np.diff(own)) + 1):
-                if len(at):
-                    if own[at[0]] != shard:
-                        flush()
-                        shard = int(own[at[0]])
-                    held += batch.column(3).slice(int(at[0]), len(at)).to_pylist()
-            slot = batch.column(4).to_numpy(zero_copy_only=False)
-            stride = len(batch.column(3)[0].as_py()) if len(own) else 0
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(3)), batch.column(4), batch.column(5), pa.array((slot - own * shard_rows) * stride)],
-                names=["doc_id", "seq_no", "n_tokens", "slot", "shard", "offset"],
-            )
-        flush()
+            for own, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if own != shard:
+                    if held:
+                        yield flush()
+                    shard = own
+                held.append(blob)
+        if held:
+            yield flush()
 
     index = scratch.write(ranged.mapInArrow(write, INDEX), "index")
     scratch.drop(made)
@@ -197,7 +231,7 @@ def training_order(docs: DataFrame, vocabulary: str, key: str = "epoch-0") -> Da
             for shard, at, n in zip(*(batch.column(i).to_pylist() for i in (4, 5, 2)), strict=True):
                 if opened is None or opened[0] != shard:
                     store, path = locate(shard_path(folder, shard))
-                    opened = shard, store.open_input_stream(path).read()
+                    opened = shard, store.open_input_stream(path, compression=None).read()
                 sums.append(zlib.crc32(opened[1][at : at + n * size]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.int64())], names=names)
 
