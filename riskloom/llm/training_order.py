@@ -30,6 +30,8 @@ END_ID = 1
 SHARD_ROWS = 65_536
 #: Record bytes that a task sorts by shard at once, and how hard it packs them.
 HELD_BYTES, PACKING_LEVEL = 32 << 20, 9
+#: Range partitions at most; each holds neighbouring shards.
+MOST_RANGES = 20_000
 #: What travels with each record: place in its shard, doc_id, whether there is one, seq_no, n_tokens.
 FIELDS = tuple(map(np.dtype, ("<u4", "<i8", "u1", "<i4", "<i4")))
 
@@ -145,7 +147,10 @@ def materialise(
 
     # what a task has for one shard travels as one compressed blob
     shards = -(-total // shard_rows)
-    ranged = made.mapInArrow(place, "shard long, blob binary").repartitionByRange(shards, "shard").sortWithinPartitions("shard")
+    ranges = min(shards, MOST_RANGES)
+    blobs = made.mapInArrow(place, "shard long, blob binary")
+    # the ranges are known, so nothing has to be sampled to find them
+    ranged = blobs.repartitionById(ranges, F.expr(f"int(shard * {ranges} div {shards})")).sortWithinPartitions("shard")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
