@@ -7,9 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm import neardup
 from riskloom.llm.memo import distinct
 from riskloom.llm.store import Scratch
 from riskloom.llm.textscan import LOWER, SPACE, hash_spans, mix, per_row, row_slices, spans, text_bytes
@@ -21,17 +22,18 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: A line goes if more than MAX_DOCS documents of a host, and more than MAX_SHARE of them,
 #: hold it; documents that are copies of each other count once.
 MAX_DOCS, MAX_SHARE = 20, 0.005
-#: Of the documents that hold such a line at least this share must differ from each other:
-#: a line that only goes round within a family of copies is left to deduplication.
-MIN_UNLIKE = 0.3
+#: Copies are linked if they share at least this percentage of their sets of two-word
+#: shingles: a few changed words. Pages with up to 95% of their words in shared lines have
+#: at most 0.95 / 1.05 of their shingles in common and are no copies.
+COPY_WORDS, COPY_PERCENT = 2, 92
 #: A document is depleted if less than this share of its words is left.
 MIN_LEFT = 0.3
 MIN_WORDS = 50
-#: Common lines that are joined with a broadcast (about 40 bytes each).
+#: Common lines, and texts with copies, that are joined with a broadcast (about 40 bytes each).
 BROADCAST_LINES = 500_000
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-SCHEMA = ", ".join(f"{c} long" for c in COUNTS) + ", copy_key long, lines array<long>, line_words array<int>"
+SCHEMA = ", ".join(f"{c} long" for c in COUNTS) + ", lines array<long>, line_words array<int>"
 
 
 def _repeats(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -43,11 +45,9 @@ def _repeats(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def measure(column: pa.Array) -> Iterator[dict[str, np.ndarray | pa.Array]]:
-    """Per run of rows the base counts, the copy key, and the lines with their words.
+    """Per run of rows the base counts, and the lines with their words.
 
-    A line is normalised to its words in ASCII lower case, whatever stands between them.
-    The copy key is the smallest hash of two neighbouring words: documents that are copies
-    with a few words changed mostly share it, others hardly ever do."""
+    A line is normalised to its words in ASCII lower case, whatever stands between them."""
     data, starts = text_bytes(column)
     for first, last in row_slices(starts):
         raw, edges, n = data[starts[first] : starts[last]], starts[first : last + 1] - starts[first], last - first
@@ -77,19 +77,8 @@ def measure(column: pa.Array) -> Iterator[dict[str, np.ndarray | pa.Array]]:
         for j in range(3):
             marked[again + j] = True
         out["n_repeat_words"] = per_row(row[marked], n)
-        # the method's lines and copy key
+        # the method's lines
         low = hash_spans(LOWER[raw], begin, end)
-        pair = mix((mix(low[:-1]) + _STEP) ^ low[1:]) if len(low) > 1 else np.zeros(0, np.uint64)
-        own = np.append(pair, 0).astype(np.uint64) if len(low) else pair
-        ends_row = np.append(row[1:] != row[:-1], True) if len(row) else np.zeros(0, bool)
-        own[ends_row] = np.uint64(0xFFFFFFFFFFFFFFFF)
-        alone = ends_row & np.append(True, ends_row[:-1]) if len(row) else ends_row
-        own[alone] = low[alone]
-        key = np.zeros(n, np.uint64)
-        heads = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
-        if len(heads):
-            key[row[heads]] = np.minimum.reduceat(own, heads)
-        out["copy_key"] = key.astype(np.int64)
         line_of = np.searchsorted(line_begin, begin, "right") - 1
         heads = np.searchsorted(line_of, np.arange(len(line_begin)))
         place = np.arange(len(low)) - heads[line_of] if len(low) else np.zeros(0, np.int64)
@@ -101,32 +90,45 @@ def measure(column: pa.Array) -> Iterator[dict[str, np.ndarray | pa.Array]]:
         yield out
 
 
+def text_key() -> Column:
+    return F.xxhash64("text").alias("copy_key")
+
+
 def measures(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: _row (its number), doc_id, host (the source, or an empty name), what
-    ``measure`` gives, and the columns in ``carry``."""
+    """Per row: _row (its number), doc_id, host (the source, or an empty name), copy_key (the
+    hash of the text), what ``measure`` gives, and the columns in ``carry``."""
     kinds = dict(docs.dtypes)
-    schema = f"_row long, doc_id long, host string, {SCHEMA}" + "".join(f", `c_{c}` {kinds[c]}" for c in carry)
-    names = ["_row", "doc_id", "host", *COUNTS, "copy_key", "lines", "line_words", *(f"c_{c}" for c in carry)]
+    schema = f"_row long, doc_id long, host string, copy_key long, {SCHEMA}" + "".join(f", `c_{c}` {kinds[c]}" for c in carry)
+    names = ["_row", "doc_id", "host", "copy_key", *COUNTS, "lines", "line_words", *(f"c_{c}" for c in carry)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 36
         for batch in batches:
-            for found in measure(batch.column(2)):
+            for found in measure(batch.column(3)):
                 own = batch.slice(int(found["rows"][0]), len(found["rows"]))
-                made = (found[c] for c in (*COUNTS, "copy_key", "lines", "line_words"))
+                made = (found[c] for c in (*COUNTS, "lines", "line_words"))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(number, number + len(own))), own.column(0), own.column(1), *(x if isinstance(x, pa.Array) else pa.array(x) for x in made), *own.columns[3:]],
+                    [pa.array(np.arange(number, number + len(own))), *own.columns[:3], *(x if isinstance(x, pa.Array) else pa.array(x) for x in made), *own.columns[4:]],
                     names=names,
                 )
                 number += len(own)
 
     host = F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host")
-    own = docs.select(F.col("doc_id").cast("long"), host, F.col("text").alias("_text"), *(F.col(c).alias(f"c_{c}") for c in carry))
+    own = docs.select(F.col("doc_id").cast("long"), host, text_key(), F.col("text").alias("_text"), *(F.col(c).alias(f"c_{c}") for c in carry))
     return own.mapInArrow(work, schema)
 
 
+def families(docs: DataFrame) -> DataFrame:
+    """copy_key, family: the texts that are copies of a text with a smaller key, by the exact
+    components of ``neardup``. Other texts are families of their own."""
+    texts = docs.filter("text is not null").select(text_key().alias("doc_id"), "text")
+    found = neardup.near_duplicates(texts, COPY_WORDS, COPY_PERCENT).filter("component_id <> doc_id")
+    return found.select(F.col("doc_id").alias("copy_key"), F.col("component_id").alias("family")).distinct()
+
+
 def line_counts(made: DataFrame) -> DataFrame:
-    """Per host and line: in how many documents it stands, and how many of them differ."""
+    """Per host and line: in how many documents it stands, and in how many that have
+    different copy keys."""
     lines = made.select("host", "copy_key", F.explode(F.array_distinct("lines")).alias("line"))
     families = lines.groupBy("host", "line", "copy_key").agg(F.count("*").alias("n"))
     return families.groupBy("host", "line").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_unlike"))
@@ -135,7 +137,7 @@ def line_counts(made: DataFrame) -> DataFrame:
 def common_lines(made: DataFrame) -> DataFrame:
     """host, line, n_docs, n_unlike: the lines above the limits."""
     hosts = made.groupBy("host").agg(F.count("*").alias("n_host"))
-    counts = line_counts(made).filter((F.col("n_unlike") > MAX_DOCS) & (F.col("n_unlike") >= MIN_UNLIKE * F.col("n_docs")))
+    counts = line_counts(made).filter(F.col("n_unlike") > MAX_DOCS)
     return counts.join(hosts, "host").filter(F.col("n_unlike") > MAX_SHARE * F.col("n_host")).drop("n_host")
 
 
@@ -143,9 +145,11 @@ def assess(docs: DataFrame, scratch: Scratch, carry: tuple[str, ...] = ()) -> Da
     """Each row's measures, _at (the places of its common lines among its lines with words),
     n_left (words outside them), base_failed and kept. See ``quality_rules``."""
     made = scratch.write(measures(docs, carry), "measures")
-    common = scratch.write(common_lines(made).select("host", "line"), "common-lines")
-    if common.count() <= BROADCAST_LINES:
-        common = F.broadcast(common)
+    sized = lambda x: F.broadcast(x) if x.count() <= BROADCAST_LINES else x
+    copies = sized(scratch.write(families(docs), "families"))
+    counted = made.select("host", "copy_key", "lines").join(copies, "copy_key", "left")
+    counted = counted.withColumn("copy_key", F.coalesce("family", "copy_key")).drop("family")
+    common = sized(scratch.write(common_lines(counted).select("host", "line"), "common-lines"))
     lines = made.select("_row", "host", F.posexplode(F.arrays_zip("lines", "line_words")).alias("_place", "_line"))
     lines = lines.select("_row", "host", "_place", F.col("_line.lines").alias("line"), F.col("_line.line_words").alias("words"))
     gone = lines.join(common, ["host", "line"]).groupBy("_row").agg(F.collect_list("_place").alias("_at"), F.sum("words").alias("_gone"))
@@ -163,9 +167,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     and n_left for each row of ``docs`` (doc_id, text, source).
 
     Lines are hashed as their words in ASCII lower case. On each host a line is common if
-    more than MAX_DOCS and MAX_SHARE of the host's documents hold it; copies of one
-    document count once, and a line that hardly leaves such a family isn't common. A
-    document that passes the base rules is depleted, and not kept, if less than MIN_LEFT of
+    more than MAX_DOCS and MAX_SHARE of the host's documents hold it; a document and its
+    copies (COPY_PERCENT) count once. A document that passes the base rules is depleted, and not kept, if less than MIN_LEFT of
     its words stand outside common lines.
 
     A null or empty text has no words and fails the base rules. A null source is a host of

@@ -80,6 +80,31 @@ def test_common_lines_against_plain_counts(documents):
     assert all(1 <= unlike <= n for n, unlike in got.values())
 
 
+@pytest.mark.parametrize("shared", [70, 80, 90, 95])
+def test_pages_of_mostly_shared_lines_are_depleted(documents, shared):
+    """A host with nothing but pages of the same navigation and a few words of their own."""
+    rng = np.random.default_rng(shared)
+    navigation = [some_words(rng, 10) for _ in range(shared // 5)]  # 200 words a page
+    rows = []
+    for i in range(60):
+        lines = list(navigation)
+        lines.insert(i % len(lines), some_words(rng, 200 - 2 * shared))
+        rows.append((i, "\n".join(lines), "pages"))
+    rows += [(100 + i, rows[i][1], "pages") for i in range(30)]  # copies of some of them
+    base = some_words(rng, 150).split()
+    for i in range(75):  # a family of copies, each with one word changed
+        own = [*base[: 2 * i], f"x{i}", *base[2 * i + 1 :]]
+        rows.append((200 + i, "\n".join(" ".join(own[at : at + 10]) for at in range(0, 150, 10)), "copies"))
+    got = {r.doc_id: r for r in quality.quality_rules(documents(rows)).collect()}
+    seen = Counter(line for text in {t for _, t, host in rows if host == "pages"} for line in set(text.split("\n")))
+    for i, text, host in rows:
+        left = sum(len(line.split()) for line in text.split("\n") if seen[line] <= quality.MAX_DOCS)
+        assert got[i].n_left == left and not got[i].base_failed
+        assert got[i].kept == (left >= quality.MIN_LEFT * got[i].n_words)
+    assert not any(got[i].kept for i, _, host in rows if host == "pages" and shared > 70)
+    assert all(got[i].kept for i, _, host in rows if host == "copies")
+
+
 def test_empty_tables(spark, documents):
     none = documents([])
     assert quality.quality_rules(none).count() == 0 and quality.clean(none).count() == 0
