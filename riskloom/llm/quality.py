@@ -19,9 +19,9 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
-#: A line goes if more than MAX_DOCS documents of a host, and more than MAX_SHARE of them,
-#: hold it; documents that are copies of each other count once.
-MAX_DOCS, MAX_SHARE = 20, 0.005
+#: A line goes if more than MAX_DOCS documents of a host hold it, however large the host;
+#: documents that are copies of each other count once.
+MAX_DOCS = 20
 #: Copies are linked if they share at least this percentage of their sets of two-word
 #: shingles: a few changed words. Pages with up to 95% of their words in shared lines have
 #: at most 0.95 / 1.05 of their shingles in common and are no copies.
@@ -135,10 +135,8 @@ def line_counts(made: DataFrame) -> DataFrame:
 
 
 def common_lines(made: DataFrame) -> DataFrame:
-    """host, line, n_docs, n_unlike: the lines above the limits."""
-    hosts = made.groupBy("host").agg(F.count("*").alias("n_host"))
-    counts = line_counts(made).filter(F.col("n_unlike") > MAX_DOCS)
-    return counts.join(hosts, "host").filter(F.col("n_unlike") > MAX_SHARE * F.col("n_host")).drop("n_host")
+    """host, line, n_docs, n_unlike: the lines above the limit."""
+    return line_counts(made).filter(F.col("n_unlike") > MAX_DOCS)
 
 
 def assess(docs: DataFrame, scratch: Scratch, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -167,8 +165,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     and n_left for each row of ``docs`` (doc_id, text, source).
 
     Lines are hashed as their words in ASCII lower case. On each host a line is common if
-    more than MAX_DOCS and MAX_SHARE of the host's documents hold it; a document and its
-    copies (COPY_PERCENT) count once. A document that passes the base rules is depleted, and not kept, if less than MIN_LEFT of
+    more than MAX_DOCS of the host's documents hold it; a document and its copies (COPY_PERCENT) count once. A document that passes the base rules is depleted, and not kept, if less than MIN_LEFT of
     its words stand outside common lines.
 
     A null or empty text has no words and fails the base rules. A null source is a host of

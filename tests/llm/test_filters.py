@@ -105,6 +105,16 @@ def test_pages_of_mostly_shared_lines_are_depleted(documents, shared):
     assert all(got[i].kept for i, _, host in rows if host == "copies")
 
 
+def test_the_limit_of_common_lines_does_not_grow_with_the_host(documents):
+    rng = np.random.default_rng(8)
+    line, copied = some_words(rng, 40), some_words(rng, 60)
+    rows = [(i, line + "\n" + some_words(rng, 15)) for i in range(quality.MAX_DOCS + 1)]
+    rows += [(100 + i, copied if i < 2000 else None) for i in rng.permutation(5000).tolist()]
+    got = {r.doc_id: r for r in quality.quality_rules(documents(rows)).collect()}
+    assert all(got[i].n_left == 15 and not got[i].kept for i in range(quality.MAX_DOCS + 1))
+    assert all(got[100 + i].n_left == 60 and got[100 + i].kept for i in range(2000))
+
+
 def test_empty_tables(spark, documents):
     none = documents([])
     assert quality.quality_rules(none).count() == 0 and quality.clean(none).count() == 0
