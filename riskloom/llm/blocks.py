@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.store import Scratch
@@ -56,14 +56,24 @@ def block_links(members: DataFrame, matrix: Callable[[list[bytes]], np.ndarray],
         F.max("_blocks"), F.sum(F.expr("if(_blocks = 1, _rows, 0)")), F.sum(F.expr("if(_blocks = 1, _bytes, 0)"))
     ).first()
     bundles = max(1, -(-int(rows or 0) // BLOCK_ROWS), -(-int(size or 0) // BLOCK_BYTES))
-    rows = members.join(sizes.select("grp", "_blocks"), "grp").withColumn(
+    rows = members.join(sizes.select("grp", "_blocks", (F.col("_blocks") > 1).alias("_wide")), "grp").withColumn(
         "_block", F.when(F.col("_blocks") > 1, F.pmod(F.xxhash64("id"), F.col("_blocks"))).otherwise(F.lit(0).cast("long"))
     )
+    if wide and wide > 1:  # a few long rows may leave blocks empty: those that have rows are numbered anew
+        filled = rows.filter("_wide").select("grp", "_block").distinct()
+        own = Window.partitionBy("grp")
+        filled = filled.select(
+            F.col("grp").alias("_g"), F.col("_block").alias("_b"), F.count("*").over(own).alias("_filled"),
+            (F.row_number().over(own.orderBy("_block")) - 1).cast("long").alias("_nth"),
+        )
+        filled = scratch.write(filled, "filled")
+        rows = rows.join(filled, (F.col("grp") == F.col("_g")) & (F.col("_block") == F.col("_b")), "left")
+        rows = rows.withColumn("_blocks", F.coalesce("_filled", "_blocks")).withColumn("_block", F.coalesce("_nth", "_block")).drop("_g", "_b", "_filled", "_nth")
     bundle = F.pmod(F.xxhash64("grp", F.lit(1)), F.lit(bundles))
     first = rows.select(
-        F.when(F.col("_blocks") == 1, bundle).otherwise(F.col("grp")).alias("_key"),
-        F.explode(F.when((F.col("_blocks") > 1) & (F.col("_block") == 0), F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).otherwise(F.array("_block"))).alias("_task"),
-        (F.col("_blocks") > 1).alias("_wide"), "grp", "id", "payload", "_block",
+        F.when(F.col("_wide"), F.col("grp")).otherwise(bundle).alias("_key"),
+        F.explode(F.when(F.col("_wide") & (F.col("_block") == 0), F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).otherwise(F.array("_block"))).alias("_task"),
+        "_wide", "grp", "id", "payload", "_block",
     )
 
     def compared(table: pa.Table, wide: bool) -> pa.Table:

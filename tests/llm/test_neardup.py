@@ -65,6 +65,19 @@ def test_components_are_those_of_all_pairs(documents, monkeypatch, words, block)
     assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("block", [300, 900])
+def test_groups_of_few_long_rows_leave_blocks_empty(documents, monkeypatch, block):
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", block)
+    rng = random.Random(11)
+    rows = []
+    for n in range(24):  # groups of two or three copies, each copy longer than a block
+        base = ["".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(120)]
+        for copy in range(2 + n % 2):
+            rows.append((10 * n + copy, " ".join([*base[:60], f"x{copy}", *base[61:]])))
+    got = neardup.near_duplicates(documents(rows), 2).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 2)
+
+
 def test_an_id_with_two_texts_is_one_document(documents):
     rows = [(1, "a b c d"), (2, "a b c d"), (2, "k l m n"), (3, "k l m n"), (4, "p q")]
     got = {(r.doc_id, r.component_id) for r in neardup.near_duplicates(documents(rows), 2).collect()}
