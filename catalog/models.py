@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from uuid import uuid4
 
 from pyspark.ml.functions import vector_to_array
@@ -120,12 +121,56 @@ def _evaluated(spark, sf_dir, model_name: str) -> DataFrame:
     return evaluate(scored, CFG.target, SCORE, threshold, CFG.beta, CFG.limits, ("split",))
 
 
-@query("feature_vectors")
+_MCC = "regexp_extract(props, '([0-9]+)', 1)"
+
+
+def _places_sql(feature: str, before: str) -> str:
+    """CTE of a category's one-hot places, which come after ``before`` entries."""
+    return f"""{feature}_n AS (SELECT {feature} AS v, count(*) AS n FROM t GROUP BY 1),
+    {feature}_fill AS (SELECT v FROM {feature}_n WHERE v IS NOT NULL ORDER BY n DESC, v LIMIT 1),
+    {feature}_all AS (SELECT coalesce(v, (SELECT v FROM {feature}_fill)) AS v, sum(n) AS n FROM {feature}_n GROUP BY 1),
+    {feature}_width AS (SELECT count(*) FILTER (WHERE n >= 10) AS frequent, max(CAST(n < 10 AS INTEGER)) AS rare FROM {feature}_all),
+    {feature}_at AS (SELECT v, {before} + CASE WHEN n < 10 THEN frequent
+      ELSE count(*) FILTER (WHERE n >= 10) OVER (ORDER BY v) - 1 END AS place FROM {feature}_all, {feature}_width)"""
+
+
+_VECTORS_SQL = f"""WITH {TX_SQL}, {split_sql('tx')},
+    t AS (SELECT transaction_id, amount, {_MCC} AS mcc, {_CATEGORY.format(text='VARCHAR')} AS band
+      FROM parts JOIN events ON event_id = pos WHERE split = 'train'),
+    {_places_sql('mcc', '1')},
+    {_places_sql('band', '1 + (SELECT frequent + rare FROM mcc_width)')},
+    filled AS (SELECT *, coalesce(amount, (SELECT median(amount) FROM t)) AS a FROM t),
+    z AS (SELECT *, (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS scaled FROM filled)
+    SELECT transaction_id, CAST(2 + CAST(scaled <> 0 AS INTEGER) AS INTEGER) AS n_entries, round(scaled + 2, 6) AS entry_sum,
+      CAST(m.place AS VARCHAR) || ',' || CAST(b.place AS VARCHAR) AS places
+    FROM z JOIN mcc_at m ON m.v = coalesce(z.mcc, (SELECT v FROM mcc_fill))
+      JOIN band_at b ON b.v = coalesce(z.band, (SELECT v FROM band_fill))"""
+
+
+def _vectors(spark, sf_dir, cfg) -> DataFrame:
+    """The encoded training rows: entries, their sum, and the places of the one-hot ones."""
+    rows = transactions(spark, sf_dir, F.expr(_MCC).alias("mcc"), F.expr(_CATEGORY.format(text="STRING")).alias("band"))
+    train = _train(pin(temporal_split(rows.drop("use_chip"), CFG)))
+    encoded = TabularEncoder(cfg).fit(train).transform(train).withColumn("v", vector_to_array("features"))
+    places = F.filter(F.sequence(F.lit(1), F.size("v") - 1), lambda i: F.get("v", i) != 0)
+    total = F.aggregate("v", F.lit(0.0), lambda a, x: a + x)
+    return encoded.select(
+        "transaction_id",
+        F.size(F.filter("v", lambda x: x != 0)).alias("n_entries"),
+        F.round(total, 6).alias("entry_sum"),
+        F.array_join(places.cast("array<string>"), ",").alias("places"),
+    )
+
+
+@query("feature_vectors", _VECTORS_SQL)
+def _(spark, sf_dir):
+    return _vectors(spark, sf_dir, CFG)
+
+
+@query("feature_vectors_in_long_form", _VECTORS_SQL)
 def _(spark, sf_dir):
-    train = _train(_splits(spark, sf_dir))
-    encoded = TabularEncoder(CFG).fit(train).transform(train)
-    entries = F.size(F.filter(vector_to_array("features"), lambda v: v != 0))
-    return encoded.select("transaction_id", entries.alias("n_entries"))
+    """The same with a vocabulary beyond the broadcast bound, all but its ten commonest values."""
+    return _vectors(spark, sf_dir, CFG.with_(limits=replace(CFG.limits, broadcast_rows=10, rows_per_run=20)))
 
 
 @query("logistic_regression")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from catalog.domain import (
@@ -14,6 +17,7 @@ from catalog.domain import (
     transactions,
 )
 from catalog.registry import query
+from riskloom.models.stages import HistoryFeaturesModel
 from riskloom.operators.history import (
     BEHAVIOUR_COLUMNS,
     FeatureHistory,
@@ -22,6 +26,7 @@ from riskloom.operators.history import (
     row_features,
 )
 from riskloom.operators.split import temporal_split
+from riskloom.session import ensure_checkpoint_dir, join_path
 
 # Missing amounts and a missing card are part of the input.
 _GAPS_SQL = """gaps AS (
@@ -123,19 +128,19 @@ def _(spark, sf_dir):
     parts = temporal_split(order_transactions(spark, sf_dir), CFG)
     history = FeatureHistory.of(parts.filter("split = 'train'"), TX_ROLES)
     current = parts.filter("split = 'validation'").drop("split")
-    past = history.rows_for(current, TX_ROLES)
+    past = history.for_batch(current, TX_ROLES, CFG.limits)
     return _shown(behaviour_features(current, TX_ROLES, CFG.limits, past))
 
 
-@query(
-    "features_with_overlapping_history",
-    f"""WITH {ORDER_TX_SQL},
+_OVERLAPPING_SQL = f"""WITH {ORDER_TX_SQL},
     f AS (SELECT pos, pos % 2 AS past, {_FEATURES_SQL} FROM otx
       WINDOW w AS (PARTITION BY card_id ORDER BY date, pos % 2, pos),
       r AS (PARTITION BY card_id ORDER BY date, pos % 2, pos
             ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING))
-    SELECT * EXCLUDE (past) FROM f WHERE past = 0""",
-)
+    SELECT * EXCLUDE (past) FROM f WHERE past = 0"""
+
+
+@query("features_with_overlapping_history", _OVERLAPPING_SQL)
 def _(spark, sf_dir):
     """Odd orders are history of the even ones; at equal times current rows come first."""
     tx = order_transactions(spark, sf_dir)
@@ -144,6 +149,17 @@ def _(spark, sf_dir):
     return _shown(behaviour_features(current, TX_ROLES, CFG.limits, past))
 
 
+@query("features_with_saved_history", _OVERLAPPING_SQL)
+def _(spark, sf_dir):
+    """The same from a saved history in buckets: whole for cards with late rows, compact for others."""
+    tx = order_transactions(spark, sf_dir)
+    cfg = CFG.with_(limits=replace(CFG.limits, history_bucket_rows=1_000))
+    stage = HistoryFeaturesModel(cfg, TX_ROLES, FeatureHistory.of(tx.filter("_source_pos % 2 = 1"), TX_ROLES))
+    path = join_path(ensure_checkpoint_dir(spark), f"history-{uuid4().hex}")
+    stage.write().save(path)
+    return _shown(HistoryFeaturesModel.load(path).transform(tx.filter("_source_pos % 2 = 0")))
+
+
 @query(
     "supervised_features",
     f"""WITH {_GAPS_SQL},

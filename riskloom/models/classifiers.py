@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
+import numpy as np
 from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.config import RiskConfig
-from riskloom.models.encoder import FEATURES
+from riskloom.models.encoder import FEATURES, TabularEncoderModel
 from riskloom.roles import LABEL, WEIGHT
 
 HELD_OUT = "_held_out"
@@ -100,15 +101,18 @@ def positive_score(scored: DataFrame) -> Column:
     return 1 / (1 + F.exp(-vector_to_array("rawPrediction")[1]))
 
 
-def top_features(model: Any, names: list[str], count: int = 20) -> list[dict[str, Any]]:
+def top_features(model: Any, encoder: TabularEncoderModel, count: int = 20) -> list[dict[str, Any]]:
     """The inputs of largest absolute coefficient or importance."""
     values = getattr(model, "coefficients", None)
     if values is None:
         values = getattr(model, "featureImportances", None)
-    if values is None or len(values) != len(names):
+    if values is None or len(values) != encoder.width:
         return []
     # A model vector lives on the driver anyway; this only ranks its entries.
-    ranked = sorted(zip(names, values.toArray().tolist()), key=lambda p: -abs(p[1]))[:count]
+    values = values.toArray()
+    best = np.argsort(-np.abs(values), kind="stable")[:count].tolist()
+    names = encoder.names(best)
     return [
-        {"feature": n, "importance": v, "absolute_importance": abs(v)} for n, v in ranked
+        {"feature": names[i], "importance": float(values[i]), "absolute_importance": abs(float(values[i]))}
+        for i in best
     ]

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params
 from pyspark.ml.util import (
     DefaultParamsReader,
@@ -25,6 +27,8 @@ from riskloom.roles import feature_groups
 from riskloom.session import join_path, pin
 
 INFREQUENT = "infrequent"
+#: Number of a stored row, which values in long form carry.
+ROW = "_row"
 FEATURES = "features"
 
 
@@ -91,7 +95,31 @@ def _per_feature(values: dict[str, Any], kind: str) -> Column:
     return F.create_map(*pairs)[F.col("feature")].cast(kind)
 
 
-def category_index(counts: DataFrame, min_rows: int) -> CategoryIndex:
+def numbered(frequent: DataFrame, rows: int, limits: ScaleLimits) -> DataFrame:
+    """Adds ``index``: the place of a value among those of its feature, from 0.
+
+    Beyond ``rows_per_run`` values ranges of (feature, value) are numbered apart and shifted
+    by the sizes of the ranges before them, so no task sorts a whole feature.
+    """
+    parts = -(-rows // limits.rows_per_run)
+    if parts <= 1:
+        in_order = Window.partitionBy("feature").orderBy("value")
+        return frequent.withColumn("index", F.row_number().over(in_order) - 1)
+    ranged = pin(
+        frequent.repartitionByRange(parts, "feature", "value").withColumn("_part", F.spark_partition_id())
+    )
+    # One row per range and feature.
+    earlier = Window.partitionBy("feature").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("feature", "_part").agg(F.count("*").alias("_n"))
+    sizes = sizes.select("feature", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    in_order = Window.partitionBy("feature", "_part").orderBy("value")
+    index = (F.col("_before") + F.row_number().over(in_order) - 1).cast("int")
+    return ranged.join(F.broadcast(sizes), ["feature", "_part"]).withColumn("index", index).drop("_part", "_before")
+
+
+def category_index(
+    counts: DataFrame, min_rows: int, limits: ScaleLimits | None = None
+) -> CategoryIndex:
     """Index per (feature, value); all rare values share the last index.
 
     Missing values count for the most frequent value, which replaces them;
@@ -115,15 +143,13 @@ def category_index(counts: DataFrame, min_rows: int) -> CategoryIndex:
     values = {r["feature"]: r["values"] for r in sizes}
     frequent = {r["feature"]: r["values"] - r["rare"] for r in sizes}
     any_rare = {r["feature"]: r["rare"] > 0 for r in sizes}
-    # Only the values that become columns are numbered in one task per feature.
-    in_order = Window.partitionBy("feature").orderBy("value")
-    numbered = (
-        totals.filter(~F.col("is_rare"))
-        .withColumn("index", F.row_number().over(in_order) - 1)
-        .unionByName(totals.filter("is_rare").withColumn("index", _per_feature(frequent, "int")))
+    # Only the values that become columns are numbered.
+    indexed = numbered(totals.filter(~F.col("is_rare")), sum(frequent.values()), limits or ScaleLimits())
+    indexed = indexed.unionByName(
+        totals.filter("is_rare").withColumn("index", _per_feature(frequent, "int"))
     )
     slots = {f: n + any_rare[f] for f, n in frequent.items()}
-    frame = pin(numbered.withColumn("slots", _per_feature(slots, "int")))
+    frame = pin(indexed.withColumn("slots", _per_feature(slots, "int")))
     return CategoryIndex(frame, modes, values, frequent, any_rare)
 
 
@@ -141,14 +167,7 @@ class TabularEncoder(Estimator):
         described: list[dict] = []
         if groups.categorical:
             counts = pin(category_counts(dataset, list(groups.categorical)))
-            enough = F.col("rows") >= self.cfg.min_category_count
-            width = counts.filter(enough).count() + len(groups.categorical)
-            if width > limits.max_categories:
-                raise ValueError(
-                    f"{width} one-hot columns exceed {limits.max_categories}: "
-                    "drop the free-text columns or raise min_category_count"
-                )
-            index = category_index(counts, self.cfg.min_category_count)
+            index = category_index(counts, self.cfg.min_category_count, limits)
             categories = index.frame
             described = self._describe(index, list(groups.categorical))
         return TabularEncoderModel(
@@ -162,28 +181,46 @@ class TabularEncoder(Estimator):
 
     @staticmethod
     def _describe(index: CategoryIndex, order: list[str]) -> list[dict]:
-        slots: dict[str, list[str]] = {f: [] for f in index.modes}
-        shown = index.frame.filter(~F.col("is_rare")).select("feature", "value", "index")
-        for r in sorted(shown.collect(), key=lambda r: r["index"]):
-            slots[r["feature"]].append(f"{r['feature']}_{r['value']}")
-        for feature, any_rare in index.any_rare.items():
-            if any_rare:
-                shared = f"{feature}_{INFREQUENT}"
-                while shared in slots[feature]:
+        """Per feature its place and width in the vector; the names stay in the table."""
+        if not index.modes:
+            return []
+        # Values that look like the name of the shared column, and the filling values' places.
+        alike = F.col("value").rlike(f"^{INFREQUENT}_*$") & ~F.col("is_rare")
+        is_mode = F.col("value") == _per_feature(index.modes, "string")
+        few = index.frame.filter(alike | is_mode).select("feature", "value", "index").collect()
+        taken = {(r["feature"], r["value"]) for r in few}
+        places = {r["feature"]: r["index"] for r in few if r["value"] == index.modes[r["feature"]]}
+        described, offset = [], 0
+        for f in order:
+            if f not in index.modes:
+                continue
+            shared = None
+            if index.any_rare[f]:
+                shared = INFREQUENT
+                while (f, shared) in taken:
                     shared += "_"
-                slots[feature].append(shared)
-        return [
-            {"name": f, "mode": index.modes[f], "values": index.values[f], "slots": slots[f]}
-            for f in order
-            if f in index.modes
-        ]
+            width = index.frequent[f] + index.any_rare[f]
+            described.append(
+                {
+                    "name": f,
+                    "mode": index.modes[f],
+                    "mode_index": places[f],
+                    "values": index.values[f],
+                    "width": width,
+                    "offset": offset,
+                    "shared": shared,
+                }
+            )
+            offset += width
+        return described
 
 
 class TabularEncoderModel(Model, MLWritable, MLReadable):
     """Adds the ``features`` vector: scaled numbers, then one-hot categories.
 
     A value never seen in training becomes all zeros; a column the input lacks
-    counts as missing.
+    counts as missing. A vocabulary of at most ``broadcast_rows`` values is looked up
+    column by column without a shuffle; a larger one in long form (see ``slots``).
     """
 
     state = Param(Params._dummy(), "state", "learned statistics as JSON")
@@ -203,10 +240,29 @@ class TabularEncoderModel(Model, MLWritable, MLReadable):
         return [c["name"] for c in learned["numeric"] + learned["categorical"]]
 
     @property
-    def feature_names(self) -> list[str]:
+    def width(self) -> int:
+        """Entries of a feature vector."""
         learned = self.learned
-        names = [c["name"] for c in learned["numeric"]]
-        return names + [s for c in learned["categorical"] for s in c["slots"]]
+        return len(learned["numeric"]) + sum(c["width"] for c in learned["categorical"])
+
+    def names(self, places: Sequence[int]) -> dict[int, str]:
+        """What stands at the given places of the vector; only these names are read."""
+        learned = self.learned
+        first = len(learned["numeric"])
+        found = {i: learned["numeric"][i]["name"] for i in places if i < first}
+        offsets = {c["name"]: c["offset"] + first for c in learned["categorical"]}
+        for c in learned["categorical"]:
+            last = offsets[c["name"]] + c["width"] - 1
+            if c["shared"] is not None and last in places:
+                found[last] = f"{c['name']}_{c['shared']}"
+        rest = [i for i in places if i not in found]
+        if rest:
+            place = _per_feature(offsets, "int") + F.col("index")
+            named = self.categories.filter(~F.col("is_rare")).select(
+                place.alias("place"), F.concat_ws("_", "feature", "value").alias("name")
+            )
+            found |= {r["place"]: r["name"] for r in named.filter(F.col("place").isin(*rest)).collect()}
+        return found
 
     def scaled(self, dataset: DataFrame) -> DataFrame:
         """Numeric inputs filled with the median and standardized, as ``_n_<name>``."""
@@ -221,46 +277,103 @@ class TabularEncoderModel(Model, MLWritable, MLReadable):
             columns[f"_n_{c['name']}"] = (filled - F.lit(c["mean"])) / F.lit(c["scale"])
         return dataset.withColumns(columns) if columns else dataset
 
-    def indexed(self, dataset: DataFrame) -> DataFrame:
-        """Category index per categorical input, as ``_i_<name>``."""
+    def looked_up(self, dataset: DataFrame) -> DataFrame:
+        """One-hot vector per categorical input, as ``_v_<name>``, by broadcast joins."""
         out = dataset
-        for c in self.learned["categorical"]:
-            name, unknown = c["name"], len(c["slots"])
+        described = self.learned["categorical"]
+        for c in described:
+            name = c["name"]
             value = F.col(name).cast("string") if name in dataset.columns else F.lit(None)
             lookup = self.categories.filter(F.col("feature") == name).select(
                 F.col("value").alias("_v"), F.col("index").alias("_x")
             )
-            if c["values"] <= self.learned["broadcast_rows"]:
-                lookup = F.broadcast(lookup)
-            known = F.coalesce(value, F.lit(c["mode"]))
-            index = F.coalesce(F.col("_x"), F.lit(unknown)).cast("double")
-            slots = {"type": "nominal", "name": f"_i_{name}", "vals": c["slots"]}
+            index = F.coalesce(F.col("_x"), F.lit(c["width"])).cast("double")
+            # With the sizes in the column metadata, fitting the encoder reads no rows.
+            size = {"type": "nominal", "name": f"_i_{name}", "num_vals": c["width"]}
             out = (
-                out.withColumn("_known", known)
-                .join(lookup, F.col("_known") == F.col("_v"), "left")
+                out.withColumn("_known", F.coalesce(value, F.lit(c["mode"])))
+                .join(F.broadcast(lookup), F.col("_known") == F.col("_v"), "left")
                 .withColumn(f"_i_{name}", index)
-                .withMetadata(f"_i_{name}", {"ml_attr": slots})
+                .withMetadata(f"_i_{name}", {"ml_attr": size})
                 .drop("_known", "_v", "_x")
             )
-        return out
+        indexes = [f"_i_{c['name']}" for c in described]
+        # Dropping the extra slot for invalid values makes the unknown value all zeros.
+        encoder = OneHotEncoder(
+            inputCols=indexes,
+            outputCols=[f"_v_{c['name']}" for c in described],
+            handleInvalid="keep",
+            dropLast=True,
+        )
+        return encoder.fit(out).transform(out).drop(*indexes)
+
+    def slots(self, rows: DataFrame) -> DataFrame:
+        """(ROW, slots): the one-hot places of each row of ``rows``, which has the ROW column.
+
+        Values go to rows (ROW, feature, value), are joined with the vocabulary at once, and
+        come together again by ROW, whatever the number of columns. The most frequent values
+        are broadcast, so none of them meets in one task, and missing values are not joined at
+        all. Rows without any known value have an empty list.
+        """
+        described = self.learned["categorical"]
+        values = {
+            c["name"]: F.col(c["name"]).cast("string") if c["name"] in rows.columns else F.lit(None).cast("string")
+            for c in described
+        }
+        filled = [
+            F.when(values[c["name"]].isNull(), F.lit(c["offset"] + c["mode_index"])) for c in described
+        ]
+        missing = rows.select(ROW, F.explode_outer(F.array_compact(F.array(*filled))).alias("slot"))
+        tall = rows.select(
+            ROW,
+            F.explode(
+                F.array(*[F.struct(F.lit(f).alias("feature"), v.alias("value")) for f, v in values.items()])
+            ).alias("_p"),
+        ).select(ROW, F.col("_p.feature").alias("feature"), F.col("_p.value").alias("value"))
+        tall = tall.filter(F.col("value").isNotNull())
+        slot = (_per_feature({c["name"]: c["offset"] for c in described}, "int") + F.col("index")).alias("slot")
+        known = self.categories.select("feature", "value", "rows", slot)
+        by_use = (F.desc("rows"), F.asc("feature"), F.asc("value"))
+        head = pin(known.orderBy(*by_use).limit(self.learned["broadcast_rows"]).drop("rows"))
+        keys = ["feature", "value"]
+        tail = known.drop("rows").join(F.broadcast(head.select(keys)), keys, "left_anti")
+        common = tall.join(F.broadcast(head), keys).select(ROW, "slot")
+        others = tall.join(F.broadcast(head.select(keys)), keys, "left_anti").join(tail, keys).select(ROW, "slot")
+        found = missing.unionByName(common).unionByName(others)
+        return found.groupBy(ROW).agg(F.sort_array(F.collect_list("slot")).alias("slots"))
+
+    def in_long_form(self, dataset: DataFrame) -> DataFrame:
+        """The one-hot part of the vector as ``_v_all``; rows are numbered and stored first."""
+        width = sum(c["width"] for c in self.learned["categorical"])
+        rows = dataset
+        if ROW not in dataset.columns:
+            rows = pin(dataset.withColumn(ROW, F.monotonically_increasing_id()))
+        ones = F.transform("slots", lambda _: F.lit(1.0))
+        # Stored in the layout of a sparse vector, and read as one.
+        sparse = F.struct(
+            F.lit(0).cast("tinyint").alias("type"), F.lit(width).alias("size"),
+            F.col("slots").alias("indices"), ones.alias("values"),
+        )
+        schema = T.StructType([T.StructField(ROW, T.LongType()), T.StructField("_v_all", VectorUDT())])
+        hot = pin(self.slots(rows).select(ROW, sparse.alias("_v_all")), schema=schema)
+        size = {"ml_attr": {"num_attrs": width}}
+        out = rows.join(hot, ROW).withMetadata("_v_all", size)
+        return out if ROW in dataset.columns else out.drop(ROW)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        described = self.learned["categorical"]
         numeric = [f"_n_{c['name']}" for c in self.learned["numeric"]]
-        indexes = [f"_i_{c['name']}" for c in self.learned["categorical"]]
-        vectors = [f"_v_{c['name']}" for c in self.learned["categorical"]]
-        wide = self.indexed(self.scaled(dataset))
-        if indexes:
-            # With the sizes in the column metadata, fitting reads no rows. Dropping
-            # the extra slot for invalid values makes the unknown value all zeros.
-            wide = (
-                OneHotEncoder(
-                    inputCols=indexes, outputCols=vectors, handleInvalid="keep", dropLast=True
-                )
-                .fit(wide)
-                .transform(wide)
-            )
+        vectors: list[str] = []
+        wide = dataset
+        if described and sum(c["values"] for c in described) <= self.learned["broadcast_rows"]:
+            vectors = [f"_v_{c['name']}" for c in described]
+            wide = self.looked_up(wide)
+        elif described:
+            vectors = ["_v_all"]
+            wide = self.in_long_form(wide)
+        wide = self.scaled(wide)
         assembled = VectorAssembler(inputCols=numeric + vectors, outputCol=FEATURES)
-        return assembled.transform(wide).drop(*numeric, *indexes, *vectors)
+        return assembled.transform(wide).drop(*numeric, *vectors)
 
     def write(self) -> MLWriter:
         return _EncoderWriter(self)

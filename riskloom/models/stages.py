@@ -17,7 +17,7 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from riskloom.config import RiskConfig
 from riskloom.models.classifiers import (
@@ -30,9 +30,11 @@ from riskloom.models.classifiers import (
 from riskloom.models.encoder import FEATURES, TabularEncoder, TabularEncoderModel
 from riskloom.operators.cleaning import clean
 from riskloom.operators.history import (
+    BUCKET,
     FeatureHistory,
     behaviour_features,
-    of_same_groups,
+    bucket_count,
+    in_buckets,
     row_features,
 )
 from riskloom.roles import LABEL, WEIGHT, Roles, feature_groups
@@ -59,6 +61,8 @@ class HistoryFeaturesModel(Model, MLWritable, MLReadable):
     roles = Param(Params._dummy(), "roles", "column names found in training as JSON")
     last_micros = Param(Params._dummy(), "last_micros", "last training time, or missing")
     has_missing_time = Param(Params._dummy(), "has_missing_time", "training rows without time")
+    buckets = Param(Params._dummy(), "buckets", "folders of a saved history")
+    schemas = Param(Params._dummy(), "schemas", "columns of its two tables as JSON")
 
     def __init__(
         self,
@@ -81,8 +85,7 @@ class HistoryFeaturesModel(Model, MLWritable, MLReadable):
         featured = row_features(dataset, roles)
         past = None
         if self.history is not None and roles.group and roles.time and roles.amount:
-            past = self.history.rows_for(featured, roles)
-            past = of_same_groups(past, featured, roles.group, limits)
+            past = self.history.for_batch(featured, roles, limits)
         return behaviour_features(featured, roles, limits, past)
 
     def write(self) -> MLWriter:
@@ -99,13 +102,20 @@ class _HistoryWriter(MLWriter):
         self.instance = instance
 
     def saveImpl(self, path: str) -> None:
-        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
-        if self.instance.history is not None:
-            kept = {"history": self.instance.history.rows}
-            kept["history_compact"] = self.instance.history.compact
-            for name, rows in kept.items():
+        """Both forms of the history lie in folders by bucket of the group."""
+        model, kept = self.instance, self.instance.history
+        if kept is not None:
+            limits = RiskConfig.from_json(model.getOrDefault(model.config)).limits
+            roles = Roles(**json.loads(model.getOrDefault(model.roles)))
+            buckets = bucket_count(kept.rows.count(), limits)
+            tables = {"history": kept.rows.drop(BUCKET), "history_compact": kept.compact.drop(BUCKET)}
+            for name, rows in tables.items():
+                out = in_buckets(rows, roles, buckets, limits).write.partitionBy(BUCKET)
                 # Artifacts are hashed file by file, so no file may grow too large.
-                rows.write.option("maxRecordsPerFile", 10_000_000).parquet(join_path(path, name))
+                out.option("maxRecordsPerFile", 10_000_000).parquet(join_path(path, name))
+            schemas = {name: rows.schema.jsonValue() for name, rows in tables.items()}
+            model._set(buckets=buckets, schemas=json.dumps(schemas))
+        DefaultParamsWriter.saveMetadata(model, path, self.sparkSession)
 
 
 class _HistoryReader(MLReader):
@@ -119,10 +129,12 @@ class _HistoryReader(MLReader):
         if "has_missing_time" in params:
             facts = {k: params[k] for k in ("last_micros", "has_missing_time")}
             model._set(**facts)
-            read = self.sparkSession.read.parquet
-            model.history = FeatureHistory(
-                read(join_path(path, "history")), read(join_path(path, "history_compact")), **facts
+            model._set(buckets=params["buckets"], schemas=params["schemas"])
+            rows, compact = (
+                self.sparkSession.read.schema(T.StructType.fromJson(schema).add(BUCKET, T.IntegerType())).parquet(join_path(path, name))
+                for name, schema in json.loads(params["schemas"]).items()
             )
+            model.history = FeatureHistory(rows, compact, buckets=params["buckets"], **facts)
         return model
 
 
@@ -185,5 +197,5 @@ def fit(train: DataFrame, cfg: RiskConfig, ready: PreparedTraining | None = None
     return FittedModel(
         PipelineModel(stages),
         ready.encoder.input_columns,
-        top_features(model, ready.encoder.feature_names),
+        top_features(model, ready.encoder),
     )

@@ -46,12 +46,17 @@ def row_features(df: DataFrame, roles: Roles) -> DataFrame:
 
 @dataclass(frozen=True)
 class FeatureHistory:
-    """Training rows that later rows may look back at."""
+    """Training rows that later rows may look back at.
+
+    ``buckets`` is set where both tables have the column BUCKET and a folder for each of its
+    values, so that a batch reads only the buckets of its own groups.
+    """
 
     rows: DataFrame
     compact: DataFrame
     last_micros: int | None
     has_missing_time: bool = False
+    buckets: int = 0
 
     @classmethod
     def of(cls, train: DataFrame, roles: Roles) -> "FeatureHistory":
@@ -60,28 +65,77 @@ class FeatureHistory:
         last, missing = kept.agg(F.max(at), F.count_if(at.isNull())).first()
         return cls(kept, compact_history(kept, roles), last, missing > 0)
 
-    def rows_for(self, current: DataFrame, roles: Roles) -> DataFrame:
-        """The compact form if all current rows are later than all history rows."""
-        if self.has_missing_time:
-            return self.rows
-        first = current.agg(F.min(_micros(F.col(roles.time)))).first()[0]
-        later = self.last_micros is None or first is None or first > self.last_micros
-        return self.compact if later else self.rows
+    def for_batch(self, current: DataFrame, roles: Roles, limits: ScaleLimits) -> DataFrame:
+        """What the rows of ``current`` have to look back at.
 
+        Groups whose current rows are all later than their own history get its compact form,
+        the others all of it. If the batch has few groups, the buckets of those are read and
+        nothing else is shuffled.
+        """
+        kind = self.rows.schema[roles.group].dataType.simpleString()
+        group = F.col(roles.group).try_cast(kind)
+        at = _micros(F.col(roles.time))
+        seen = pin(current.groupBy(group.alias("_group")).agg(F.min(at).alias("_first")))
+        compact = self.compact
+        if few := _at_most(seen, limits.broadcast_rows):
+            compact = self._of_groups(compact, seen, roles)
+        if not self.has_missing_time:
+            first = seen.agg(F.min("_first")).first()[0]
+            if self.last_micros is None or first is None or first > self.last_micros:
+                return compact.drop(BUCKET)
+        same = F.col(roles.group).eqNullSafe(F.col("_group"))
+        own = compact.groupBy(roles.group).agg(F.max(at).alias("_last"), F.count_if(at.isNull()).alias("_timeless"))
+        overlapping = (F.col("_timeless") > 0) | (F.col("_first") <= F.col("_last"))
+        late = pin(own.join(F.broadcast(seen) if few else seen, same).filter(overlapping).select("_group"))
+        if late.isEmpty():
+            return compact.drop(BUCKET)
+        one = F.lit(1).cast("bigint")
+        if _at_most(late, limits.broadcast_rows):
+            whole, late = self._of_groups(self.rows, late, roles), F.broadcast(late)
+        else:
+            whole = self.rows.join(late, same, "left_semi")
+        rest = compact.join(late, same, "left_anti")
+        return whole.withColumn(_STANDS_FOR, one).unionByName(rest).drop(BUCKET)
 
-def of_same_groups(
-    history: DataFrame, current: DataFrame, group: str, limits: ScaleLimits
-) -> DataFrame:
-    """Leave out history of groups that do not occur, if those that do are few.
+    def _of_groups(self, history: DataFrame, groups: DataFrame, roles: Roles) -> DataFrame:
+        """The history of few groups; of a bucketed table only their folders are read."""
+        if self.buckets:
+            # At most one number per bucket.
+            used = groups.select(bucket_of(F.col("_group"), self.buckets).alias("b")).distinct().collect()
+            history = history.filter(F.col(BUCKET).isin([r["b"] for r in used]))
+        return history.join(F.broadcast(groups), F.col(roles.group).eqNullSafe(F.col("_group")), "left_semi")
+
+
+BUCKET = "_bucket"
+
+
+def _at_most(df: DataFrame, rows: int) -> bool:
+    return df.limit(rows + 1).count() <= rows
 
-    A small batch then reads the history but shuffles next to nothing of it.
+
+def bucket_of(group: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(group), F.lit(buckets)).cast("int")
+
+
+def bucket_count(rows: int, limits: ScaleLimits) -> int:
+    return max(1, min(limits.max_history_buckets, math.ceil(rows / limits.history_bucket_rows)))
+
+
+def in_buckets(history: DataFrame, roles: Roles, buckets: int, limits: ScaleLimits) -> DataFrame:
+    """``history`` with the column BUCKET, dealt out for a write with a folder per bucket.
+
+    Within a file groups lie together, so that statistics tell which parts hold one. A bucket
+    that a hot group overfills is dealt to several tasks.
     """
-    groups = current.select(F.col(group).alias("_group")).distinct()
-    if groups.limit(limits.broadcast_rows + 1).count() > limits.broadcast_rows:
-        return history
-    return history.join(
-        F.broadcast(groups), F.col(group).eqNullSafe(F.col("_group")), "left_semi"
-    )
+    marked = history.withColumn(BUCKET, bucket_of(F.col(roles.group), buckets))
+    # At most one row per bucket.
+    sizes = marked.groupBy(BUCKET).agg(F.count("*").alias("n")).filter(F.col("n") > limits.history_bucket_rows)
+    shares = {r[BUCKET]: math.ceil(r["n"] / limits.history_bucket_rows) for r in sizes.collect()}
+    share = F.lit(0)
+    if shares:
+        pairs = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
+        share = F.coalesce(F.pmod(F.xxhash64(SOURCE_POS), pairs[F.col(BUCKET)]), F.lit(0))
+    return marked.repartition(F.col(BUCKET), share).sortWithinPartitions(BUCKET, roles.group)
 
 
 def _micros(time: Column) -> Column:

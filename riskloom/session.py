@@ -8,6 +8,7 @@ from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -22,19 +23,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _scope: ContextVar[list[str] | None] = ContextVar("pinned", default=None)
 
 
-def pin(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def pin(df: DataFrame, by: Sequence[str] = (), schema: StructType | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read that instead.
 
     This cuts the lineage like a checkpoint. Being Parquet, later steps read only
     the columns they use, and Spark knows the size when it picks a join. Filters
-    on the columns in ``by`` read only the matching folders.
+    on the columns in ``by`` read only the matching folders. ``schema``, where it differs
+    from that of ``df``, gives another name to types of the same layout.
     """
     spark = df.sparkSession
     path = join_path(ensure_checkpoint_dir(spark), f"pinned-{uuid4().hex}")
     if (own := _scope.get()) is not None:
         own.append(path)
     df.write.partitionBy(*by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 @contextmanager

@@ -1,18 +1,21 @@
 """History features against a plain pandas computation, with and without hot groups."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.config import ScaleLimits
+from riskloom.config import RiskConfig, ScaleLimits
+from riskloom.models.stages import HistoryFeaturesModel
 from riskloom.operators.history import (
     BEHAVIOUR_COLUMNS,
     LOOKBACK,
     FeatureHistory,
     behaviour_features,
+    bucket_of,
     history_rows,
-    of_same_groups,
 )
 from riskloom.roles import SOURCE_POS, Roles
 
@@ -97,30 +100,79 @@ def test_compact_history_gives_the_same_features(spark, limits):
     current = table(rng, 120, start="2024-02-01", first_pos=1000)
     history = FeatureHistory.of(to_spark(spark, past), ROLES)
     now = to_spark(spark, current)
-    chosen = history.rows_for(now, ROLES)
-    assert chosen is history.compact
+    chosen = history.for_batch(now, ROLES, limits)
     # Five cards, the missing one included: the last rows and one stand-in each.
     assert chosen.count() <= 5 * (LOOKBACK + 1)
     check(behaviour_features(now, ROLES, limits, chosen), expected(current, past))
     # A batch of few cards needs the history of those cards alone.
     some = current[current["card_id"].isin([2]) | current["card_id"].isna()]
     few = to_spark(spark, some)
-    used = of_same_groups(chosen, few, "card_id", limits)
+    used = history.for_batch(few, ROLES, limits)
     assert used.count() <= 2 * (LOOKBACK + 1)
     check(behaviour_features(few, ROLES, limits, used), expected(some, past))
-    assert of_same_groups(chosen, few, "card_id", ScaleLimits(broadcast_rows=1)) is chosen
+    many = history.for_batch(few, ROLES, ScaleLimits(broadcast_rows=1))
+    assert many.count() == history.compact.count()
 
 
-def test_overlapping_rows_use_the_whole_history(spark):
+@pytest.mark.parametrize("limits", [ScaleLimits(), ScaleLimits(broadcast_rows=1)], ids=["few", "many"])
+def test_only_cards_with_late_rows_use_their_whole_history(spark, limits):
     rng = np.random.default_rng(11)
-    past = to_spark(spark, table(rng, 50))
+    frame = table(rng, 200)
+    past = to_spark(spark, frame)
     history = FeatureHistory.of(past, ROLES)
-    overlapping = to_spark(spark, table(rng, 50, first_pos=500))
-    assert history.rows_for(overlapping, ROLES) is history.rows
-    timeless = past.withColumn("date", F.when(F.col(SOURCE_POS) > 3, F.col("date")))
+    current = table(rng, 80, start="2024-03-01", first_pos=500)
+    late = (current["card_id"] == 3) | current["card_id"].isna()
+    current.loc[late, "date"] = current.loc[late, "date"] - pd.Timedelta(days=60)
+    used = history.for_batch(to_spark(spark, current), ROLES, limits)
+    rows = {r["card_id"]: r["n"] for r in used.groupBy("card_id").agg(F.count("*").alias("n")).collect()}
+    whole = frame.groupby(frame["card_id"].astype(float).fillna(-1)).size()
+    assert rows[None] == whole[-1] and rows[3] == whole[3]
+    assert all(n <= LOOKBACK + 1 for c, n in rows.items() if c not in (None, 3))
+    check(behaviour_features(to_spark(spark, current), ROLES, limits, used), expected(current, frame))
+    # A history row without time comes after every current row of its card.
+    timeless = past.withColumn("date", F.when((F.col("card_id") != 1) | (F.col(SOURCE_POS) % 3 > 0), F.col("date")))
+    frame.loc[(frame["card_id"].isna() | (frame["card_id"] == 1)) & (frame[SOURCE_POS] % 3 == 0), "date"] = pd.NaT
     unsure = FeatureHistory.of(timeless, ROLES)
-    later = to_spark(spark, table(rng, 5, start="2025-01-01", first_pos=900))
-    assert unsure.rows_for(later, ROLES) is unsure.rows
+    later = table(rng, 30, start="2025-01-01", first_pos=900)
+    later.loc[:3, "date"] = pd.NaT
+    check(behaviour_features(to_spark(spark, later), ROLES, limits, unsure.for_batch(to_spark(spark, later), ROLES, limits)), expected(later, frame))
+
+
+def test_a_batch_reads_the_buckets_of_its_cards(spark, tmp_path):
+    rng = np.random.default_rng(12)
+    frame = table(rng, 400)
+    frame["card_id"] = [None if pd.isna(c) else c if c == 1 else int(rng.integers(2, 60)) for c in frame["card_id"]]
+    cfg = RiskConfig(limits=ScaleLimits(history_bucket_rows=25))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    HistoryFeaturesModel(cfg, ROLES, FeatureHistory.of(to_spark(spark, frame), ROLES)).write().save(str(tmp_path / "h"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    model = HistoryFeaturesModel.load(str(tmp_path / "h"))
+    history = model.history
+    assert history.buckets == 16
+    # the hot card's bucket is written by several tasks
+    number = spark.range(1).select(bucket_of(F.lit(1).cast("bigint"), 16)).first()[0]
+    assert len(list((tmp_path / "h" / "history" / f"_bucket={number}").glob("*.parquet"))) >= 3
+
+    def folders(df):
+        """How many buckets each scan of the history reads."""
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scans = re.findall(r"FileScan parquet .*_bucket.*", plan)
+        filters = [re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", scan).group(1) for scan in scans]
+        return [len(re.findall(r"_bucket#\d+ = \d+", f)) or len(re.search(r"_bucket#\d+ IN \((.*?)\)", f).group(1).split(",")) for f in filters]
+
+    one = table(rng, 4, start="2024-02-01", first_pos=1000)
+    one["card_id"] = 7
+    batch = to_spark(spark, one)
+    used = history.for_batch(batch, ROLES, cfg.limits)
+    assert folders(used) == [1]
+    late = one.assign(date=one["date"] - pd.Timedelta(days=31))
+    assert folders(history.for_batch(to_spark(spark, late), ROLES, cfg.limits)) == [1, 1]
+    for frame_now in (one, late, table(rng, 90, first_pos=2000)):
+        out = model.transform(to_spark(spark, frame_now))
+        check(out, expected(frame_now, frame))
+    # ids that arrive as text find the same bucket
+    text = batch.withColumn("card_id", F.col("card_id").cast("string"))
+    assert folders(history.for_batch(text, ROLES, cfg.limits)) == folders(used)
 
 
 def test_hot_groups_are_cut_into_bounded_windows(spark):

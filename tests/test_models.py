@@ -5,13 +5,15 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from helpers import DAY, days
 from riskloom.config import RiskConfig, ScaleLimits
 from riskloom.models import classifiers, stages
-from riskloom.models.encoder import INFREQUENT, TabularEncoder
+from riskloom.models.encoder import INFREQUENT, ROW, TabularEncoder
 from riskloom.operators.cleaning import clean
 from riskloom.roles import SOURCE_POS
+from riskloom.session import pin
 
 CFG = RiskConfig(max_rows=None)
 SCHEMA = (
@@ -95,9 +97,8 @@ def test_encoder_against_plain_numbers(spark, limits):
     )
     model = TabularEncoder(CFG.with_(limits=limits)).fit(df.drop("k"))
     assert model.input_columns == ["num", "same", "letter"]
-    assert model.feature_names == [
-        "num", "same", "letter_a", "letter_b", "letter_c", f"letter_{INFREQUENT}",
-    ]
+    names = ["num", "same", "letter_a", "letter_b", "letter_c", f"letter_{INFREQUENT}"]
+    assert model.names(range(model.width)) == dict(enumerate(names))
     extra = spark.createDataFrame([(1000, None, "never seen", None, None, None)], df.schema)
     out = {
         r["k"]: np.array(r["v"])
@@ -118,10 +119,56 @@ def test_encoder_against_plain_numbers(spark, limits):
     assert list(out[1000][2:]) == [0.0] * 4
 
 
-def test_too_many_categories_is_an_error(spark):
-    df = spark.createDataFrame([(str(i % 50),) for i in range(1000)], "c string")
-    with pytest.raises(ValueError, match="one-hot"):
-        TabularEncoder(CFG.with_(limits=ScaleLimits(max_categories=20))).fit(df)
+def wide_categories(spark, rows=300):
+    rng = np.random.default_rng(5)
+    data = []
+    for i in range(rows):
+        letter = "ab"[i % 2] if i % 3 else f"v{rng.integers(0, 40)}"
+        data.append((i, letter, None if i % 7 == 0 else f"n{i % 12}", f"infrequent{'_' * (i % 2)}" if i % 4 else f"r{i}", str(i % 5), float(i)))
+    return spark.createDataFrame(data, "k int, a string, b string, c string, d string, x double")
+
+
+@pytest.mark.parametrize("head", [0, 3])
+def test_long_form_equals_the_broadcast_form(spark, head):
+    df = wide_categories(spark)
+    short = TabularEncoder(CFG).fit(df.drop("k"))
+    long = TabularEncoder(CFG.with_(limits=ScaleLimits(broadcast_rows=head, rows_per_run=4))).fit(df.drop("k"))
+    assert {k: v for k, v in short.learned.items() if k != "broadcast_rows"} == {k: v for k, v in long.learned.items() if k != "broadcast_rows"}
+    assert short.names(range(short.width)) == long.names(range(long.width))
+    assert long.names([long.width - 1 - 5])[long.width - 6] == "c_infrequent__"  # two values have the shorter names
+    extra = spark.createDataFrame([(900, "new", "new", None, None, None)], df.schema)
+    both = df.union(extra)
+    rows = [
+        {r["k"]: list(r["v"]) for r in m.transform(both).select("k", vector_to_array("features").alias("v")).collect()}
+        for m in (short, long)
+    ]
+    assert rows[0] == rows[1] and len(rows[0]) == 301
+    assert long.transform(both).columns == [*both.columns, "features"]
+    # a column that the input lacks counts as missing
+    lacking = [{r["k"]: list(r["v"]) for r in m.transform(df.drop("b")).select("k", vector_to_array("features").alias("v")).collect()} for m in (short, long)]
+    assert lacking[0] == lacking[1]
+
+
+def exchanges(df):
+    """Shuffles of the plan as Spark would run it, and what they carry."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if " Exchange hashpartitioning" in line]
+
+
+def test_long_form_has_the_same_shuffles_for_any_number_of_columns(spark):
+    df = wide_categories(spark).withColumn(ROW, F.monotonically_increasing_id())
+    found = []
+    for columns in (["a"], ["a", "b", "c", "d"]):
+        own = df.select(ROW, *columns)
+        model = TabularEncoder(CFG.with_(limits=ScaleLimits(broadcast_rows=1000))).fit(own.drop(ROW))
+        found.append(len(exchanges(model.slots(pin(own)))))
+        assert all(f"hashpartitioning({ROW}" in line for line in exchanges(model.slots(pin(own))))
+    assert found == [1, 1]  # (row, slot) by row; a vocabulary that fits is broadcast
+    tail = [
+        len(exchanges(TabularEncoder(CFG.with_(limits=ScaleLimits(broadcast_rows=2))).fit(df.select(*c)).slots(pin(df.select(ROW, *c)))))
+        for c in (["a"], ["a", "b", "c", "d"])
+    ]
+    assert tail[0] == tail[1] <= 3
 
 
 def test_saved_pipeline_scores_raw_rows_alike(spark, twelve, tmp_path):
