@@ -10,7 +10,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm import neardup
 from riskloom.llm.memo import distinct
 from riskloom.llm.store import Scratch
 from riskloom.llm.textscan import LOWER, SPACE, hash_spans, mix, per_row, row_slices, spans, text_bytes
@@ -19,17 +18,13 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
-#: A line goes if more than MAX_DOCS documents of a host hold it, however large the host;
-#: documents that are copies of each other count once.
+#: A line goes if more than MAX_DOCS distinct documents of a host hold it, however large the
+#: host.
 MAX_DOCS = 20
-#: Copies are linked if they share at least this percentage of their sets of two-word
-#: shingles: a few changed words. Pages with up to 95% of their words in shared lines have
-#: at most 0.95 / 1.05 of their shingles in common and are no copies.
-COPY_WORDS, COPY_PERCENT = 2, 92
 #: A document is depleted if less than this share of its words is left.
 MIN_LEFT = 0.3
 MIN_WORDS = 50
-#: Common lines, and texts with copies, that are joined with a broadcast (about 40 bytes each).
+#: Common lines that are joined with a broadcast (about 40 bytes each).
 BROADCAST_LINES = 500_000
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -90,53 +85,45 @@ def measure(column: pa.Array) -> Iterator[dict[str, np.ndarray | pa.Array]]:
         yield out
 
 
-def text_key() -> Column:
-    return F.xxhash64("text").alias("copy_key")
+def document_key() -> Column:
+    """What distinct documents are told apart by: the set of their normalised lines."""
+    return F.xxhash64(F.array_sort(F.array_distinct("lines"))).alias("document")
 
 
 def measures(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: _row (its number), doc_id, host (the source, or an empty name), copy_key (the
-    hash of the text), what ``measure`` gives, and the columns in ``carry``."""
+    """Per row: _row (its number), doc_id, host (the source, or an empty name), what
+    ``measure`` gives, and the columns in ``carry``."""
     kinds = dict(docs.dtypes)
-    schema = f"_row long, doc_id long, host string, copy_key long, {SCHEMA}" + "".join(f", `c_{c}` {kinds[c]}" for c in carry)
-    names = ["_row", "doc_id", "host", "copy_key", *COUNTS, "lines", "line_words", *(f"c_{c}" for c in carry)]
+    schema = f"_row long, doc_id long, host string, {SCHEMA}" + "".join(f", `c_{c}` {kinds[c]}" for c in carry)
+    names = ["_row", "doc_id", "host", *COUNTS, "lines", "line_words", *(f"c_{c}" for c in carry)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 36
         for batch in batches:
-            for found in measure(batch.column(3)):
+            for found in measure(batch.column(2)):
                 own = batch.slice(int(found["rows"][0]), len(found["rows"]))
                 made = (found[c] for c in (*COUNTS, "lines", "line_words"))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(number, number + len(own))), *own.columns[:3], *(x if isinstance(x, pa.Array) else pa.array(x) for x in made), *own.columns[4:]],
+                    [pa.array(np.arange(number, number + len(own))), *own.columns[:2], *(x if isinstance(x, pa.Array) else pa.array(x) for x in made), *own.columns[3:]],
                     names=names,
                 )
                 number += len(own)
 
     host = F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host")
-    own = docs.select(F.col("doc_id").cast("long"), host, text_key(), F.col("text").alias("_text"), *(F.col(c).alias(f"c_{c}") for c in carry))
+    own = docs.select(F.col("doc_id").cast("long"), host, F.col("text").alias("_text"), *(F.col(c).alias(f"c_{c}") for c in carry))
     return own.mapInArrow(work, schema)
 
 
-def families(docs: DataFrame) -> DataFrame:
-    """copy_key, family: the texts that are copies of a text with a smaller key, by the exact
-    components of ``neardup``. Other texts are families of their own."""
-    texts = docs.filter("text is not null").select(text_key().alias("doc_id"), "text")
-    found = neardup.near_duplicates(texts, COPY_WORDS, COPY_PERCENT).filter("component_id <> doc_id")
-    return found.select(F.col("doc_id").alias("copy_key"), F.col("component_id").alias("family")).distinct()
-
-
 def line_counts(made: DataFrame) -> DataFrame:
-    """Per host and line: in how many documents it stands, and in how many that have
-    different copy keys."""
-    lines = made.select("host", "copy_key", F.explode(F.array_distinct("lines")).alias("line"))
-    families = lines.groupBy("host", "line", "copy_key").agg(F.count("*").alias("n"))
-    return families.groupBy("host", "line").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_unlike"))
+    """Per host and line: in how many documents it stands, and in how many distinct ones."""
+    lines = made.select("host", document_key(), F.explode(F.array_distinct("lines")).alias("line"))
+    distinct = lines.groupBy("host", "line", "document").agg(F.count("*").alias("n"))
+    return distinct.groupBy("host", "line").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_distinct"))
 
 
 def common_lines(made: DataFrame) -> DataFrame:
-    """host, line, n_docs, n_unlike: the lines above the limit."""
-    return line_counts(made).filter(F.col("n_unlike") > MAX_DOCS)
+    """host, line, n_docs, n_distinct: the lines above the limit."""
+    return line_counts(made).filter(F.col("n_distinct") > MAX_DOCS)
 
 
 def assess(docs: DataFrame, scratch: Scratch, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -144,10 +131,7 @@ def assess(docs: DataFrame, scratch: Scratch, carry: tuple[str, ...] = ()) -> Da
     n_left (words outside them), base_failed and kept. See ``quality_rules``."""
     made = scratch.write(measures(docs, carry), "measures")
     sized = lambda x: F.broadcast(x) if x.count() <= BROADCAST_LINES else x
-    copies = sized(scratch.write(families(docs), "families"))
-    counted = made.select("host", "copy_key", "lines").join(copies, "copy_key", "left")
-    counted = counted.withColumn("copy_key", F.coalesce("family", "copy_key")).drop("family")
-    common = sized(scratch.write(common_lines(counted).select("host", "line"), "common-lines"))
+    common = sized(scratch.write(common_lines(made).select("host", "line"), "common-lines"))
     lines = made.select("_row", "host", F.posexplode(F.arrays_zip("lines", "line_words")).alias("_place", "_line"))
     lines = lines.select("_row", "host", "_place", F.col("_line.lines").alias("line"), F.col("_line.line_words").alias("words"))
     gone = lines.join(common, ["host", "line"]).groupBy("_row").agg(F.collect_list("_place").alias("_at"), F.sum("words").alias("_gone"))
@@ -165,8 +149,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     and n_left for each row of ``docs`` (doc_id, text, source).
 
     Lines are hashed as their words in ASCII lower case. On each host a line is common if
-    more than MAX_DOCS of the host's documents hold it; a document and its copies (COPY_PERCENT) count once. A document that passes the base rules is depleted, and not kept, if less than MIN_LEFT of
-    its words stand outside common lines.
+    more than MAX_DOCS distinct documents hold it; documents with the same set of lines are
+    one. A document that passes the base rules is depleted, and not kept, if less than MIN_LEFT
+    of its words stand outside common lines.
 
     A null or empty text has no words and fails the base rules. A null source is a host of
     its own; a null doc_id stays null. Repeated rows are judged each. Whole texts count,
