@@ -7,6 +7,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -65,3 +66,75 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def join_path(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *[p.strip("/") for p in parts]])
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Names in a folder, and when each was last changed (seconds)."""
+    fs, jvm_path = _file_system(spark, path)
+    return [(f.getPath().getName(), f.getModificationTime() / 1000) for f in fs.listStatus(jvm_path)]
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, jvm_path = _file_system(spark, path)
+    fs.delete(jvm_path, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, read by the driver."""
+    fs, jvm_path = _file_system(spark, path)
+    stream = fs.open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+#: Stores where a file appears when it is closed and that check the name at that moment.
+OBJECT_STORES = ("s3a", "abfs", "abfss", "gs")
+
+
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Whether a small file was created whole; False if there was one of that name already.
+
+    Of writers at the same time exactly one succeeds: by a hard link on a local disk, by a
+    conditional write on an object store, elsewhere by a rename that does not replace.
+    """
+    fs, target = _file_system(spark, path)
+    jvm, scheme = spark._jvm, fs.getScheme()
+    fs.mkdirs(target.getParent())
+    if scheme in OBJECT_STORES:
+        builder = fs.createFile(target).overwrite(False).opt("fs.option.create.conditional.overwrite", True)
+        return _unless_there(lambda: _write(builder.build(), text))
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid4().hex}.tmp")
+    _write(fs.create(draft, True), text)
+    try:
+        if scheme == "file":
+            old, new = (jvm.java.io.File(p.toUri().getPath()).toPath() for p in (draft, target))
+            return _unless_there(lambda: jvm.java.nio.file.Files.createLink(new, old))
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+        options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        return _unless_there(lambda: context.rename(draft, target, options))
+    finally:
+        fs.delete(draft, False)
+
+
+def _write(stream, text: str) -> None:
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
+def _unless_there(act) -> bool:
+    try:
+        act()
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True

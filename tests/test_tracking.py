@@ -1,10 +1,18 @@
+import threading
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.config import ScaleLimits
 from riskloom.plans import tracking as K
+from riskloom.plans import commits
+from riskloom.plans.commits import Change, CommitLog, State
 from riskloom.plans.store import RunStore
 from riskloom.plans.training import metric_frame, run_row
+from riskloom.session import create_if_absent, list_folder, read_text
+
+commit = CommitLog.commit
 
 WARNING = {"status": "warning", "warnings": ["high area"]}
 
@@ -161,6 +169,97 @@ def test_deleting_a_run_takes_its_rows(spark, store):
     assert len(promotions) == 2 and [r["run_id"] for r in promotions].count(None) == 1
 
 
+ALL = ("training_runs", "run_metrics", "threshold_evaluations", "run_artifacts", "baseline_promotions")
+
+
+def runs_in(store):
+    """The ids that each table names."""
+    tables = store.tables() | {"run_index": store.index()}
+    return {n: sorted(str(r[0]) for r in df.select("run_id").distinct().collect()) for n, df in tables.items()}
+
+
+def test_two_promotions_at_once_leave_one_active(spark, tmp_path):
+    store = RunStore(spark, str(tmp_path))
+    for name in ("a", "b", "c"):
+        record(spark, store, metadata(name))
+    barrier = threading.Barrier(3)
+
+    def promote(name):
+        barrier.wait()
+        RunStore(spark, str(tmp_path)).promote(name, overwrite=True)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(promote, "abc"))
+    rows = store.table("baseline_promotions").collect()
+    assert sorted(r["run_id"] for r in rows) == ["a", "b", "c"] and sum(r["is_active"] for r in rows) == 1
+    assert len({r["id"] for r in rows}) == 3
+    assert store.log.read().version == 6
+
+
+def test_runs_recorded_at_once_are_all_there(spark, tmp_path):
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda name: record(spark, RunStore(spark, str(tmp_path)), metadata(name)), "abc"))
+    store = RunStore(spark, str(tmp_path))
+    assert {n: ids for n, ids in runs_in(store).items() if n != "baseline_promotions"} == {n: ["a", "b", "c"] for n in (*ALL[:4], "run_index")}
+    with ThreadPoolExecutor(2) as pool:  # the same run twice: one of them is told
+        done = [pool.submit(record, spark, RunStore(spark, str(tmp_path)), metadata("d")) for _ in range(2)]
+    assert sorted(type(f.exception()).__name__ for f in done) == ["FileExistsError", "NoneType"]
+    assert store.table("run_metrics").filter("run_id = 'd'").count() == 2
+
+
+def test_create_if_absent_has_one_winner(spark, tmp_path):
+    path = f"file:{tmp_path}/x.json"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: create_if_absent(spark, path, f"writer {i}"), range(24)))
+    assert sum(won) == 1 and read_text(spark, path) == f"writer {won.index(True)}"
+    assert [n for n, _ in list_folder(spark, str(tmp_path)) if not n.startswith(".")] == ["x.json"]
+
+
+@pytest.mark.parametrize("stops", [False, True])
+def test_a_deleted_run_is_gone_from_all_tables_at_once(spark, tmp_path, monkeypatch, stops):
+    store = RunStore(spark, str(tmp_path))
+    for name in ("a", "b", "c"):
+        record(spark, store, metadata(name))
+    store.promote("a")
+    store.promote("b", overwrite=True)
+    want = {n: ["b", "c"] for n in (*ALL[:4], "run_index")} | {"baseline_promotions": ["None", "b"]}
+    folders = {n: {f for f, _ in own} for n, own in store.log.read().folders.items()}
+    if stops:  # the job ends before the rows are written anew, or while they are
+        monkeypatch.setattr(CommitLog, "commit", lambda self, base, change: (_ for _ in ()).throw(OSError("stopped")) if change.purged else commit(self, base, change))
+        with pytest.raises(OSError):
+            store.delete("a")
+        assert runs_in(store) == want and store.log.read().deleted == [(6, ["a"])]
+        monkeypatch.undo()
+        record(spark, store, metadata("a"))  # the id can be used again
+        assert runs_in(store)["run_metrics"] == ["a", "b", "c"] and store.table("run_metrics").filter("run_id = 'a'").count() == 2
+        store.delete("a", purge=False)
+        store.purge()
+    else:
+        store.delete("a")
+    state = store.log.read()
+    assert runs_in(store) == want and state.deleted == []
+    kept = {n: {f for f, _ in own} & folders[n] for n, own in state.folders.items()}
+    assert all(len(kept[n]) == 2 for n in ALL[:4]) and not kept["baseline_promotions"]  # only touched folders are new
+    assert [r["is_active"] for r in store.table("baseline_promotions").orderBy("id").collect()] == [False, True]
+    store.vacuum(hours=0)
+    assert runs_in(store) == want
+    on_disk = {n: {f for f, _ in list_folder(spark, f"{tmp_path}/{n}")} for n in state.folders}
+    assert on_disk == {n: {f for f, _ in own} for n, own in state.folders.items()}
+
+
+def test_a_long_log_is_read_from_its_last_whole_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "STATE_EVERY", 5)
+    log, plain = CommitLog(spark, str(tmp_path)), State()
+    for i in range(1, 14):
+        change = Change(add={"t": [f"f{i}"]}, remove={"t": [f"f{i - 3}"]} if i > 3 else {}, delete=[f"r{i}"] if i % 4 == 0 else [], purged=[4] if i == 9 else [])
+        assert log.commit(plain, change) and not log.commit(plain, Change())
+        plain = plain.after(change)
+        assert log.read() == plain
+    seen = []
+    monkeypatch.setattr(commits, "read_text", lambda spark, path: seen.append(path) or read_text(spark, path))
+    assert log.read() == plain and len(seen) == 4
+
+
 def test_upsert_keeps_the_last(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "run_id string, v int")
     new = spark.createDataFrame([("b", 3), ("c", 4)], "run_id string, v int")
