@@ -28,8 +28,9 @@ SEQUENCE_TOKENS = 128
 END_ID = 1
 #: Records of a shard: 16 MB of two-byte ids.
 SHARD_ROWS = 65_536
-#: Record bytes that a task sorts by shard at once, and how hard it packs them.
-HELD_BYTES, PACKING_LEVEL = 32 << 20, 9
+#: Record bytes that a task sorts by shard at once, and how hard it packs them; how hard the
+#: records of one stretch of rows are packed before their number is known.
+HELD_BYTES, PACKING_LEVEL, STRETCH_LEVEL = 32 << 20, 9, 3
 #: Range partitions at most; each holds neighbouring shards.
 MOST_RANGES = 20_000
 #: What travels with each record: place in its shard, doc_id, whether there is one, seq_no, n_tokens.
@@ -54,15 +55,21 @@ def permute(index: np.ndarray, size: int, key: str) -> np.ndarray:
     return slot.astype(np.int64)
 
 
+#: Of the records of a stretch: doc_id, whether there is one, seq_no, n_tokens.
+STRETCH = tuple(map(np.dtype, ("<i8", "u1", "<i4", "<i4")))
+
+
 def sequences(docs: DataFrame, vocabulary: str, tokens: int, end_id: int) -> DataFrame:
     """Fixed-length records of each document's ids and ``end_id``; the last is padded with
-    ``end_id``. _part and _at number them within the task that made them."""
+    ``end_id``. A stretch of rows gives one blob of its records (see ``unpacked``): _part and
+    _at number them within the task that made them, n is how many there are."""
     wide = _id_type(vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, made, part = byte_tokens.engine(vocabulary), 0, TaskContext.get().partitionId()
+        pack = zstandard.ZstdCompressor(level=STRETCH_LEVEL).compress
         for batch in batches:
-            doc_ids = batch.column(0)
+            doc_ids, known = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             for rows, arrays in byte_tokens.token_rows(own, batch.column(1)):
                 size = np.array([len(a) + 1 for a in arrays])
                 count = -(-size // tokens)
@@ -72,17 +79,22 @@ def sequences(docs: DataFrame, vocabulary: str, tokens: int, end_id: int) -> Dat
                     flat[at : at + len(a)] = a
                 number = np.arange(len(flat) // tokens) - np.repeat(first, count)
                 length = np.minimum(tokens, np.repeat(size, count) - number * tokens)
-                edges = np.arange(len(number) + 1, dtype=np.int64) * tokens * flat.itemsize
-                record = pa.Array.from_buffers(pa.large_binary(), len(number), [None, pa.py_buffer(edges), pa.py_buffer(flat)]).cast(pa.binary())
-                at = made + np.arange(len(number))
+                doc, there = (np.repeat(x[rows[0] : rows[-1] + 1], count) for x in (doc_ids, known))
+                blob = pack(b"".join([*(x.astype(t).tobytes() for x, t in zip((doc, there, number, length), STRETCH, strict=True)), flat.tobytes()]))
+                arrays = [pa.array([x], pa.int64()) for x in (part, made, len(number))]
                 made += len(number)
-                yield pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(rows[0], len(rows)).take(pa.array(np.repeat(np.arange(len(rows)), count))), pa.array(number), pa.array(length), record, pa.array(np.full(len(number), part)), pa.array(at)],
-                    names=["doc_id", "seq_no", "n_tokens", "record", "_part", "_at"],
-                )
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array([blob], pa.binary())], names=["_part", "_at", "n", "blob"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, "_part long, _at long, n long, blob binary")
+
 
-    schema = "doc_id long, seq_no long, n_tokens long, record binary, _part long, _at long"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, schema)
+def unpacked(blob: bytes, n: int) -> list[np.ndarray]:
+    """The STRETCH fields of a blob's records, and the records as rows of bytes."""
+    raw, fields, at = zstandard.ZstdDecompressor().decompress(blob), [], 0
+    for t in STRETCH:
+        fields.append(np.frombuffer(raw, t, n, at))
+        at += n * t.itemsize
+    return [*fields, np.frombuffer(raw, np.uint8, offset=at).reshape(n, -1)]
 
 
 def _id_type(vocabulary: str) -> np.dtype:
@@ -104,9 +116,9 @@ def materialise(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "training-order")
-    made = scratch.write(sequences(docs, vocabulary, tokens, end_id), "sequences", level=12)
+    made = scratch.write(sequences(docs, vocabulary, tokens, end_id), "sequences", level=1)
     # counts per task are as many as tasks; each task's records follow those of earlier tasks
-    counts = sorted((r["_part"], r["n"]) for r in made.groupBy("_part").agg(F.count("*").alias("n")).collect())
+    counts = sorted((r["_part"], r["n"]) for r in made.groupBy("_part").agg(F.sum("n").alias("n")).collect())
     parts, sizes = (np.array(x, np.int64) for x in (zip(*counts, strict=True) if counts else ((), ())))
     total = int(sizes.sum())
     if not total:
@@ -133,15 +145,12 @@ def materialise(
             return pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], names=["shard", "blob"])
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            doc, seq, size, part, at = (batch.column(i) for i in (0, 1, 2, 4, 5))
-            index = np.array([first.value[p] for p in part.to_pylist()], np.int64) + at.to_numpy()
-            known = doc.is_valid().to_numpy(zero_copy_only=False)
-            records = text_bytes(batch.column(3))[0].reshape(-1, stride)
-            held.append((permute(index, total, key), doc.fill_null(0).to_numpy(), known, seq.to_numpy(), size.to_numpy(), records))
-            if sum(len(x[0]) for x in held) * stride >= HELD_BYTES:
-                yield flush()
+            for part, at, n, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                doc, known, seq, size, records = unpacked(blob, n)
+                index = np.arange(first.value[part] + at, first.value[part] + at + n)
+                held.append((permute(index, total, key), doc, known, seq, size, records))
+                if sum(len(x[0]) for x in held) * stride >= HELD_BYTES:
+                    yield flush()
         if held:
             yield flush()
 
@@ -204,6 +213,8 @@ def read_shards(
     """The records from slot ``resume_at`` on, in slot order within a task: slot, record."""
     stride = tokens * _id_type(vocabulary).itemsize
     shards = index.filter(F.col("slot") >= resume_at).select("shard").distinct()
+    # few names, much to read: as many tasks as shards allow
+    shards = shards.repartition(max(1, min(shards.count(), MOST_RANGES)), "shard")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
