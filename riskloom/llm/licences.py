@@ -18,40 +18,55 @@ _WORD[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 @dataclass(frozen=True)
 class Template:
-    """A licence notice. ``key`` is the phrase in it that must stand word for word."""
+    """A licence notice. All ``keys`` must stand word for word where the notice stands."""
 
     label: str
     text: str
-    key: str
-    base: bool = False
+    keys: tuple[str, ...]
 
 
-# The phrases of the contract, and how common licences introduce themselves.
+# The phrases of the contract, label and words.
+BASE_PHRASES = (("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc"))
+# How common licences introduce themselves.
+_FREE = "this program is free software you can redistribute it and or modify it under the terms of the gnu {} public license as published by the free software foundation either version {} of the license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu {} public license for more details"
 TEMPLATES = (
-    Template("mit", "under the mit license", "under the mit license", base=True),
-    Template("apache-2", "apache license version 2", "apache license version 2", base=True),
-    Template("cc-by-nc", "cc by nc", "cc by nc", base=True),
-    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files to deal in the software without restriction", "permission is hereby granted free of charge"),
-    Template("apache-2", "licensed under the apache license version 2 0 you may not use this file except in compliance with the license", "licensed under the apache license version 2"),
-    Template("gpl-3", "this work is licensed under the gnu general public license version 3", "gnu general public license version 3"),
-    Template("gpl-2", "under the terms of the gnu general public license version 2", "gnu general public license version 2"),
-    Template("lgpl", "under the terms of the gnu lesser general public license", "gnu lesser general public license"),
-    Template("agpl-3", "licensed under the gnu affero general public license version 3", "gnu affero general public license"),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use in source and binary forms"),
-    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and or distribute this software"),
-    Template("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    Template("cc-by-sa", "licensed under cc by sa", "cc by sa"),
-    Template("cc-by", "this work is licensed under a creative commons attribution license", "creative commons attribution license"),
-    Template("all-rights-reserved", "all rights reserved", "all rights reserved"),
+    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so", ("permission is hereby granted free of charge", "without restriction")),
+    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files to deal in the software without restriction", ("permission is hereby granted free of charge", "without restriction")),
+    Template("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0", ("apache license", "version 2")),
+    Template("apache-2", "licensed under the apache license version 2 0", ("apache license", "version 2")),
+    Template("gpl-3", _FREE.format("general", "3", "general"), ("gnu general public license", "version 3")),
+    Template("gpl-3", "this work is licensed under the gnu general public license version 3", ("gnu general public license", "version 3")),
+    Template("gpl-2", _FREE.format("general", "2", "general"), ("gnu general public license", "version 2")),
+    Template("gpl-2", "under the terms of the gnu general public license version 2", ("gnu general public license", "version 2")),
+    Template("lgpl", _FREE.format("lesser general", "2 1", "lesser general"), ("gnu lesser general public license",)),
+    Template("lgpl", "under the terms of the gnu lesser general public license", ("gnu lesser general public license",)),
+    Template("agpl-3", _FREE.format("affero general", "3", "affero general"), ("gnu affero general public license", "version 3")),
+    Template("agpl-3", "licensed under the gnu affero general public license version 3", ("gnu affero general public license", "version 3")),
+    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", ("redistribution and use in source", "with or without modification")),
+    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use in source", "with or without modification")),
+    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", ("permission to use copy modify", "with or without fee")),
+    Template("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at", ("mozilla public license",)),
+    Template("mpl-2", "subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
+    Template("cc-by-sa", "licensed under cc by sa", ("cc by sa",)),
+    Template("cc-by-sa", "this work is licensed under a creative commons attribution sharealike license", ("creative commons attribution", "license")),
+    Template("cc-by", "this work is licensed under a creative commons attribution license", ("creative commons attribution license",)),
+    Template("all-rights-reserved", "all rights reserved", ("all rights reserved",)),
 )
 
+#: Licence words looked up in each stretch of so many words, the rarest ones.
+RAREST, STRETCH_WORDS = 16, 64
+#: Of a template's words, weighed by rarity, what must stand near their places, and how far off
+#: they may stand: a share of its length, at least LEAST_SLACK words.
+MIN_SHARE, SLACK, LEAST_SLACK = 0.7, 0.1, 4
+
 
 class Index:
-    """Postings (template, position) of every word of the templates, and its rarity."""
+    """The rarity of the templates' words, and postings (template, position) of the rare ones."""
 
     def __init__(self, templates: tuple[Template, ...], texts_with: dict[str, int] | None = None, texts: int = 0) -> None:
         self.templates = templates
-        self.vocabulary = sorted({w for t in templates for w in t.text.split()})
+        phrases = [p for _, p in BASE_PHRASES]
+        self.vocabulary = sorted({w for t in (*(t.text for t in templates), *phrases) for w in t.split()})
         raw = "\n".join(self.vocabulary).encode()
         begin, end, _ = spans(np.frombuffer(raw, np.uint8) != 0x0A, np.array([0, len(raw)]))
         hashes = hash_spans(np.frombuffer(raw, np.uint8), begin, end)
@@ -60,42 +75,101 @@ class Index:
         counts = texts_with or {}
         self.idf = np.array([np.log((1 + texts) / (1 + counts.get(w, 0))) + 1 for w in self.vocabulary])
         number = {w: i for i, w in enumerate(self.vocabulary)}
-        self.words = [np.array([number[w] for w in t.text.split()]) for t in templates]
-        self.keys, self.anchors = [], []
-        for t, words in zip(templates, self.words, strict=True):
-            key = np.array([number[w] for w in t.key.split()])
-            at = next(i for i in range(len(words)) if list(words[i : i + len(key)]) == list(key))
-            self.keys.append((at, key))
-            self.anchors.append(at + int(np.argmax(self.idf[key])))
+        numbers = lambda text: np.array([number[w] for w in text.split()])
+        self.words = [numbers(t.text) for t in templates]
+        self.keys = [[numbers(k) for k in t.keys] for t in templates]
+        self.slack = [max(LEAST_SLACK, int(SLACK * len(w))) for w in self.words]
+        self.phrases = [numbers(p) for p in phrases]
+        self.anchors = [int(np.argmax(self.idf[p])) for p in self.phrases]
+        # postings of word i are those from edges[i] to edges[i + 1]; rarer half of each template
+        rare = [np.isin(w, u[np.argsort(-self.idf[u], kind="stable")][: max(2, -(-len(u) // 2))]) for w in self.words for u in (np.unique(w),)]
+        template = np.concatenate([np.full(len(w), k) for k, w in enumerate(self.words)])
+        place = np.concatenate([np.arange(len(w)) for w in self.words])
+        word = np.concatenate(self.words)
+        kept = np.concatenate(rare)
+        template, place, word = template[kept], place[kept], word[kept]
+        by_word = np.argsort(word, kind="stable")
+        self.template, self.place = template[by_word], place[by_word]
+        self.edges = np.searchsorted(word[by_word], np.arange(len(self.vocabulary) + 1))
+        self.posted = np.append(np.diff(self.edges) > 0, False)  # the last one stands for -1
 
     def lookup(self, h: np.ndarray) -> np.ndarray:
         """The number of each word in the templates' vocabulary, or -1."""
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
         return np.where(self.hashes[at] == h, self.number[at], -1)
 
-    def hits(self, words: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per template: the first words of its key phrase in the run of ``words``, and how
-        much of the template (by rarity) stands around each.
-
-        Only occurrences of the phrase's rarest word are looked up. What the other words'
-        postings say about the same relative position is intersected, and a place counts
-        if the whole key phrase stands there."""
-        for k, words_of in enumerate(self.words):
-            start, key = self.keys[k]
-            at = np.flatnonzero(words == words_of[self.anchors[k]])
-            base = at - self.anchors[k]  # where the template would begin
-            inside = (base + start >= 0) & (base + start + len(key) <= len(words))
-            base = base[inside]
+    def base_places(self, words: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Per base phrase: the first words of its places in the run of ``words``. Only the
+        places of its rarest word are looked at."""
+        for k, (key, anchor) in enumerate(zip(self.phrases, self.anchors, strict=True)):
+            base = np.flatnonzero(words == key[anchor]) - anchor
+            base = base[(base >= 0) & (base + len(key) <= len(words))]
+            for j, word in enumerate(key.tolist()):
+                base = base[words[base + j] == word]
+            yield k, base[row[base] == row[base + len(key) - 1]] if len(base) else base
+
+    def rarest(self, words: np.ndarray, row: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        """Where the RAREST rarest licence words of each stretch of each row stand."""
+        at = np.flatnonzero(self.posted[words])
+        if not len(at):
+            return at
+        stretch = row[at] * (len(words) // STRETCH_WORDS + 1) + (at - heads[row[at]]) // STRETCH_WORDS
+        pair, back = np.unique(stretch * len(self.vocabulary) + words[at], return_inverse=True)
+        own, word = np.divmod(pair, len(self.vocabulary))
+        order = np.lexsort((word, -self.idf[word], own))
+        first = np.searchsorted(own[order], own[order])
+        rank = np.empty(len(pair), np.int64)
+        rank[order] = np.arange(len(pair)) - first
+        return at[rank[back] < RAREST]
+
+    def candidates(self, words: np.ndarray, row: np.ndarray, heads: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(row, template, word at which the template would begin), where the postings of at
+        least two different rare words agree. Of neighbours within the slack the one with most
+        agreement counts."""
+        at = self.rarest(words, row, heads)
+        many = self.edges[words[at] + 1] - self.edges[words[at]]
+        posting = np.repeat(self.edges[words[at]] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        at = np.repeat(at, many)
+        template, begin = self.template[posting], at - self.place[posting]
+        votes = np.unique(np.column_stack([row[at], template, begin, words[at]]), axis=0) if len(at) else np.zeros((0, 4), np.int64)
+        if not len(votes):
+            return
+        new = np.append(True, (votes[1:, :3] != votes[:-1, :3]).any(axis=1))
+        first = np.flatnonzero(new)
+        agree = np.diff(np.append(first, len(votes)))
+        weight = np.add.reduceat(self.idf[votes[:, 3]], first)
+        best: tuple[int, int, int, float] | None = None
+        for (r, t, begin, _), n, w in zip(votes[first].tolist(), agree.tolist(), weight.tolist(), strict=True):
+            if n < 2:
+                continue
+            if best and best[:2] == (r, t) and begin - best[2] <= self.slack[t]:
+                if w > best[3]:
+                    best = (r, t, begin, w)
+                continue
+            if best:
+                yield best[:3]
+            best = (r, t, begin, w)
+        if best:
+            yield best[:3]
+
+    def share(self, t: int, begin: int, words: np.ndarray, low: int, high: int) -> float:
+        """How much of template ``t``, by rarity, stands near its places if it begins at
+        ``begin``; 0 where one of its key phrases doesn't. The row is words low to high."""
+        own, slack = self.words[t], self.slack[t]
+        a, b = max(low, begin - slack), min(high, begin + len(own) + slack)
+        near = words[a:b]
+        for key in self.keys[t]:
+            head = np.flatnonzero(near[: max(0, len(near) - len(key) + 1)] == key[0])
             for j, word in enumerate(key.tolist()):
-                base = base[words[base + start + j] == word]
-            base = base[row[base + start] == row[base + start + len(key) - 1]] if len(base) else base
-            if len(base):
-                found = np.zeros(len(base))
-                for j, word in enumerate(words_of.tolist()):
-                    place = np.clip(base + j, 0, len(words) - 1)
-                    same = (place == base + j) & (words[place] == word) & (row[place] == row[base + start])
-                    found += same * self.idf[word]
-                yield k, base + start, found / self.idf[words_of].sum()
+                head = head[near[head + j] == word]
+            if not len(head):
+                return 0.0
+        seen = np.zeros((len(own), len(near) + 1), np.int64)
+        np.cumsum(near[None] == own[:, None], axis=1, out=seen[:, 1:])
+        place = begin - a + np.arange(len(own))
+        lo, hi = np.clip(place - slack, 0, len(near)), np.clip(place + slack + 1, 0, len(near))
+        found = seen[np.arange(len(own)), hi] > seen[np.arange(len(own)), lo]
+        return float(self.idf[own[found]].sum() / self.idf[own].sum())
 
 
 def _word_runs(index: Index, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -129,34 +203,38 @@ def word_rarity(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) ->
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
     """doc_id, n_words and hits (label, word, share, base) of each row of ``docs`` (doc_id, text).
 
-    A hit is a place where a template's key phrase stands word for word; word is where the
-    phrase begins (from 0), share how much of the template stands around it (0 to 1).
-    Words are runs of ASCII letters and digits, in lower case, and of characters beyond
-    ASCII. Hits are in order of template and place, all of them. A null or empty text has
-    no words and no hits; a null doc_id stays null; repeated rows are scanned each; whole
-    texts are read; other columns are left behind. An empty table gives no row.
+    A base hit is a place where a base phrase stands word for word (share 1). Other hits are
+    notices: the rarest licence words of each stretch of the text are looked up in the
+    templates' postings; where two of them agree on where a template begins, so much of the
+    template as stands near its places (within the slack, so words may be inserted or left out)
+    is its share, by rarity. It counts from MIN_SHARE, if all key phrases stand there. word is
+    the hit's first word (from 0; not below 0 where a notice lacks its beginning).
+
+    Words are runs of ASCII letters and digits, in lower case, and of characters beyond ASCII.
+    Hits are in order of place, all of them. A null or empty text has no words and no hits; a
+    null doc_id stays null; repeated rows are scanned each; whole texts are read; other columns
+    are left behind, so their names can't clash. An empty table gives no row.
     """
     index = Index(templates, *word_rarity(docs, templates))
     kind = "array<struct<label:string,word:long,share:double,base:boolean>>"
+    own = pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64()), ("share", pa.float64()), ("base", pa.bool_())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = np.array([t.label for t in templates])
-        base = np.array([t.base for t in templates])
         for batch in batches:
             for first, rows, words, row in _word_runs(index, batch.column(1)):
                 heads = np.searchsorted(row, np.arange(rows + 1))
-                found = list(index.hits(words, row)) or [(0, np.zeros(0, np.int64), np.zeros(0))]
-                which = np.concatenate([np.full(len(a), k) for k, a, _ in found])
-                at, share = (np.concatenate([x[i] for x in found]) for i in (1, 2))
-                order = np.argsort(row[at], kind="stable") if len(at) else np.zeros(0, np.int64)
-                which, at, share = which[order], at[order].astype(np.int64), share[order]
-                owner = row[at]
-                items = pa.StructArray.from_arrays(
-                    [pa.array(labels[which], pa.string()), pa.array(at - heads[owner]), pa.array(share), pa.array(base[which])], names=["label", "word", "share", "base"]
-                )
-                cuts = pa.array(np.searchsorted(owner, np.arange(rows + 1)), pa.int32())
+                hits: dict[int, list[tuple]] = {}
+                for k, places in index.base_places(words, row):
+                    for at in places.tolist():
+                        hits.setdefault(int(row[at]), []).append((int(at - heads[row[at]]), BASE_PHRASES[k][0], 1.0, True))
+                for r, t, begin in index.candidates(words, row, heads):
+                    low, high = int(heads[r]), int(heads[r + 1])
+                    share = index.share(t, begin, words, low, high)
+                    if share >= MIN_SHARE:
+                        hits.setdefault(r, []).append((max(0, begin - low), templates[t].label, share, False))
+                made = [[{"label": k, "word": w, "share": x, "base": y} for w, k, x, y in sorted(hits.get(i, ()))] for i in range(rows)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, rows), pa.array(np.diff(heads)), pa.ListArray.from_arrays(cuts, items)], names=["doc_id", "n_words", "hits"]
+                    [batch.column(0).slice(first, rows), pa.array(np.diff(heads)), pa.array(made, own)], names=["doc_id", "n_words", "hits"]
                 )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, f"doc_id long, n_words long, hits {kind}")
