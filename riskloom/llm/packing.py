@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,17 +17,18 @@ from riskloom.llm.store import Scratch
 
 END_ID = 1
 MAX_TOKENS = 2048
-#: Pieces of one length that are ranked in one group; a larger group is split.
-RANKED_ROWS = 100_000
+#: Pieces of one task that are ranked in one group.
+BUCKET_ROWS = 100_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
-    """Each document's ids and ``end_id``, cut into pieces of ``max_tokens`` and a rest."""
+    """Each document's ids and ``end_id``, cut into pieces of ``max_tokens`` and a rest. _part
+    and _at number them within the task that made them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = byte_tokens.engine(vocabulary)
+        own, made, task = byte_tokens.engine(vocabulary), 0, TaskContext.get().partitionId()
         for batch in batches:
             doc, start, length, crc, tokens = [], [], [], [], []
             ids_of = batch.column(0).to_pylist()
@@ -41,9 +43,11 @@ def token_pieces(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS,
                         length.append(len(part) // 4)
                         crc.append(zlib.crc32(part))
                         tokens.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc, start, length, crc, tokens)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            columns = (doc, start, length, crc, tokens, [task] * len(doc), range(made, made + len(doc)))
+            made += len(doc)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "_part", "_at"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, f"{PIECES}, _part long, _at long")
 
 
 def pack_histogram(histogram: dict[int, int], max_tokens: int) -> list[tuple[int, int, int, int, int]]:
@@ -96,12 +100,12 @@ def assign(pieces: DataFrame, scratch: Scratch, max_tokens: int = MAX_TOKENS) ->
     """Adds sequence_id and offset to pieces, by the rank of each among those of its length.
 
     The histogram on the driver has at most ``max_tokens`` rows. Ranks are counted within
-    (length, bucket) groups of about RANKED_ROWS rows and shifted by the rows of earlier
-    buckets, so no length, however frequent, meets in one task.
+    (length, bucket) groups and shifted by the rows of earlier buckets. Buckets are stretches of
+    BUCKET_ROWS pieces of the task that made them, so no length and no row, however often it is
+    repeated, meets in one task.
     """
     total = pieces.count()
-    buckets = max(1, -(-total // RANKED_ROWS))
-    keyed = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)))
+    keyed = pieces.withColumn("_bucket", F.struct("_part", F.floor(F.col("_at") / BUCKET_ROWS).alias("_stretch")))
     counts = keyed.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     placed = np.array(pack_histogram(histogram, max_tokens) or np.zeros((0, 5)), np.int64)
@@ -110,7 +114,7 @@ def assign(pieces: DataFrame, scratch: Scratch, max_tokens: int = MAX_TOKENS) ->
     lookup = pieces.sparkSession.sparkContext.broadcast((placed[:, 0] * (total + 1) + placed[:, 1], placed))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.select("length", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    order = Window.partitionBy("length", "_bucket").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
+    order = Window.partitionBy("length", "_bucket").orderBy("_at")
     ranked = keyed.withColumn("_rank", F.row_number().over(order) - 1).join(shifts, ["length", "_bucket"])
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
@@ -134,8 +138,8 @@ def pack(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS, end_id:
     A document longer than a sequence gives full pieces and a rest; each id is in one
     piece. A null or empty text has the end id alone. A null doc_id stays null; repeated
     rows are packed each; columns other than doc_id and text are left behind, so their
-    names can't clash; an empty table gives no row. Ties in rank are broken by the
-    piece's own values, and rows equal in all of them are interchangeable.
+    names can't clash; an empty table gives no row. Pieces of one length are ranked by
+    the task that made them and their order there.
     """
     scratch = Scratch(docs.sparkSession, "packing")
     return assign(scratch.write(token_pieces(docs, vocabulary, max_tokens, end_id), "pieces"), scratch, max_tokens)

@@ -122,7 +122,7 @@ def test_histogram_packs_every_piece_once():
 
 @pytest.mark.parametrize("ranked", [5, 100_000])
 def test_pack(documents, monkeypatch, ranked):
-    monkeypatch.setattr(packing, "RANKED_ROWS", ranked)
+    monkeypatch.setattr(packing, "BUCKET_ROWS", ranked)
     texts = ODD + ["same text here"] * 40
     docs = documents([(i if i != 3 else None, t) for i, t in enumerate(texts)])
     rows = packing.pack(docs, BYTES, max_tokens=64).collect()
