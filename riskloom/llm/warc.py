@@ -24,6 +24,8 @@ from riskloom.llm.store import Scratch, new_path
 #: Smaller payloads are never revisits.
 MIN_SHARED_BYTES = 100
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 64 << 20
+#: Tasks that read bundles, at most.
+MOST_READERS = 20_000
 # The seekable format's magic numbers, and the revisit profile's name.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -188,6 +190,8 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
     """All records of the bundles in ``index``, frame by frame: page_id, record_type, refers_to,
     payload_bytes, payload_digest, payload."""
     bundles = index.select("bundle").distinct()
+    # few names, much to read: as many tasks as bundles allow
+    bundles = bundles.repartition(max(1, min(bundles.count(), MOST_READERS)), "bundle")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zstd = zstandard.ZstdDecompressor()
