@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from riskloom.llm.store import Scratch
 
 
+#: Links of an id from which it is a hub, and most hubs. The smallest id around each hub is
+#: broadcast (16 bytes), so that its links stay where they are.
+HUB_LINKS, MOST_HUBS = 256, 200_000
+
+
 def _stars(pairs: DataFrame) -> bool:
     """Whether every id has one smaller neighbour at most, and those that have one are nobody's."""
     ends = pairs.select(F.col("u").alias("id"), F.lit(1).alias("up")).union(pairs.select("v", F.lit(0)))
@@ -32,11 +37,16 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         small = near.select(F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))
         small = scratch.write(small, "smaller")
         both = small.union(small.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        nearest = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(nearest, "u").filter("v > u and v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        nearest = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"))
+        nearest = scratch.write(nearest, "nearest")
+        limit = max(HUB_LINKS, 2 * small.count() // MOST_HUBS)
+        hubs = F.broadcast(nearest.filter(F.col("n") > limit).select("u", "m"))
+        others = both.join(hubs.select("u"), "u", "left_anti").join(nearest.filter(F.col("n") <= limit).select("u", "m"), "u")
+        beside = both.join(hubs, "u").unionByName(others)
+        large = beside.filter("v > u and v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         now = scratch.write(large, "links")
-        scratch.drop(pairs)
-        scratch.drop(small)
+        for done in (pairs, small, nearest):
+            scratch.drop(done)
         pairs = now
     return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         pairs.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()

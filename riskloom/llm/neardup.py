@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,9 @@ from riskloom.llm.textscan import LOWER, SPACE, hash_spans, mix, row_slices, spa
 #: 48 bands of 6 minima: a pair of similarity 0.8 shares no band once in two million times.
 BANDS, BAND_ROWS = 48, 6
 HASHES = BANDS * BAND_ROWS
+#: Bands are taken in rounds, of so many bands each. The first rounds join what is very alike,
+#: so that later ones have little left to compare.
+ROUNDS = (3, 9, 36)
 #: Bits kept of each minimum, and how far below the limit an estimate may lie: more than
 #: five standard deviations of an estimate from 288 two-bit minima.
 BITS, SLACK = 2, 0.15
@@ -175,6 +179,8 @@ def near_duplicates(docs: DataFrame, words: int, percent: int = 80) -> DataFrame
     1. Equal sets are one class, which its smallest doc_id stands for.
     2. Classes that share a band of minima are candidates; two low bits of each minimum give
        their similarity, corrected for chance, and drop pairs far below the limit.
+       Bands are taken in rounds; what hangs together already is not compared again, so the
+       copies of a large group meet in a few bands and not in all.
     3. Candidates that hang together are a group. Their texts are read again and full sets
        compared exactly, in blocks of bounded size (``blocks``), so that a group of copies of
        any size is never expanded into pairs.
@@ -194,15 +200,7 @@ def near_duplicates(docs: DataFrame, words: int, percent: int = 80) -> DataFrame
         ),
         "classes",
     )
-    keyed = classes.select("rep", F.explode("bands").alias("grp"))
-    buckets = keyed.groupBy("grp").agg(F.count("*").alias("n"), F.min("rep").alias("a"), F.max("rep").alias("b"))
-    buckets = scratch.write(buckets.filter("n > 1"), "buckets")
-    similarity = percent / 100
-    rough = pair_links(buckets.filter("n = 2").select("a", "b").filter("a <> b"), classes, similarity)
-    larger = keyed.join(buckets.filter("n > 2").select("grp"), "grp").join(classes.select("rep", F.col("bits").alias("payload")), "rep")
-    larger = scratch.write(larger.select("grp", F.col("rep").alias("id"), "payload"), "larger")
-    rough = rough.union(block_links(larger, bit_matrix(similarity), scratch))
-    groups = scratch.write(components(rough, scratch), "groups")
+    groups = rough_groups(classes, percent / 100, scratch)
     members = scratch.write(member_sets(docs, groups, words), "members")
     links = block_links(members, set_matrix(percent), scratch)
     again = repeated_ids(made, classes)
@@ -219,6 +217,64 @@ def near_duplicates(docs: DataFrame, words: int, percent: int = 80) -> DataFrame
     )
 
 
+def rough_groups(classes: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """id, component of the classes that hang together by estimates near ``similarity`` or
+    above, from pairs that share a band. Only what hangs together counts here, so a pair within
+    a component of earlier rounds needn't be looked at again.
+
+    The first round compares whole buckets. In later ones a component sends at most four of its
+    classes to a bucket, which settles nearly all that belongs to a large group. Buckets that
+    still hold several components and from which a class was left out are compared whole at
+    the end."""
+    spark = classes.sparkSession
+    groups = spark.createDataFrame([], "id long, component long")
+
+    def keyed(first: int, bands: int) -> DataFrame:
+        known = groups.withColumnRenamed("id", "rep")
+        known = F.broadcast(known) if known.count() <= BROADCAST_IDS else known
+        own = classes.select("rep", F.slice("bands", first + 1, bands).alias("own")).join(known, "rep", "left")
+        return own.select("rep", F.coalesce("component", "rep").alias("component"), F.explode("own").alias("grp"))
+
+    def with_links(pairs: DataFrame, members: DataFrame) -> DataFrame:
+        larger = members.join(classes.select("rep", F.col("bits").alias("payload")), "rep")
+        larger = scratch.write(larger.select("grp", F.col("rep").alias("id"), "payload"), "larger")
+        found = pair_links(pairs, classes, similarity).union(block_links(larger, bit_matrix(similarity), scratch))
+        # the components so far are stars, so they stand for all links found before
+        links = groups.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found)
+        made = scratch.write(components(links, scratch), "groups")
+        scratch.drop(larger)
+        return made
+
+    first, thinned = 0, []
+    for bands in ROUNDS:
+        own = keyed(first, bands)
+        ends = ((f, c) for f in ("min", "max") for c in ("component", "rep"))
+        buckets = own.groupBy("grp").agg(F.count("*").alias("n"), *(getattr(F, f)(c).alias(f"{f}_{c}") for f, c in ends))
+        buckets = scratch.write(buckets.filter("min_component < max_component"), "buckets")
+        many = buckets.filter("n > 2").select("grp", "n")
+        if first:
+            some = F.array(F.min("rep"), F.max("rep"), *(F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(2)))
+            thin = own.groupBy("grp", "component").agg(F.array_distinct(some).alias("reps")).join(many, "grp")
+            thinned.append(scratch.write(thin, "thin"))
+            members = thinned[-1].select("grp", F.explode("reps").alias("rep"))
+        else:
+            members = own.join(many.select("grp"), "grp").select("grp", "rep")
+        pairs = buckets.filter("n = 2").select(F.col("min_rep").alias("a"), F.col("max_rep").alias("b"))
+        groups = with_links(pairs, members)
+        first += bands
+        scratch.drop(buckets)
+    now = groups.select(F.col("id").alias("component"), F.col("component").alias("now"))
+    left = [t.join(now, "component", "left").withColumn("now", F.coalesce("now", "component")) for t in thinned]
+    left = reduce(DataFrame.union, left)
+    left = left.groupBy("grp").agg(F.min("now").alias("lo"), F.max("now").alias("hi"), F.max("n").alias("n"), F.sum(F.size("reps")).alias("seen"))
+    left = scratch.write(left.filter("lo < hi and n > seen").select("grp"), "left")
+    if not left.isEmpty():
+        groups = with_links(spark.createDataFrame([], "a long, b long"), keyed(ROUNDS[0], first - ROUNDS[0]).join(left, "grp").select("grp", "rep"))
+    for done in thinned:
+        scratch.drop(done)
+    return groups
+
+
 def repeated_ids(made: DataFrame, classes: DataFrame) -> DataFrame | None:
     """Links a, b between a doc_id that stands on several rows and the classes of its texts."""
     own = made.filter("n_shingles > 0 and doc_id is not null")
@@ -261,8 +317,8 @@ def member_sets(docs: DataFrame, groups: DataFrame, words: int) -> DataFrame:
 
 def clean(docs: DataFrame, words: int, percent: int = 80) -> DataFrame:
     """One document of each group: the rows of ``docs`` whose doc_id is their component's
-    smallest, with the same columns. Of several rows with one doc_id the one with the
-    smallest text stays; rows with a null doc_id all stay."""
+    smallest, with the same columns. Of several rows with one doc_id and the same text one
+    stays, rows with other texts stay each; rows with a null doc_id all stay."""
     scratch = Scratch(docs.sparkSession, "near-duplicates")
     found = scratch.write(near_duplicates(docs, words, percent).select("doc_id", "kept"), "kept")
     ids = found.filter("doc_id is not null").groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n"))
@@ -272,6 +328,6 @@ def clean(docs: DataFrame, words: int, percent: int = 80) -> DataFrame:
     rest = docs.join(sized(ids.select("doc_id")), "doc_id", "left_anti").select(docs.columns)
     if not many.limit(1).count():
         return rest
-    order = Window.partitionBy("doc_id").orderBy("text")
+    order = Window.partitionBy("doc_id", "text").orderBy("doc_id")
     again = docs.join(sized(many), "doc_id", "left_semi").withColumn("_rank", F.row_number().over(order))
     return rest.union(again.filter("_rank = 1").select(docs.columns))

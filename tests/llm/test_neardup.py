@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from riskloom.llm import blocks, neardup
+from riskloom.llm import components as C
 from riskloom.llm.components import components
 from riskloom.llm.store import Scratch
 
@@ -56,9 +57,10 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("words, block", [(2, 1024), (5, 1024), (2, 8)])
-def test_components_are_those_of_all_pairs(documents, monkeypatch, words, block):
+@pytest.mark.parametrize("words, block, rounds", [(2, 1024, (3, 9, 36)), (5, 1024, (3, 9, 36)), (2, 8, (1, 47))])
+def test_components_are_those_of_all_pairs(documents, monkeypatch, words, block, rounds):
     monkeypatch.setattr(blocks, "BLOCK_ROWS", block)
+    monkeypatch.setattr(neardup, "ROUNDS", rounds)
     rows = corpus()
     got = neardup.near_duplicates(documents(rows), words).collect()
     assert sorted((r.doc_id if r.doc_id is not None else -1, r.n_shingles, r.component_id if r.component_id is not None else -1) for r in got) == brute(rows, words)
@@ -88,6 +90,33 @@ def test_clean_keeps_one_of_each_group(documents):
     rows = corpus()
     kept = sorted(r.doc_id for r in neardup.clean(documents(rows), 2).collect() if r.doc_id is not None)
     assert kept == sorted({c for i, _, c in brute(rows, 2) if i >= 0})
+    several = [(1, "a b c d"), (1, "a b c d"), (1, "k l m n"), (2, "k l m n"), (None, "p q"), (None, "p q")]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in neardup.clean(documents(several), 2).collect()))) == sorted(
+        map(str, [(1, "a b c d"), (1, "k l m n"), (None, "p q"), (None, "p q")])
+    )
+
+
+def test_a_large_group_meets_in_the_first_round_only(spark, documents, monkeypatch):
+    """Later rounds leave out the buckets whose classes hang together already."""
+    rng = random.Random(3)
+    base = ["".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(300)]
+    rows = []
+    for i in range(400):
+        own = list(base)
+        own[rng.randrange(300)] = f"x{i}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, " ".join("".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(100))) for i in range(50)]
+    seen = []
+    inner = neardup.block_links
+
+    def counted(members, matrix, scratch):
+        seen.append(members.count())
+        return inner(members, matrix, scratch)
+
+    monkeypatch.setattr(neardup, "block_links", counted)
+    got = neardup.near_duplicates(documents(rows), 2).collect()
+    assert all(r.component_id == (0 if r.doc_id < 1000 else r.doc_id) for r in got)
+    assert sum(seen[:-1]) <= 3 * 400 + 100  # of 48 bands
 
 
 def test_empty(documents):
@@ -119,9 +148,11 @@ def test_estimate_is_corrected_for_chance():
         assert abs(np.mean(values) - shared / (2000 - shared)) < 0.04
 
 
-def test_connected_components(spark):
+@pytest.mark.parametrize("hub", [1, 256])
+def test_connected_components(spark, monkeypatch, hub):
+    monkeypatch.setattr(C, "HUB_LINKS", hub)
     rng = random.Random(5)
-    pairs = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(500, 540)] + [(900, 900)]
+    pairs = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(500, 540)] + [(900, 900)] + [(600, i) for i in range(601, 640)] + [(640, i) for i in range(620, 660)]
     parent = {x: x for p in pairs if p[0] != p[1] for x in p}
 
     def root(x):
