@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from riskloom.llm.store import Scratch
 from riskloom.llm.textscan import LOWER, hash_spans, mix, row_slices, spans, text_bytes
 
-#: Labelled rows that the model is fitted on, at most (about: they are drawn by a hash of
-#: the id, so that the share fits the bound).
+#: Labelled rows that the weights are fitted on, at most (about: they are drawn by a hash of
+#: the id, so that the share fits the bound). Features are chosen by counts over all of them.
 FIT_ROWS = 10_000
+#: Labels that are joined with a broadcast (12 bytes each).
+BROADCAST_LABELS = 1_000_000
 BUCKETS = 1 << 20
 #: Features kept for the fit: the most telling ones, by their log odds in standard errors.
 FEATURES, MIN_ERRORS, MIN_TEXTS = 2048, 2.5, 4
@@ -81,17 +83,21 @@ def held_out(id_col: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Learns from the labelled rows that aren't held out, ``rows`` of them at most.
 
-    Counts of texts by feature and label are gathered over the sample (at most BUCKETS
-    rows), the most telling FEATURES are kept, and what the sample has of those is fitted
-    on the driver: both are bounded by the parameters, whatever the size of the corpus.
-    Null labels and ids are left out; of several labels of an id the largest holds."""
+    Counts of texts by feature and label are gathered over all of them (at most BUCKETS
+    rows), the most telling FEATURES are kept, and what a sample has of those is fitted on the
+    driver: what it gets is bounded by the parameters, whatever the size of the corpus. Null
+    labels and ids are left out; of several labels of an id the largest holds. Features that
+    tie are taken by their number. Without labels of both kinds, or without texts that have
+    them, the model is not fitted and scores 0."""
     spark = docs.sparkSession
+    scratch = Scratch(spark, "toxicity")
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).dropna().filter(~held_out())
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = scratch.write(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labels")
     total = known.count()
     share = int(min(1.0, rows / max(total, 1)) * (1 << 20))
-    drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(drawn), "doc_id").select("toxic", "text")
+    known = F.broadcast(known) if total <= BROADCAST_LABELS else known
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(known, "doc_id")
+    drawn = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).select("toxic", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, BUCKETS), np.int32)
@@ -109,8 +115,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         at = np.flatnonzero(sums.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), *(pa.array(np.append(sums[s][at], seen[s]).astype(np.int64)) for s in (0, 1))], names=["bucket", "clean", "toxic"])
 
-    counts = texts.mapInArrow(count, "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    counts = Scratch(spark, "toxicity").write(counts.filter(f"bucket < 0 or clean + toxic >= {MIN_TEXTS}"), "counts")
+    counts = texts.select("toxic", "text").mapInArrow(count, "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = scratch.write(counts.filter(f"bucket < 0 or clean + toxic >= {MIN_TEXTS}"), "counts")
     whole = counts.filter("bucket < 0").first()
     if whole is None or not whole["clean"] or not whole["toxic"]:
         return Model(np.zeros(BUCKETS, np.float32), 0.0, False)
@@ -138,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
                 lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(v.astype(np.int32))) for v in (sentence, feature)]
                 yield pa.RecordBatch.from_arrays([pa.array(toxic[x["first"] : x["first"] + x["rows"]]), pa.array(plain), *lists], names=["toxic", "sentences", "at", "features"])
 
-    made = texts.mapInArrow(reduce, "toxic boolean, sentences long, at array<int>, features array<int>").toArrow()
+    made = drawn.mapInArrow(reduce, "toxic boolean, sentences long, at array<int>, features array<int>").toArrow()
     places.unpersist()
     return learn(made, chosen)
 
@@ -157,17 +163,7 @@ def learn(made: pa.Table, chosen: np.ndarray) -> Model:
     w, bias = np.zeros(len(chosen)), -5.0
     moment = [np.zeros(len(chosen) + 1) for _ in range(2)]
     for step in range(1, STEPS + 1):
-        z = bias + np.bincount(sentence, w[feature], len(doc)) if len(doc) else np.zeros(0)
-        clear = -np.logaddexp(0, z)  # log of the chance that a sentence is clean
-        quiet = -np.logaddexp(0, bias)
-        log_clean = np.bincount(doc, clear, len(toxic)) + plain * quiet
-        p = np.maximum(-np.expm1(log_clean), 1e-9)
-        pull = np.where(toxic, -np.exp(log_clean) / p, 1.0) / len(toxic)
-        by_sentence = pull[doc] / (1 + np.exp(-z))
-        grad = np.append(
-            np.bincount(feature, by_sentence[sentence], len(w)) + DECAY / len(toxic) * w,
-            by_sentence.sum() + (pull * plain).sum() / (1 + np.exp(-bias)),
-        )
+        _, grad = likelihood(w, bias, toxic, plain, doc, sentence, feature)
         moment[0] = 0.9 * moment[0] + 0.1 * grad
         moment[1] = 0.99 * moment[1] + 0.01 * grad**2
         move = RATE * moment[0] / (1 - 0.9**step) / (np.sqrt(moment[1] / (1 - 0.99**step)) + 1e-8)
@@ -177,6 +173,27 @@ def learn(made: pa.Table, chosen: np.ndarray) -> Model:
     return Model(weights, float(bias))
 
 
+def likelihood(
+    w: np.ndarray, bias: float, toxic: np.ndarray, plain: np.ndarray, doc: np.ndarray, sentence: np.ndarray, feature: np.ndarray
+) -> tuple[float, np.ndarray]:
+    """The mean negative log likelihood of the labels with its penalty, and the gradient by the
+    weights and the bias. doc: each sentence's text; sentence, feature: what stands where;
+    plain: sentences of each text without a feature."""
+    z = bias + np.bincount(sentence, w[feature], len(doc)) if len(doc) else np.zeros(0)
+    clear = -np.logaddexp(0, z)  # log of the chance that a sentence is clean
+    quiet = -np.logaddexp(0, bias)
+    log_clean = np.bincount(doc, clear, len(toxic)) + plain * quiet
+    p = np.maximum(-np.expm1(log_clean), 1e-9)
+    loss = np.where(toxic, -np.log(p), -log_clean).mean() + DECAY / len(toxic) / 2 * (w * w).sum()
+    pull = np.where(toxic, -np.exp(log_clean) / p, 1.0) / len(toxic)
+    by_sentence = pull[doc] / (1 + np.exp(-z))
+    grad = np.append(
+        np.bincount(feature, by_sentence[sentence], len(w)) + DECAY / len(toxic) * w,
+        by_sentence.sum() + (pull * plain).sum() / (1 + np.exp(-bias)),
+    )
+    return float(loss), grad
+
+
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, score, predicted and offences (begin, end: bytes of the text; score) of each row
     of ``docs`` (doc_id, text), and the columns in ``carry`` as c_<name>.
@@ -214,7 +231,9 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, carry: tu
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Learns from ``labels`` (doc_id, toxic) and scores all of ``docs``: doc_id, held_out, score,
-    predicted, offences. See ``fit`` and ``score``."""
+    predicted, offences. See ``fit`` and ``score``. Null and empty texts score 0, repeated rows
+    come back each, other columns are left behind; without labels all score 0; an empty table
+    gives no row."""
     return score(docs, fit(docs, labels), threshold).withColumn("held_out", held_out())
 
 

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskloom.llm import licences, quality, toxicity
@@ -160,6 +161,57 @@ def test_licences(documents):
     assert got[10].labels == "" and got[13].score == 0
 
 
+NOTICES = {
+    "gpl-3": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.",
+    "bsd": "Redistribution and use in source or binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "mit": "Permission is hereby granted, free of charge, to any natural or legal person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
+}
+
+
+def test_notices_with_words_inserted_or_changed(documents):
+    rng = np.random.default_rng(9)
+    rows = [(0, NOTICES["gpl-3"]), (1, NOTICES["bsd"]), (2, NOTICES["mit"])]
+    rows += [(3 + i, some_words(rng, 700) + " " + t + " " + some_words(rng, 300)) for i, t in enumerate(NOTICES.values())]
+    rows += [(6, " ".join([*NOTICES.values()] * 40)), (7, "permission granted copy software restriction " * 50), (8, NOTICES["gpl-3"].replace("version 3", "version 2"))]
+    rows += [(9, NOTICES["gpl-3"].replace("version 3", "version 7")), (10, NOTICES["mit"].replace("free of charge", "at a charge"))]
+    rows += [(20 + i, some_words(rng, 80) + " in the and of to is for use any") for i in range(60)]
+    got = {r.doc_id: r for r in licences.summary(licences.scan(documents(rows))).collect()}
+    assert [got[i].labels for i in range(9)] == ["gpl-3", "bsd", "mit"] * 2 + ["bsd,gpl-3,mit", "", "gpl-2"]
+    assert [got[i].labels for i in (9, 10)] == ["", ""]  # a key phrase is missing
+    assert not any(got[20 + i].labels for i in range(60))
+    hits = {r.doc_id: r.hits for r in licences.scan(documents(rows)).collect()}
+    assert [h.word for h in hits[3]] == [700] and len([h for h in hits[6] if h.label == "gpl-3"]) == 40
+
+
+def test_index_finds_what_a_scan_of_all_places_finds(documents):
+    """Against every template tried at every place of every text."""
+    rng = np.random.default_rng(10)
+    some = lambda n: some_words(rng, n).split()
+    rows = []
+    for i in range(60):
+        w = licences.TEMPLATES[i % len(licences.TEMPLATES)].text.split()
+        for _ in range(i % 4):  # words inserted, left out or changed
+            at = int(rng.integers(len(w)))
+            w = [w[:at] + some(1) + w[at:], w[:at] + w[at + 1 :], w[:at] + some(1) + w[at + 1 :]][int(rng.integers(3))]
+        rows.append((i, " ".join([*some(int(rng.integers(0, 40))), *w, *some(int(rng.integers(0, 40)))])))
+    rows += [(100 + i, " ".join(some(60) + ["the", "of", "software", "in"])) for i in range(30)] + [(None, rows[4][1]), (5, rows[5][1])]
+    counts = Counter(w for _, t in rows for w in set(t.split()))
+    index = licences.Index(licences.TEMPLATES, counts, len(rows))
+    number = {w: i for i, w in enumerate(index.vocabulary)}
+    want = []
+    for i, text in rows:
+        words = np.array([number.get(w, -1) for w in text.split()])
+        found = {label for label, p in licences.BASE_PHRASES if f" {p} " in f" {text} "}
+        for t, template in enumerate(licences.TEMPLATES):
+            slack = index.slack[t]
+            if any(index.share(t, b, words, 0, len(words)) >= licences.MIN_SHARE for b in range(-slack, len(words))):
+                found.add(template.label)
+        want.append((i, ",".join(sorted(found))))
+    got = [(r.doc_id, r.labels) for r in licences.summary(licences.scan(documents(rows))).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert sum(bool(x) for _, x in want) > 40
+
+
 @pytest.fixture(scope="module")
 def toxic_corpus():
     rng = np.random.default_rng(6)
@@ -192,3 +244,58 @@ def test_toxicity_on_held_out_rows_and_offending_sentences(spark, documents, tox
             assert re.search("vilest|rotfis", text.encode()[o.begin : o.end].decode().lower())
     clean = toxicity.clean(docs, labels)
     assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} == {r.doc_id for r in rows if not r.predicted}
+
+
+def plain_features(sentence):
+    """Buckets of a sentence: words, their first 3 to 5 bytes and last 4, as ``sentences`` has them."""
+    column = next(toxicity.sentences(pa.array([sentence])))
+    return set(column["bucket"].tolist())
+
+
+def test_scores_are_the_noisy_or_of_sentences(documents):
+    """Against sentence by sentence in plain Python, with the same weights."""
+    rng = np.random.default_rng(3)
+    rows = [(i, ". ".join(some_words(rng, int(rng.integers(1, 9))) for _ in range(int(rng.integers(1, 7)))) + "!\nX y? ..") for i in range(40)]
+    rows += [(90, None), (91, " .. "), (92, "one " * 700_000 + ". two")]  # a text above one slice
+    weights = np.where(rng.random(toxicity.BUCKETS) < 0.5, rng.normal(0, 1.5, toxicity.BUCKETS), 0).astype(np.float32)
+    model = toxicity.Model(weights, -2.0)
+    got = {r.doc_id: r for r in toxicity.score(documents(rows), model).collect()}
+    for i, text in rows:
+        clean, bad = 1.0, 0
+        for sentence in re.split(r"[.!?\n]", text or ""):
+            if re.search("[0-9a-zA-Z\x80-\uffff]", sentence):
+                p = 1 / (1 + np.exp(-(model.bias + sum(float(weights[b]) for b in plain_features(sentence)))))
+                clean *= 1 - p
+                bad += p >= toxicity.THRESHOLD
+        assert got[i].score == pytest.approx(1 - clean, abs=1e-9) and len(got[i].offences) == bad
+        assert got[i].predicted == int(1 - clean >= toxicity.THRESHOLD)
+
+
+def test_gradient_is_that_of_the_likelihood():
+    rng = np.random.default_rng(4)
+    docs, features = 12, 6
+    toxic, plain = rng.random(docs) < 0.4, rng.integers(0, 4, docs)
+    doc = np.sort(rng.integers(0, docs, 25))
+    sentence, feature = rng.integers(0, 25, 60), rng.integers(0, features, 60)
+    w, bias = rng.normal(size=features), -0.7
+    _, grad = toxicity.likelihood(w, bias, toxic, plain, doc, sentence, feature)
+    for k in range(features + 1):
+        step = np.zeros(features + 1)
+        step[k] = 1e-6
+        ends = [toxicity.likelihood(w + d * step[:-1], bias + d * step[-1], toxic, plain, doc, sentence, feature)[0] for d in (1, -1)]
+        assert grad[k] == pytest.approx((ends[0] - ends[1]) / 2e-6, abs=1e-6)
+
+
+def test_features_are_counted_beyond_the_fitted_sample(spark, documents):
+    """A word of few labelled texts is learnt though the sample of the fit has none or few of them."""
+    rng = np.random.default_rng(12)
+    rows, labels = [], []
+    for i in range(1200):
+        toxic = i % 4 == 0
+        rows.append((i, some_words(rng, 12) + (" vilest rotfish" if toxic else "") + "."))
+        labels.append((i, int(toxic)))
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(documents(rows), known, rows=60)
+    assert (model.weights != 0).sum() > 0
+    got = toxicity.score(documents(rows), model).collect()
+    assert np.mean([r.predicted == int(r.doc_id % 4 == 0) for r in got]) > 0.97
