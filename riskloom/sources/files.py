@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskloom import config as C
 from riskloom.roles import SOURCE_POS, normalized_name
 from riskloom.session import join_path, path_exists
+from riskloom.sources.json_files import read_json_object, read_labels
+from riskloom.sources.positions import with_source_position
 
 # Types of the known raw columns; any other column is text.
 COLUMN_TYPES = {
@@ -68,37 +70,6 @@ def resolve(spark: SparkSession, directory: str, names: Sequence[str], required:
     return None
 
 
-def with_source_position(df: DataFrame) -> DataFrame:
-    """Number the rows of a file scan in source order.
-
-    Spark keeps the order inside one file. Several files are scanned in any
-    order, so their blocks are counted first and numbered by path and offset.
-    """
-    if len(df.inputFiles()) <= 1:
-        return df.withColumn(SOURCE_POS, F.monotonically_increasing_id())
-    tagged = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"),
-    )
-    # One row per file block, so this window is over the file listing, not the data.
-    in_order = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        tagged.groupBy(F.col("_file").alias("_f"), F.col("_block").alias("_b"))
-        .agg(F.count("*").alias("_rows"), F.min("_seq").alias("_first"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(in_order), F.lit(0)))
-    )
-    position = F.col("_before") + F.col("_seq") - F.col("_first")
-    return (
-        tagged.join(
-            blocks, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b"))
-        )
-        .withColumn(SOURCE_POS, position)
-        .select(*df.columns, SOURCE_POS)
-    )
-
-
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -154,78 +125,6 @@ def load_csv(
     return read_csv(spark, path, **options)
 
 
-def _opens_list(spark: SparkSession, path: str) -> bool:
-    """Whether a JSON file starts with ``[``; reads up to its first comma only."""
-    first = spark.read.option("lineSep", ",").text(path).filter(F.trim("value") != "").first()
-    return first is not None and first[0].lstrip().startswith("[")
-
-
-def read_json_object(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of one small JSON document: an object's (key, value), or a list's records."""
-    if _opens_list(spark, path):
-        return read_json_records(spark, path)
-    document = spark.read.text(path, wholetext=True)
-    return document.select(
-        F.explode(F.from_json("value", "map<string,string>")).alias("key", "value")
-    )
-
-
-def read_json_records(spark: SparkSession, path: str) -> DataFrame:
-    """Records of a JSON list of flat objects, all columns as text, read by many tasks.
-
-    A record may lack fields that others have.
-
-    The file is cut at closing braces. A piece that is not a whole flat object
-    stops the job instead of vanishing.
-    """
-    pieces = with_source_position(spark.read.option("lineSep", "}").text(path))
-    body = pieces.select(F.regexp_replace("value", r"^[\s,\[]+", "").alias("body"), SOURCE_POS).filter(
-        ~F.col("body").rlike(r"^[\s\]]*$")
-    )
-    text = F.concat("body", F.lit("}"))
-    # the fields of all records, as the first one that has each orders them
-    fields = body.select(SOURCE_POS, F.posexplode(F.json_object_keys(text)).alias("_at", "_name"))
-    order = fields.groupBy("_name").agg(F.min(F.struct(SOURCE_POS, "_at")).alias("_first")).orderBy("_first")
-    names = [r["_name"] for r in order.collect()]
-    if not names:
-        return spark.createDataFrame([], "key string, value string")
-    kind = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return body.select(F.from_json(text, kind, {"mode": "FAILFAST"}).alias("r"), SOURCE_POS).select("r.*", SOURCE_POS)
-
-
-def read_json_labels(spark: SparkSession, path: str) -> DataFrame:
-    """(key, value) of a large one-object label file, read by many tasks.
-
-    The file is cut at commas, so one object spreads over the cluster. That
-    needs keys and values without commas, as ids and labels are; any piece that
-    is not a single ``"id": label`` entry stops the job instead of vanishing.
-    """
-    pieces = with_source_position(spark.read.option("lineSep", ",").text(path))
-    entry = r'^[\s{]*(?:"target"\s*:\s*\{)?\s*"([^"]*)"\s*:\s*(?:"([^"]*)"|([^\s"{}\[\]]+))[\s}]*$'
-
-    def group(i: int) -> Column:
-        return F.regexp_extract("value", entry, i)
-
-    is_entry = F.col("value").rlike(entry)
-    is_blank = F.col("value").rlike(r'^[\s{]*("target"\s*:\s*\{\s*)?[\s}]*$')
-    quoted, bare = group(2), group(3)
-    value = F.when(bare == "null", F.lit(None)).when(bare != "", bare).otherwise(quoted)
-    wrong = F.raise_error(F.concat(F.lit("not a label entry: "), F.col("value")))
-    return (
-        pieces.filter(~is_blank)
-        .withColumn("key", F.when(is_entry, group(1)).otherwise(wrong.cast("string")))
-        # of an object's repeated keys the last one holds: it comes first in this order
-        .select("key", value.alias("value"), (-F.col(SOURCE_POS)).alias(SOURCE_POS))
-    )
-
-
-def read_labels(spark: SparkSession, path: str) -> DataFrame:
-    """Labels from a JSON object, or from a JSON list of records."""
-    if _opens_list(spark, path):
-        return read_json_records(spark, path)
-    return read_json_labels(spark, path)
-
-
 def load_all(spark: SparkSession, directory: str, **csv_options) -> dict[str, DataFrame]:
     """The five raw tables; also registered as temporary views."""
     codes = resolve(spark, directory, C.MCC_FILES, required=False)

@@ -7,12 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom import config as C
-from riskloom.sources.files import (
-    read_csv,
-    read_json_object,
-    read_labels,
-)
 from riskloom.session import join_path, path_exists
+from riskloom.sources.files import read_csv
+from riskloom.sources.json_files import read_json_object, read_labels
 
 # Landed table per expected raw file.
 TABLE_OF_FILE = {

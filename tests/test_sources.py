@@ -6,7 +6,7 @@ import pytest
 from riskloom.config import RiskConfig
 from riskloom.operators.enrich import first_labelled, labels_frame
 from riskloom.roles import SOURCE_POS
-from riskloom.sources import artifacts, files, landing, sinks
+from riskloom.sources import artifacts, files, json_files, landing, positions, sinks
 
 CFG = RiskConfig()
 
@@ -78,28 +78,89 @@ def test_a_large_label_object_is_read_by_many_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_a_label_with_a_comma_stops_the_job(spark, tmp_path):
-    write(tmp_path, "labels.json", '{"1": "No, not at all", "2": "Yes"}')
-    with pytest.raises(Exception, match="not a label entry"):
+ODD_TEXTS = [
+    "No, not at all", 'a "quoted" text', "brace } and { and ] [", "back\\slash", 'ends in \\"', "\\", '"', ",", "{,", "},\n", "é, 日本", "\u2028", "", "tab\t,", '\\",', "x" * 300,
+]
+
+
+@pytest.fixture(params=[None, 16, 100])
+def blocks(spark, request):
+    """Reads files in blocks of so many bytes."""
+    if request.param:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("wrapped, indent", [("no", None), ("first", 2), ("between", None), ("inside a text", 2)])
+def test_members_with_any_text_in_any_block(spark, tmp_path, blocks, indent, wrapped):
+    members = {f"k{i},{{": t for i, t in enumerate(ODD_TEXTS)} | {"n": 1.5, "yes": True, "none": None, "deep": {"a": [1, {"b": ","}], "target": {"z": 1}}, "list": ["x,y", {}]}
+    document = {
+        "no": members, "first": {"target": members, "note": "x, }"}, "between": {"note": ["{", 1], "target": members, "more": {"u": 1}},
+        "inside a text": {**members, "t": '"target": {"q": 1}, "target": {'},
+    }[wrapped]
+    write(tmp_path, "labels.json", json.dumps(document, indent=indent, ensure_ascii=wrapped != "no"))
+    want = members if wrapped in ("first", "between") else document
+    got = {r["key"]: r["value"] for r in json_files.read_members(spark, str(tmp_path / "labels.json"), "target").collect()}
+    shown = {k: None if v is None else v if isinstance(v, str) else json.dumps(v, separators=(",", ":"), ensure_ascii=False) for k, v in want.items()}
+    assert {k: v if k not in ("deep", "list") else json.dumps(json.loads(v), separators=(",", ":"), ensure_ascii=False) for k, v in got.items()} == shown
+
+
+@pytest.mark.parametrize("indent", [1])
+def test_records_with_any_text_in_any_block(spark, tmp_path, blocks, indent):
+    records = [{"id": str(i), "text": t, "more": {"a": [t, {"b": {}}]}, **({"late": "{"} if i > 5 else {})} for i, t in enumerate(ODD_TEXTS)]
+    write(tmp_path, "labels.json", json.dumps(records, indent=indent))
+    rows = json_files.read_json_records(spark, str(tmp_path / "labels.json"))
+    assert rows.columns == ["id", "text", "more", "late", SOURCE_POS]
+    got = [(r["id"], r["text"], json.loads(r["more"]), r["late"]) for r in rows.orderBy(SOURCE_POS).collect()]
+    assert got == [(r["id"], r["text"], r["more"], r.get("late")) for r in records]
+
+
+def test_many_documents_in_a_folder(spark, tmp_path, blocks):
+    folder = tmp_path / "labels.json"
+    folder.mkdir()
+    for k in range(5):
+        write(folder, f"part {k}.json", json.dumps({"note": "{", "target": {f"{k}-{i}": t for i, t in enumerate(ODD_TEXTS)}} if k % 2 else {f"{k}-{i}": t for i, t in enumerate(ODD_TEXTS)}))
+    got = {r["key"]: r["value"] for r in files.read_labels(spark, str(folder)).collect()}
+    assert got == {f"{k}-{i}": t for k in range(5) for i, t in enumerate(ODD_TEXTS)}
+
+
+@pytest.mark.parametrize("text", ['{"a": }', '[{"a": 1}, 5x]', '{"a": "1"; "b"}'])
+def test_malformed_documents_stop_the_job(spark, tmp_path, text):
+    write(tmp_path, "labels.json", text)
+    with pytest.raises(Exception):
         files.read_labels(spark, str(tmp_path / "labels.json")).collect()
 
 
-def test_positions_follow_files_and_offsets(spark, tmp_path):
+def test_a_code_dictionary_keeps_the_last_of_a_repeated_code(spark, tmp_path):
+    write(tmp_path, "mcc.json", '{"1": "a, {b", "2": "c", "1": null}')
+    got = {r["key"]: r["value"] for r in files.read_json_object(spark, str(tmp_path / "mcc.json")).collect()}
+    assert got == {"1": None, "2": "c"}
+
+
+@pytest.mark.parametrize("in_plan", [256, 2])
+def test_positions_follow_files_and_offsets(spark, tmp_path, monkeypatch, in_plan):
+    monkeypatch.setattr(positions, "FILES_IN_PLAN", in_plan)
     folder = tmp_path / "tx.csv"
     folder.mkdir()
-    sizes = {"a.csv": 50, "b.csv": 4000, "c.csv": 700}
+    sizes = {"a b.csv": 50, "b.csv": 4000, "c.csv": 700, "d%é.csv": 3, "e.csv": 900}
     start = 0
     for name, size in sizes.items():
         write(folder, name, "id,v\n" + "".join(f"{i},x\n" for i in range(start, start + size)))
         start += size
-    spark.conf.set("spark.sql.files.maxPartitionBytes", 8 * 1024)
-    try:
-        df = files.read_csv(spark, str(folder))
-        ids = [r["id"] for r in df.orderBy(SOURCE_POS).collect()]
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert ids == list(range(start))
-    assert df.filter(f"{SOURCE_POS} <> id").isEmpty()
+    for size in (8 * 1024, 700):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            df = files.read_csv(spark, str(folder))
+            ids = [r["id"] for r in df.orderBy(SOURCE_POS).collect()]
+            tasks = df.rdd.getNumPartitions()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert ids == list(range(start)) and tasks > 4
+        assert df.select(SOURCE_POS).distinct().count() == start
+    plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange hash" not in plan
+    assert ("Join" in plan) == (in_plan == 2)
 
 
 def dataset(folder, content):
@@ -175,7 +236,7 @@ def test_repeated_labels(spark, tmp_path, text, want):
 
 def test_records_with_unlike_fields(spark, tmp_path):
     write(tmp_path, "labels.json", '[{"id": "1"}, {"id": "2", "is_fraud": "Yes"},\n{"note": "x", "id": "3", "is_fraud": "No"}]')
-    rows = files.read_json_records(spark, str(tmp_path / "labels.json"))
+    rows = json_files.read_json_records(spark, str(tmp_path / "labels.json"))
     assert rows.columns == ["id", "is_fraud", "note", SOURCE_POS]
     got = sorted((r["id"], r["is_fraud"], r["note"]) for r in rows.collect())
     assert got == [("1", None, None), ("2", "Yes", None), ("3", "No", "x")]
