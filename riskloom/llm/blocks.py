@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.store import Scratch
@@ -59,16 +59,8 @@ def block_links(members: DataFrame, matrix: Callable[[list[bytes]], np.ndarray],
     rows = members.join(sizes.select("grp", "_blocks", (F.col("_blocks") > 1).alias("_wide")), "grp").withColumn(
         "_block", F.when(F.col("_blocks") > 1, F.pmod(F.xxhash64("id"), F.col("_blocks"))).otherwise(F.lit(0).cast("long"))
     )
-    if wide and wide > 1:  # a few long rows may leave blocks empty: those that have rows are numbered anew
-        filled = rows.filter("_wide").select("grp", "_block").distinct()
-        own = Window.partitionBy("grp")
-        filled = filled.select(
-            F.col("grp").alias("_g"), F.col("_block").alias("_b"), F.count("*").over(own).alias("_filled"),
-            (F.row_number().over(own.orderBy("_block")) - 1).cast("long").alias("_nth"),
-        )
-        filled = scratch.write(filled, "filled")
-        rows = rows.join(filled, (F.col("grp") == F.col("_g")) & (F.col("_block") == F.col("_b")), "left")
-        rows = rows.withColumn("_blocks", F.coalesce("_filled", "_blocks")).withColumn("_block", F.coalesce("_nth", "_block")).drop("_g", "_b", "_filled", "_nth")
+    if wide and wide > 1:  # read several times below
+        rows = scratch.write(rows, "rows")
     bundle = F.pmod(F.xxhash64("grp", F.lit(1)), F.lit(bundles))
     first = rows.select(
         F.when(F.col("_wide"), F.col("grp")).otherwise(bundle).alias("_key"),
@@ -91,6 +83,11 @@ def block_links(members: DataFrame, matrix: Callable[[list[bytes]], np.ndarray],
             return pa.table({"grp": own, "a": a, "b": b})
         first, block = ids[table.column("_block").to_numpy() == 0], table.column("_block").to_numpy()
         mine = ids[block == block.max()]
+        if not len(first):  # a few long rows may leave a block empty; without the first one there is no core
+            return pa.table({
+                "grp": pa.array(np.append(own, np.full(len(mine), grp[0]))), "a": pa.array(np.append(a, mine)),
+                "b": pa.array([*b.tolist(), *[None] * len(mine)], pa.int64()),
+            })
         head = dict(zip(b.tolist(), a.tolist(), strict=True))  # each row's smallest linked id
         inner = np.flatnonzero(block == 0)
         if block.max():  # links through this block don't count in finding the core

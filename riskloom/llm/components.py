@@ -38,15 +38,14 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         small = scratch.write(small, "smaller")
         both = small.union(small.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"))
-        nearest = scratch.write(nearest, "nearest")
         limit = max(HUB_LINKS, 2 * small.count() // MOST_HUBS)
         hubs = F.broadcast(nearest.filter(F.col("n") > limit).select("u", "m"))
         others = both.join(hubs.select("u"), "u", "left_anti").join(nearest.filter(F.col("n") <= limit).select("u", "m"), "u")
         beside = both.join(hubs, "u").unionByName(others)
         large = beside.filter("v > u and v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         now = scratch.write(large, "links")
-        for done in (pairs, small, nearest):
-            scratch.drop(done)
+        scratch.drop(pairs)
+        scratch.drop(small)
         pairs = now
     return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         pairs.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()

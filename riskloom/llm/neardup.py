@@ -20,7 +20,7 @@ BANDS, BAND_ROWS = 48, 6
 HASHES = BANDS * BAND_ROWS
 #: Bands are taken in rounds, of so many bands each. The first rounds join what is very alike,
 #: so that later ones have little left to compare.
-ROUNDS = (3, 9, 36)
+ROUNDS = (4, 44)
 #: Bits kept of each minimum, and how far below the limit an estimate may lie: more than
 #: five standard deviations of an estimate from 288 two-bit minima.
 BITS, SLACK = 2, 0.15
