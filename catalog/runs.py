@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import datetime
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, functions as F
 
 from catalog.domain import (
@@ -19,7 +23,9 @@ from riskloom.operators.metrics import evaluate
 from riskloom.operators.split import temporal_split
 from riskloom.operators.thresholds import business_cost, configured_table
 from riskloom.plans import tracking as K
-from riskloom.session import pin
+from riskloom.plans.store import RunStore
+from riskloom.plans.training import metric_frame, run_artifacts, run_row
+from riskloom.session import create_if_absent, ensure_checkpoint_dir, join_path, path_exists, pin
 from riskloom.sources.artifacts import ARTIFACT_TYPES, artifact_type
 
 # ---- the tables in SQL ----------------------------------------------------------
@@ -77,17 +83,20 @@ run_artifacts AS (
   SELECT run_id, CASE name WHEN 'pipeline' THEN 'pipeline' WHEN 'model_metadata' THEN 'metadata_table'
       WHEN 'metadata.json' THEN 'metadata_json' WHEN 'threshold_analysis.csv' THEN 'threshold_analysis'
       WHEN 'leakage_audit.json' THEN 'leakage_audit' ELSE 'other' END AS artifact_type,
-    'runs/' || run_id || '/' || name AS uri, sha256(run_id || name) AS sha256,
-    train_rows * length(name) AS size_bytes
-  FROM training_runs, (SELECT unnest(['pipeline', 'model_metadata', 'metadata.json',
-    'threshold_analysis.csv', 'leakage_audit.json', 'notes.txt']) AS name)
-  WHERE model_name <> 'view'),
+    'runs/' || run_id || '/' || name AS uri, sha256(sha256(content)) AS sha256, octet_length(encode(content)) AS size_bytes
+  FROM (SELECT *, run_id || ' ' || name || ' ' || CAST(train_rows AS VARCHAR) || chr(10) AS content
+    FROM training_runs, (SELECT unnest(['pipeline', 'model_metadata', 'metadata.json',
+      'threshold_analysis.csv', 'leakage_audit.json', 'notes.txt']) AS name))),
 best AS (
   SELECT run_id FROM run_metrics WHERE split = 'test' ORDER BY pr_auc DESC, run_id LIMIT 1),
 promotions AS (
   SELECT completed_us AS id, run_id, completed_at AS promoted_at,
     audit_status, sha256(run_id) AS pipeline_sha256, run_id = (SELECT run_id FROM best) AS is_active
-  FROM training_runs WHERE model_name <> 'click')"""
+  FROM training_runs WHERE model_name <> 'click'),
+all_promotions AS (
+  SELECT * FROM promotions
+  UNION ALL SELECT (SELECT max(id) FROM promotions) + 1, r.run_id, completed_at, audit_status, sha256(r.run_id), true
+  FROM training_runs r JOIN best USING (run_id) WHERE r.run_id NOT IN (SELECT run_id FROM promotions))"""
 
 
 # ---- the same tables in Spark ---------------------------------------------------
@@ -177,22 +186,81 @@ def _runs(scored: DataFrame, chosen: DataFrame) -> DataFrame:
     return K.conform(full, "training_runs")
 
 
+def _content(run_id: str, name: str, train_rows: int) -> str:
+    return f"{run_id} {name} {train_rows}\n"
+
+
 def _artifacts(runs: DataFrame) -> DataFrame:
     names = F.array(*[F.lit(n) for n in (*ARTIFACT_TYPES, "notes.txt")])
-    rows = runs.filter("model_name <> 'view'").withColumn("name", F.explode(names))
+    rows = runs.withColumn("name", F.explode(names))
+    content = F.concat("run_id", F.lit(" "), "name", F.lit(" "), F.col("train_rows").cast("string"), F.lit("\n"))
     return K.conform(
         rows.withColumns(
             {
                 "artifact_type": artifact_type(F.col("name")),
                 "uri": F.concat_ws("/", F.lit("runs"), "run_id", "name"),
-                "sha256": F.sha2(F.concat("run_id", "name"), 256),
-                "size_bytes": F.col("train_rows") * F.length("name"),
+                "sha256": F.sha2(F.sha2(content, 256), 256),
+                "size_bytes": F.octet_length(content),
             }
         ),
         "run_artifacts",
     )
 
 
+def recorded(spark, sf_dir) -> RunStore:
+    """A store in which each run was recorded with its files, as a training job does it, and
+    promoted; the best one last."""
+    scored = pin(_scored(spark, sf_dir))
+    evaluations = pin(_evaluations(scored))
+    chosen = pin(_chosen(evaluations))
+    # One row per run and per run and split: there are as many runs as event types.
+    runs = _runs(scored, chosen).withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("started_at", "completed_at")}).collect()
+    metrics = {(r["run_id"], r["split"]): r for r in _metrics(scored, chosen).collect()}
+    store = RunStore(spark, join_path(ensure_checkpoint_dir(spark), f"runs-{uuid4().hex}"))
+    for r in sorted(runs, key=lambda r: r["completed_at"]):
+        run_id, folder = r["run_id"], store.run_directory(r["run_id"])
+        for name in (*ARTIFACT_TYPES, "notes.txt"):
+            create_if_absent(spark, join_path(folder, name), _content(run_id, name, r["train_rows"]))
+        about = {
+            "model_name": r["model_name"],
+            "threshold": float(r["selected_threshold"]),
+            "training_max_rows": r["training_max_rows"],
+            "strict_leakage_prevention": r["strict_leakage_prevention"],
+            **{f"{s}_metrics": {m: metrics[run_id, s][m] for m in K.METRIC_NAMES} for s in K.SCORED_SPLITS},
+            "threshold_selection": {
+                "strategy": r["threshold_strategy"],
+                "false_positive_cost": float(r["false_positive_cost"]),
+                "false_negative_cost": float(r["false_negative_cost"]),
+            },
+            "operational_costs": {s: float(metrics[run_id, s]["business_cost"]) for s in K.SCORED_SPLITS},
+            "dataset": {f"{s}_{c}": r[f"{s}_{c}"] for s in ("train", *K.SCORED_SPLITS) for c in ("rows", "positive_rate")},
+            "run": {
+                "run_id": run_id,
+                **{f"{c}_utc": datetime.fromisoformat(r[c]).isoformat() + "+00:00" for c in ("started_at", "completed_at")},
+                "duration_seconds": float(r["duration_seconds"]),
+                "pipeline_sha256": r["pipeline_sha256"],
+            },
+        }
+        report = {"status": r["audit_status"], "warnings": ["threshold_at_edge"] * r["audit_warning_count"]}
+        own = evaluations.filter(F.col("run_id") == run_id)
+        store.record(about, report, run_row(spark, about, report), metric_frame(spark, about), own, run_artifacts(spark, run_id, folder))
+    best = max(runs, key=lambda r: (metrics[r["run_id"], "test"]["pr_auc"], [-ord(c) for c in r["run_id"]]))
+    for r in [*sorted(runs, key=lambda r: r["completed_at"]), best]:
+        store.promote(r["run_id"], overwrite=True)
+    return store
+
+
+_RECORDED: dict[tuple[str, str], RunStore] = {}
+
+
+def _store(spark, sf_dir) -> RunStore:
+    """The recorded store of a folder, made once per session as long as it is there."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _RECORDED or not path_exists(spark, _RECORDED[key].root):
+        _RECORDED[key] = recorded(spark, sf_dir)
+    return _RECORDED[key]
+
+
 def _promotions(runs: DataFrame, metrics: DataFrame) -> DataFrame:
     """Every run but one promoted once when it ended; then the best one made active."""
     past = K.conform(
@@ -248,8 +316,8 @@ def _double(df: DataFrame, *columns: str) -> DataFrame:
       round(train_positive_rate, 6) AS train_positive_rate FROM training_runs""",
 )
 def _(spark, sf_dir):
-    scored = _scored(spark, sf_dir)
-    runs = _runs(scored, _chosen(_evaluations(scored)))
+    """The rows of recorded runs."""
+    runs = _store(spark, sf_dir).table("training_runs")
     shown = _double(runs, "selected_threshold").withColumns(
         {c: stamp(F.col(c)) for c in ("started_at", "completed_at")}
     )
@@ -299,9 +367,8 @@ def _(spark, sf_dir):
     f"""WITH {_BASE_SQL} SELECT run_id, artifact_type, uri, sha256, size_bytes FROM run_artifacts""",
 )
 def _(spark, sf_dir):
-    scored = _scored(spark, sf_dir)
-    artifacts = _artifacts(_runs(scored, _chosen(_evaluations(scored))))
-    return artifacts.drop("created_at")
+    """The inventory of the files that lie in the runs' folders."""
+    return _store(spark, sf_dir).table("run_artifacts").drop("created_at")
 
 
 @query(
@@ -380,14 +447,10 @@ def _(spark, sf_dir):
       CAST(bool_or(is_active) AS INTEGER) AS is_active_baseline,
       max(promoted_at) AS last_promoted_at,
       string_agg(CAST(id AS VARCHAR), ',' ORDER BY promoted_at DESC) AS listed
-    FROM promotions GROUP BY run_id""",
+    FROM all_promotions GROUP BY run_id""",
 )
 def _(spark, sf_dir):
-    tables = run_tables(spark, sf_dir)
-    past = tables["baseline_promotions"].join(
-        tables["training_runs"].filter("model_name <> 'click'").select("run_id"), "run_id"
-    )
-    rolled = K.promotion_rollup(past)
+    rolled = K.promotion_rollup(run_tables(spark, sf_dir)["baseline_promotions"])
     listed = F.transform("baseline_promotions", lambda p: p["promotion_id"].cast("string"))
     return rolled.select(
         "run_id",
@@ -399,9 +462,6 @@ def _(spark, sf_dir):
 
 
 _FACT_SQL = f"""{_BASE_SQL},
-all_promotions AS (
-  SELECT run_id, is_active FROM promotions
-  UNION ALL SELECT run_id, true FROM best WHERE run_id NOT IN (SELECT run_id FROM promotions)),
 wide AS (SELECT run_id, {_PIVOT_SQL} FROM run_metrics GROUP BY run_id),
 fact AS (
   SELECT r.run_id, r.model_name, r.audit_status, r.train_rows, w.validation_pr_auc, w.test_pr_auc,
@@ -412,7 +472,13 @@ fact AS (
       WHERE a.run_id = r.run_id) AS artifact_total_size_bytes,
     (SELECT count(*) FROM all_promotions p WHERE p.run_id = r.run_id) AS baseline_promotion_count,
     CAST((SELECT coalesce(bool_or(is_active), false) FROM all_promotions p
-      WHERE p.run_id = r.run_id) AS INTEGER) AS is_active_baseline
+      WHERE p.run_id = r.run_id) AS INTEGER) AS is_active_baseline,
+    (SELECT string_agg(split || ':' || CAST(CAST(round(e.threshold * 100) AS INTEGER) AS VARCHAR), ',' ORDER BY split, e.threshold)
+      FROM evaluations e WHERE e.run_id = r.run_id) AS thresholds_listed,
+    (SELECT string_agg(artifact_type || '=' || sha256, ',' ORDER BY artifact_type, uri)
+      FROM run_artifacts a WHERE a.run_id = r.run_id) AS artifacts_listed,
+    coalesce((SELECT string_agg(CAST(id AS VARCHAR), ',' ORDER BY promoted_at DESC, id DESC)
+      FROM all_promotions p WHERE p.run_id = r.run_id), '') AS promotions_listed
   FROM training_runs r LEFT JOIN wide w ON w.run_id = r.run_id)"""
 
 
@@ -442,27 +508,28 @@ def _(spark, sf_dir):
         "artifact_total_size_bytes",
         "baseline_promotion_count",
         F.col("is_active_baseline").cast("int").alias("is_active_baseline"),
+        F.array_join(F.transform("threshold_evaluations", lambda e: F.concat_ws(":", e["split"], F.round(e["threshold"] * 100).cast("int"))), ",").alias("thresholds_listed"),
+        F.array_join(F.transform("artifacts", lambda a: F.concat_ws("=", a["artifact_type"], a["sha256"])), ",").alias("artifacts_listed"),
+        F.array_join(F.transform("baseline_promotions", lambda p: p["promotion_id"].cast("string")), ",").alias("promotions_listed"),
         *[r[0] for r in K.RANKS],
     )
 
 
-@query(
-    "run_ranks",
-    f"""WITH {_FACT_SQL} SELECT run_id,
-      dense_rank() OVER (ORDER BY test_pr_auc DESC NULLS LAST) AS test_pr_auc_rank,
-      dense_rank() OVER (ORDER BY test_business_cost NULLS LAST) AS test_business_cost_rank
-    FROM fact""",
-)
+_RANKS_SQL = """dense_rank() OVER (ORDER BY test_pr_auc DESC NULLS LAST) AS test_pr_auc_rank,
+      dense_rank() OVER (ORDER BY test_fbeta DESC NULLS LAST) AS test_fbeta_rank,
+      dense_rank() OVER (ORDER BY test_business_cost NULLS LAST) AS test_business_cost_rank,
+      dense_rank() OVER (PARTITION BY model_name ORDER BY test_pr_auc DESC NULLS LAST) AS model_test_pr_auc_rank"""
+
+
+@query("run_ranks", f"WITH {_FACT_SQL} SELECT run_id, {_RANKS_SQL} FROM fact")
 def _(spark, sf_dir):
-    """The ranks by counting distinct values, as for a history of any length."""
+    """The four ranks by counting distinct values, as for a history of any length."""
     scored = _scored(spark, sf_dir)
-    wide = K.metrics_by_split(_metrics(scored, _chosen(_evaluations(scored))))
-    narrow = pin(wide.select("run_id", "test_pr_auc", "test_business_cost"))
-    ranked = K.dense_ranks(narrow, "test_pr_auc", "test_pr_auc_rank", CFG.limits, True)
-    ranked = K.dense_ranks(
-        ranked, "test_business_cost", "test_business_cost_rank", CFG.limits, False
-    )
-    return ranked.select("run_id", "test_pr_auc_rank", "test_business_cost_rank")
+    chosen = _chosen(_evaluations(scored))
+    wide = K.metrics_by_split(_metrics(scored, chosen)).join(_runs(scored, chosen).select("run_id", "model_name"), "run_id")
+    narrow = pin(wide.select("run_id", "model_name", "test_pr_auc", "test_fbeta", "test_business_cost"))
+    ranked = K.run_ranks(narrow, replace(CFG.limits, rows_per_run=1), narrow.count())
+    return ranked.select("run_id", *[r[0] for r in K.RANKS])
 
 
 def _index(spark, sf_dir) -> DataFrame:
@@ -488,12 +555,27 @@ def _(spark, sf_dir):
 
 @query(
     "run_index",
-    f"""WITH {_FACT_SQL} SELECT run_id, completed_at AS completed_at_utc, test_pr_auc
-    FROM fact ORDER BY completed_at DESC""",
+    f"""WITH {_FACT_SQL} SELECT run_id, completed_at AS completed_at_utc, model_name, threshold, audit_status,
+      validation_pr_auc, test_pr_auc, test_fbeta, test_recall, test_precision, test_business_cost, train_rows,
+      'runs/' || run_id AS run_directory FROM fact ORDER BY completed_at DESC""",
+)
+def _(spark, sf_dir):
+    """The index of the recorded runs."""
+    index = _store(spark, sf_dir).index()
+    shown = ["validation_pr_auc", "test_pr_auc", "test_fbeta", "test_recall", "test_precision", "test_business_cost"]
+    at = stamp(F.col("completed_at_utc").cast("timestamp")).alias("completed_at_utc")
+    return rounded(index.select("run_id", at, "model_name", "threshold", "audit_status", *shown, "train_rows", "run_directory"), shown)
+
+
+@query(
+    "promoted_runs",
+    f"""WITH {_BASE_SQL} SELECT run_id, audit_status, sha256(run_id) AS pipeline_sha256,
+      CAST(run_id = (SELECT run_id FROM best) AS INTEGER) AS is_active FROM training_runs""",
 )
 def _(spark, sf_dir):
-    index = K.run_index(_index(spark, sf_dir))
-    return rounded(index.select("run_id", "completed_at_utc", "test_pr_auc"), ["test_pr_auc"])
+    """Every recorded run was promoted once, the best one twice: it is active, and there once."""
+    rows = _store(spark, sf_dir).table("baseline_promotions")
+    return rows.select("run_id", "audit_status", "pipeline_sha256", F.col("is_active").cast("int").alias("is_active"))
 
 
 def _model_metrics(spark, sf_dir) -> DataFrame:
@@ -534,45 +616,53 @@ def _(spark, sf_dir):
 
 @query(
     "table_violations",
-    f"""WITH {_BASE_SQL},
-    late AS (SELECT run_id, split FROM scored)
-    SELECT 'training_runs' AS "table", 'audit_status_domain' AS rule, 0 AS violations
-    UNION ALL SELECT 'training_runs', 'key_unique', 0
-    UNION ALL SELECT 'run_metrics', 'split_domain', count(*) FROM late WHERE split = 'train'
-    UNION ALL SELECT 'run_metrics', 'key_unique', count(*) FROM (
-      SELECT 1 FROM late GROUP BY run_id, split HAVING count(*) > 1)""",
+    f"""WITH {_BASE_SQL}, n AS (SELECT (SELECT count(*) FROM training_runs) AS runs,
+      (SELECT count(*) FROM evaluations WHERE tp < 5) AS few, (SELECT count(*) FROM evaluations WHERE fp = 0) AS exact_,
+      (SELECT count(*) FROM all_promotions WHERE audit_status = 'pass' OR is_active) AS active)
+    SELECT 'training_runs' AS "table", 'audit_status_domain' AS rule, runs AS violations FROM n
+    UNION ALL SELECT 'training_runs', 'key_unique', runs FROM n
+    UNION ALL SELECT 'run_metrics', 'split_domain', 2 * runs FROM n
+    UNION ALL SELECT 'run_metrics', 'key_unique', runs FROM n
+    UNION ALL SELECT 'threshold_evaluations', 'split_domain', exact_ FROM n
+    UNION ALL SELECT 'threshold_evaluations', 'key_unique', few FROM n
+    UNION ALL SELECT 'run_artifacts', 'key_unique', runs FROM n
+    UNION ALL SELECT 'baseline_promotions', 'audit_status_domain', 0 FROM n
+    UNION ALL SELECT 'baseline_promotions', 'key_unique', 0 FROM n
+    UNION ALL SELECT 'baseline_promotions', 'one_active', greatest(active - 1, 0) FROM n""",
 )
 def _(spark, sf_dir):
-    """The rules on good runs, and on raw rows that break both metric rules."""
-    scored = _scored(spark, sf_dir)
-    runs = _runs(scored, _chosen(_evaluations(scored)))
-    return K.violations({"training_runs": runs, "run_metrics": scored.select("run_id", "split")})
+    """All rules on all tables, with faults planted in rows of each."""
+    t = run_tables(spark, sf_dir)
+    runs, metrics, rows, files, past = (t[n] for n in ("training_runs", "run_metrics", "threshold_evaluations", "run_artifacts", "baseline_promotions"))
+    exact = rows.filter("fp = 0").withColumns({"split": F.lit("train"), "threshold": F.col("threshold") + F.when(F.col("split") == "test", 1).otherwise(2)})
+    return K.violations(
+        {
+            "training_runs": runs.unionByName(runs.withColumn("audit_status", F.col("model_name"))),
+            "run_metrics": metrics.unionByName(metrics.withColumn("split", F.lit("train"))),
+            "threshold_evaluations": rows.unionByName(rows.filter("tp < 5")).unionByName(K.conform(exact, "threshold_evaluations")),
+            "run_artifacts": files.unionByName(files.filter("artifact_type = 'other'")),
+            "baseline_promotions": past.withColumn("is_active", (F.col("audit_status") == "pass") | F.col("is_active")),
+        }
+    )
 
 
 @query(
     "delete_runs",
     f"""WITH {_BASE_SQL}
-    SELECT 'training_runs' AS "table", count(*) AS n_rows, count(run_id) AS named
-      FROM training_runs WHERE model_name <> 'purchase'
-    UNION ALL SELECT 'threshold_evaluations', count(*), count(run_id) FROM evaluations
-      WHERE run_id <> 'run_purchase'
-    UNION ALL SELECT 'run_artifacts', count(*), count(run_id) FROM run_artifacts
-      WHERE run_id <> 'run_purchase'
-    UNION ALL SELECT 'baseline_promotions', count(*),
-      count(*) FILTER (WHERE run_id <> 'run_purchase') FROM (SELECT run_id FROM promotions
-      UNION ALL SELECT run_id FROM best WHERE run_id NOT IN (SELECT run_id FROM promotions))""",
+    SELECT 'training_runs' AS "table", count(*) AS n_rows, count(*) AS named FROM training_runs WHERE run_id <> 'run_purchase'
+    UNION ALL SELECT 'run_metrics', count(*), count(*) FROM run_metrics WHERE run_id <> 'run_purchase'
+    UNION ALL SELECT 'threshold_evaluations', count(*), count(*) FROM evaluations WHERE run_id <> 'run_purchase'
+    UNION ALL SELECT 'run_artifacts', count(*), count(*) FROM run_artifacts WHERE run_id <> 'run_purchase'
+    UNION ALL SELECT 'baseline_promotions', count(*), count(*) FILTER (WHERE run_id <> 'run_purchase') FROM training_runs
+    UNION ALL SELECT 'run_index', count(*), count(*) FROM training_runs WHERE run_id <> 'run_purchase'""",
 )
 def _(spark, sf_dir):
-    tables = run_tables(spark, sf_dir)
-    gone = tables["training_runs"].filter("model_name = 'purchase'").select("run_id")
-    left = K.delete_runs(
-        {n: df for n, df in tables.items() if n != "run_metrics"}, gone
-    )
+    """A run deleted from the store: gone from all tables and the index, nameless in promotions."""
+    store = recorded(spark, sf_dir)
+    store.delete("run_purchase")
     counts = [
-        df.agg(F.count("*").alias("n_rows"), F.count("run_id").alias("named")).select(
-            F.lit(name).alias("table"), "n_rows", "named"
-        )
-        for name, df in left.items()
+        df.agg(F.count("*").alias("n_rows"), F.count("run_id").alias("named")).select(F.lit(name).alias("table"), "n_rows", "named")
+        for name, df in {**store.tables(), "run_index": store.index()}.items()
     ]
     out = counts[0]
     for part in counts[1:]:

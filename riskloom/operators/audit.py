@@ -92,27 +92,29 @@ def gather(
 
 @dataclass(frozen=True)
 class Rule:
-    """A finding: when it holds and what it concerns, as SQL over the one-row facts."""
+    """A finding: when it holds and what it concerns, as SQL over the one-row facts, and the
+    settings and functions of this library that bear on it."""
 
     code: str
     severity: str
     holds: str
     concerns: str
-    remedy: str
+    settings: str
 
 
-#: Severity "fail" blocks a run, "warning" asks for a look. Texts are made of code, what it
-#: concerns and remedy.
+#: Severity "fail" blocks a run, "warning" asks for a look. A finding is reported as its code and
+#: what it concerns, a recommendation as its code and settings. The closeness of a threshold to
+#: an edge of the grid is a fixed value.
 RULES = (
-    Rule("parts_out_of_order", "fail", "NOT in_order", "'train_max, validation_min, validation_max, test_min'", "split again at later times"),
-    Rule("ids_in_several_parts", "fail", "shared_ids > 0", "concat(shared_ids, ' shared')", "keep each transaction in one part"),
-    Rule("label_as_input", "fail", "array_contains(selected, target)", "target", "take the label out of the inputs"),
-    Rule("sensitive_inputs", "warning", "size(sensitive) > 0", "array_join(sensitive, ', ')", "drop these inputs"),
-    Rule("post_event_inputs", "warning", "size(post_event) > 0", "array_join(post_event, ', ')", "prove that they are known when a decision is made"),
-    Rule("snapshot_inputs", "warning", "size(snapshot) > 0", "array_join(snapshot, ', ')", "fit without them and compare average precision"),
-    Rule("ranking_too_good", "warning", "best_area >= area_limit", "concat('area ', format_number(best_area, 3))", "score a later period and look at the strongest inputs"),
-    Rule("threshold_at_edge", "warning", "exists(edges, e -> abs(threshold - e) <= 1e-8 + 1e-5 * abs(e))", "concat('threshold ', threshold)", "analyse a wider range"),
-    Rule("bounded_training", "warning", "bounded", "'max_rows'", "check the result on rows that were left out"),
+    Rule("label_as_input", "fail", "array_contains(selected, target)", "target", "RiskConfig.target, roles.columns_to_drop"),
+    Rule("ids_in_several_parts", "fail", "shared_ids > 0", "concat(shared_ids, ' shared')", "operators.cleaning.first_per_key"),
+    Rule("parts_out_of_order", "fail", "NOT in_order", "'train_max, validation_min, validation_max, test_min'", "operators.split.temporal_split"),
+    Rule("snapshot_inputs", "warning", "size(snapshot) > 0", "array_join(snapshot, ', ')", "RiskConfig.strict_leakage"),
+    Rule("post_event_inputs", "warning", "size(post_event) > 0", "array_join(post_event, ', ')", "RiskConfig.strict_leakage"),
+    Rule("sensitive_inputs", "warning", "size(sensitive) > 0", "array_join(sensitive, ', ')", "roles.SENSITIVE_NAMES"),
+    Rule("ranking_too_good", "warning", "best_area >= area_limit", "concat('area ', format_number(best_area, 3))", "RiskConfig.roc_auc_warning, top_model_features"),
+    Rule("threshold_at_edge", "warning", "exists(edges, e -> abs(threshold - e) <= 1e-8 + 1e-5 * abs(e))", "concat('threshold ', threshold)", "RiskConfig.grid_start, grid_stop"),
+    Rule("bounded_training", "warning", "bounded", "'max_rows'", "RiskConfig.max_rows, jobs.py train --max-rows"),
 )
 
 FACTS = """in_order boolean, shared_ids bigint, selected array<string>, target string,
@@ -121,12 +123,12 @@ FACTS = """in_order boolean, shared_ids bigint, selected array<string>, target s
 
 
 def findings(facts: DataFrame) -> DataFrame:
-    """One row per rule that holds for the one-row ``facts``: code, severity, concerns, remedy."""
+    """One row per rule that holds for the one-row ``facts``: code, severity, concerns, settings."""
     rules = [
         F.struct(
             F.lit(r.code).alias("code"), F.lit(r.severity).alias("severity"),
             F.coalesce(F.expr(r.holds), F.lit(False)).alias("holds"),
-            F.expr(f"string({r.concerns})").alias("concerns"), F.lit(r.remedy).alias("remedy"),
+            F.expr(f"string({r.concerns})").alias("concerns"), F.lit(r.settings).alias("settings"),
         )
         for r in RULES
     ]
@@ -156,7 +158,7 @@ def report(facts: AuditInput, cfg: RiskConfig) -> dict[str, Any]:
     said = {level: [f"{r['code']}: {r['concerns']}" for r in found if r["severity"] == level] for level in ("fail", "warning")}
     return {
         "status": next((level for level, texts in said.items() if texts), "pass"),
-        "checks": {
+        "checks": {  # fixed values: names that readers of the report know
             "temporal_order_valid": row["in_order"],
             "duplicate_transaction_ids_across_splits": row["shared_ids"],
             "target_selected_as_feature": "label_as_input" in held,
@@ -174,7 +176,7 @@ def report(facts: AuditInput, cfg: RiskConfig) -> dict[str, Any]:
         "risk_columns": risks,
         "failures": said["fail"],
         "warnings": said["warning"],
-        "recommendations": [f"{r['code']}: {r['remedy']}" for r in found if r["severity"] == "warning"],
+        "recommendations": [f"{r['code']}: {r['settings']}" for r in found if r["severity"] == "warning"],
     }
 
 
