@@ -20,6 +20,7 @@ from riskloom.config import RiskConfig  # noqa: E402
 from riskloom.plans import training  # noqa: E402
 from riskloom.plans.scoring import ScoringService  # noqa: E402
 from riskloom.plans.store import RunStore  # noqa: E402
+from riskloom.session import pinned_scope  # noqa: E402
 from riskloom.sources.files import load_all  # noqa: E402
 
 
@@ -33,8 +34,9 @@ def train(spark: SparkSession, args: argparse.Namespace) -> str:
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = load_all(spark, args.raw) if args.raw else {}
     dimensions = {k: raw[k] for k in ("cards", "users", "mcc") if k in raw}
-    service = ScoringService.load(spark, RunStore(spark, args.root).run_directory(args.run), dimensions)
-    service.predict_csv(spark, args.input, args.output)
+    with pinned_scope(spark):
+        service = ScoringService.load(spark, RunStore(spark, args.root).run_directory(args.run), dimensions)
+        service.predict_csv(spark, args.input, args.output)
 
 
 def runs(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -13,13 +13,23 @@ from riskloom.operators.cleaning import first_per_key
 from riskloom.roles import MATCH_POS, SOURCE_POS, first_present, normalize_headers
 
 
-def sized_broadcast(df: DataFrame, limits: ScaleLimits) -> DataFrame:
-    """Mark ``df`` for broadcast if its rows and their bytes are few; else leave the choice to Spark."""
+# Key columns of the dimensions, first match wins.
+CARD_KEYS = ("id", "card_id")
+USER_KEYS = ("id", "client_id", "user_id", "customer_id")
+
+
+def fits_broadcast(df: DataFrame, limits: ScaleLimits) -> bool:
+    """Whether the rows of ``df`` and their bytes are few; no more than the bound is counted."""
     few = df.limit(limits.broadcast_rows + 1)
     texts = [F.octet_length(F.col(f"`{n}`")) for n, kind in df.dtypes if kind == "string"]
     width = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(16 * len(df.columns)))
     rows, size = few.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    return F.broadcast(df) if rows <= limits.broadcast_rows and size <= limits.broadcast_bytes else df
+    return rows <= limits.broadcast_rows and size <= limits.broadcast_bytes
+
+
+def sized_broadcast(df: DataFrame, limits: ScaleLimits) -> DataFrame:
+    """Mark ``df`` for broadcast if it fits; else leave the choice to Spark."""
+    return F.broadcast(df) if fits_broadcast(df, limits) else df
 
 
 def is_empty(df: DataFrame | None) -> bool:
@@ -100,26 +110,37 @@ def left_join_dimension(
     ``first_match`` keeps only the first row per key. Nothing happens if the table
     is empty or a key is absent.
     """
-    if is_empty(dimension):
+    found = _side(dimension, key_names, tx.columns, tx_key_names, suffix, first_match)
+    if found is None:
         return tx
+    side, tx_key = found
+    return _with_side(tx, sized_broadcast(side, limits), tx_key)
+
+
+def _side(
+    dimension: DataFrame | None,
+    key_names: Sequence[str],
+    columns: Sequence[str],
+    tx_key_names: Sequence[str],
+    suffix: str,
+    first_match: bool,
+) -> tuple[DataFrame, str] | None:
+    """The dimension with its key as ``_dim_key`` and names that are free beside ``columns``,
+    and the column it is joined to."""
+    if is_empty(dimension):
+        return None
     dim = normalize_headers(dimension)
     key = first_present(dim.columns, key_names)
-    tx_key = first_present(tx.columns, tx_key_names)
+    tx_key = first_present(columns, tx_key_names)
     if key is None or tx_key is None:
-        return tx
-    taken = set(tx.columns)
-    renamed = [
-        F.col(key).alias("_dim_key"),
-        *[
-            F.col(c).alias(_dimension_name(c, taken, suffix))
-            for c in dim.columns
-            if c != key
-        ],
-    ]
-    side = dim.select(*renamed)
-    if first_match:
-        side = first_per_key(side, "_dim_key", _match_order(side))
-    side = sized_broadcast(side, limits)
+        return None
+    taken = set(columns)
+    renamed = [F.col(c).alias(_dimension_name(c, taken, suffix)) for c in dim.columns if c != key]
+    side = dim.select(F.col(key).alias("_dim_key"), *renamed)
+    return (first_per_key(side, "_dim_key", _match_order(side)) if first_match else side), tx_key
+
+
+def _with_side(tx: DataFrame, side: DataFrame, tx_key: str) -> DataFrame:
     left, right = tx[tx_key], side["_dim_key"]
     if dict(tx.dtypes)[tx_key] != dict(side.dtypes)["_dim_key"]:
         left, right = left.cast("string"), right.cast("string")  # a text id beside a number
@@ -184,20 +205,35 @@ def enrich(
     users: DataFrame | None = None,
     codes: DataFrame | None = None,
     first_match: bool = False,
+    row_key: str | None = None,
 ) -> DataFrame:
-    """The dimension joins alone, as needed when scoring unlabelled rows."""
-    wide = left_join_dimension(
-        tx, cards, ("id", "card_id"), C.CARD_NAMES, "_card", cfg.limits, first_match
-    )
-    wide = left_join_dimension(
-        wide,
-        users,
-        ("id", "client_id", "user_id", "customer_id"),
-        C.USER_NAMES,
-        "_user",
-        cfg.limits,
-        first_match,
-    )
+    """The dimension joins alone, as needed when scoring unlabelled rows.
+
+    ``row_key`` names a column without repeated or missing values. With it, and first matches,
+    dimensions too large for a broadcast are looked up by rows of keys only, so the wide rows
+    are shuffled once, by ``row_key``, however many such dimensions there are.
+    """
+    sides = []
+    columns = list(tx.columns)
+    for dimension, key_names, tx_key_names, suffix in (
+        (cards, CARD_KEYS, C.CARD_NAMES, "_card"),
+        (users, USER_KEYS, C.USER_NAMES, "_user"),
+    ):
+        found = _side(dimension, key_names, columns, tx_key_names, suffix, first_match)
+        if found is not None:
+            sides.append((*found, fits_broadcast(found[0], cfg.limits)))
+            columns += [c for c in found[0].columns if c != "_dim_key"]
+    wide = tx
+    if first_match and row_key is not None and not all(small for *_, small in sides):
+        keys = dict.fromkeys(k for _, k, _ in sides if k in tx.columns)
+        resolved = tx.select(F.col(row_key).alias("_row_key"), *keys)
+        for side, tx_key, small in sides:
+            resolved = _with_side(resolved, F.broadcast(side) if small else side, tx_key)
+        resolved = resolved.drop(*keys)
+        wide = tx.join(resolved, F.col(row_key) == F.col("_row_key"), "left").drop("_row_key")
+    else:
+        for side, tx_key, small in sides:
+            wide = _with_side(wide, F.broadcast(side) if small else side, tx_key)
     wide = join_codes(wide, codes, cfg.limits, first_match)
     return _fold_positions(wide)
 

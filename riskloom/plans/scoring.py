@@ -78,6 +78,7 @@ class ScoringService:
             self.dimensions.get("users"),
             self.dimensions.get("mcc"),
             first_match=True,
+            row_key=SOURCE_POS,
         )
         cleaned = pin(clean_values(wide, self.cfg).drop(MATCH_POS))
         learned = PipelineModel(self.pipeline.stages[1:])

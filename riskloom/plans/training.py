@@ -66,7 +66,8 @@ def supervised_splits(raw: Mapping[str, DataFrame], cfg: RiskConfig) -> DataFram
     tx = keyed_transactions(with_row_position(raw["transactions"]))
     labels = labels_frame(raw["labels"], cfg)
     dimensions = (raw.get("cards"), raw.get("users"), raw.get("mcc"))
-    wide = enrich(first_labelled(tx, labels, cfg), cfg, *dimensions, first_match=True)
+    # What is labelled has one row per id, and is dealt by it already.
+    wide = enrich(first_labelled(tx, labels, cfg), cfg, *dimensions, first_match=True, row_key="transaction_id")
     time = Roles.of(wide.columns).time
     if time is None:
         raise ValueError("no time column to split by")

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterator
+from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Artifact type per file name; any other file is "other".
@@ -21,19 +26,45 @@ def artifact_type(name):
     return F.coalesce(F.try_element_at(mapping, name), F.lit("other"))
 
 
+#: Bytes of a file that a task holds at once, and most tasks that hash.
+CHUNK_BYTES, MOST_TASKS = 8 << 20, 10_000
+
+
+def _opened(uri: str):
+    """The file as a stream, on whatever store its scheme names."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem().open_input_stream(unquote(re.sub("^file:/*", "/", uri)), compression=None)
+    store, path = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+    return store.open_input_stream(path, compression=None)
+
+
+def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        digests = []
+        for uri in batch.column(0).to_pylist():
+            digest = hashlib.sha256()
+            with _opened(uri) as stream:
+                while chunk := stream.read(CHUNK_BYTES):
+                    digest.update(chunk)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests)], names=["uri", "size_bytes", "sha256"])
+
+
 def file_digests(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
-    """(uri, name, sha256, size_bytes) per file; each file is hashed by one task."""
+    """(uri, name, sha256, size_bytes) per file of any size.
+
+    The scan lists the files without their contents; tasks then read them in chunks, so a
+    large file never lies in a row or in memory as a whole.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
         .load(directory)
+        .select(F.col("path").alias("uri"), F.col("length").alias("size_bytes"))
     )
-    return files.select(
-        F.col("path").alias("uri"),
-        F.element_at(F.split("path", "/"), -1).alias("name"),
-        F.sha2("content", 256).alias("sha256"),
-        F.col("length").alias("size_bytes"),
-    )
+    spread = files.repartition(max(1, min(files.count(), MOST_TASKS)), "uri")
+    hashed = spread.mapInArrow(_hash_files, "uri string, size_bytes bigint, sha256 string")
+    return hashed.select("uri", F.element_at(F.split("uri", "/"), -1).alias("name"), "sha256", "size_bytes")
 
 
 def inventory(spark: SparkSession, run_id: str, directory: str) -> DataFrame:

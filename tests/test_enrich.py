@@ -2,8 +2,9 @@ import pytest
 
 from riskloom.config import RiskConfig, ScaleLimits
 from riskloom.operators.cleaning import clean
-from riskloom.operators.enrich import code_frame, labels_frame, left_join_dimension, supervised_table
+from riskloom.operators.enrich import code_frame, enrich, first_labelled, labels_frame, left_join_dimension, supervised_table
 from riskloom.roles import SOURCE_POS
+from riskloom.session import pin
 
 CFG = RiskConfig()
 
@@ -73,3 +74,51 @@ def test_first_match_survives_cleaning(spark, raw):
     wide = supervised_table(raw["transactions"], raw["labels"], CFG, cards)
     assert wide.count() == 4
     assert [r["kind"] for r in clean(wide, CFG).collect()] == ["first", "first"]
+
+
+def wide_case(spark, rows=400):
+    tx = [(str(i), i % 7 if i % 11 else None, i % 5, f"note {i}", f"place {i % 3}", i) for i in range(rows)]
+    tx = spark.createDataFrame(tx, f"transaction_id string, card_id bigint, client_id int, note string, place string, {SOURCE_POS} bigint")
+    cards = spark.createDataFrame([(k, k * 3, f"kind {k} {n}", n) for k in range(6) for n in (2, 1)] + [(None, 1, "none", 1)], f"id bigint, client_id bigint, kind string, {SOURCE_POS} bigint")
+    users = spark.createDataFrame([(str(k), 30 + k, "card") for k in range(4)], "id string, age int, kind string")
+    return tx, cards, users
+
+
+@pytest.mark.parametrize("rows", [0, 5, 100])
+def test_keys_first_gives_the_same_rows(spark, rows):
+    """Neither, one or both dimensions beyond the broadcast bound."""
+    tx, cards, users = wide_case(spark)
+    plain = enrich(tx, CFG, cards, users, first_match=True)
+    keyed = enrich(tx, CFG.with_(limits=ScaleLimits(broadcast_rows=rows)), cards, users, first_match=True, row_key="transaction_id")
+    assert plain.columns == keyed.columns == [*tx.columns, "client_id_card", "kind", "age", "kind_user", "_match_pos"]
+    assert sorted(map(str, plain.collect())) == sorted(map(str, keyed.collect()))
+
+
+def test_wide_rows_are_shuffled_once(spark):
+    tx, cards, users = wide_case(spark)
+    cfg = CFG.with_(limits=ScaleLimits(broadcast_rows=0))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        labels = spark.createDataFrame([(str(i), i % 2) for i in range(400)], "transaction_id string, is_fraud int")
+        labelled = first_labelled(pin(tx), labels, cfg)
+        counts = [
+            wide_exchanges(enrich(labelled, cfg, pin(cards), pin(users), first_match=True, row_key=key)) for key in (None, "transaction_id")
+        ]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert counts == [3, 1]
+
+
+def wide_exchanges(df):
+    """Shuffles above a scan of the wide columns, which a plan tree shows by indentation."""
+    plan = df._jdf.queryExecution().executedPlan()
+    found, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.initialPlan())
+            continue
+        found += node.nodeName() == "Exchange" and "note#" in node.output().toString()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found

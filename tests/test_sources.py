@@ -1,6 +1,8 @@
 import hashlib
 import json
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from riskloom.config import RiskConfig
@@ -211,6 +213,30 @@ def test_inventory_and_digest(spark, tmp_path):
     assert digest != artifacts.folder_digest(spark, str(tmp_path))
 
 
+def test_a_file_beyond_two_gigabytes_is_hashed_in_chunks(spark, tmp_path):
+    size = (2 << 30) + 5
+    with open(tmp_path / "large file.bin", "wb") as file:  # it takes no room on disk
+        file.truncate(size)
+    write(tmp_path, "small.txt", "x")
+    want, left, block = hashlib.sha256(), size, bytes(16 << 20)
+    while left:
+        want.update(block[: min(left, len(block))])
+        left -= min(left, len(block))
+    rows = {r["name"]: (r["sha256"], r["size_bytes"]) for r in artifacts.file_digests(spark, str(tmp_path)).collect()}
+    assert rows == {"large file.bin": (want.hexdigest(), size), "small.txt": (hashlib.sha256(b"x").hexdigest(), 1)}
+
+
+def test_hashing_holds_a_chunk_at_a_time(tmp_path):
+    with open(tmp_path / "f", "wb") as file:
+        file.truncate(300 << 20)
+    batch = pa.RecordBatch.from_arrays([pa.array([f"file:{tmp_path}/f"]), pa.array([300 << 20])], names=["uri", "size_bytes"])
+    tracemalloc.start()
+    assert next(artifacts._hash_files(iter([batch]))).num_rows == 1
+    most, pool = tracemalloc.get_traced_memory()[1], pa.default_memory_pool().max_memory()
+    tracemalloc.stop()
+    assert most < 64 << 20 and pool < 1 << 30
+
+
 def test_documents_have_no_infinities(spark, tmp_path):
     path = str(tmp_path / "doc")
     sinks.write_document(spark, {"a": float("nan"), "b": [float("inf"), 1.5]}, path)
