@@ -13,10 +13,20 @@ from riskloom.llm.store import Scratch
 HUB_LINKS, MOST_HUBS = 256, 200_000
 
 
+#: So few links (16 bytes each) are worked on by one task, without a shuffle a step.
+SMALL_LINKS = 20_000
+
+
+def _both_ways(pairs: DataFrame, **more: tuple) -> DataFrame:
+    """Each pair from both its ends, as u and v; ``more`` are columns that differ by the end."""
+    ends = ((F.col("u"), F.col("v")), (F.col("v"), F.col("u")))
+    both = [F.struct(u.alias("u"), v.alias("v"), *(F.lit(x[i]).alias(k) for k, x in more.items())) for i, (u, v) in enumerate(ends)]
+    return pairs.select(F.inline(F.array(*both)))
+
+
 def _stars(pairs: DataFrame) -> bool:
     """Whether every id has one smaller neighbour at most, and those that have one are nobody's."""
-    ends = pairs.select(F.col("u").alias("id"), F.lit(1).alias("up")).union(pairs.select("v", F.lit(0)))
-    seen = ends.groupBy("id").agg(F.sum("up").alias("up"), F.min("up").alias("root"))
+    seen = _both_ways(pairs, up=(1, 0)).groupBy("u").agg(F.sum("up").alias("up"), F.min("up").alias("root"))
     return seen.filter("up > 1 or (up = 1 and root = 0)").isEmpty()
 
 
@@ -30,23 +40,28 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     Links stay in tables that all executors read.
     """
     pairs = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    pairs = scratch.write(pairs, "links")
-    while not _stars(pairs):
+    stored = scratch.write(pairs, "links")
+    few = stored.count() <= SMALL_LINKS
+    own = lambda df: df.coalesce(1) if few else df
+    while not _stars(pairs := own(stored)):
         # an id has few smaller neighbours: the bands it was linked in, or stars it is between
         near = pairs.withColumn("m", F.min("v").over(Window.partitionBy("u")))
         small = near.select(F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))
         small = scratch.write(small, "smaller")
-        both = small.union(small.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = _both_ways(own(small))
         nearest = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"))
-        limit = max(HUB_LINKS, 2 * small.count() // MOST_HUBS)
-        hubs = F.broadcast(nearest.filter(F.col("n") > limit).select("u", "m"))
-        others = both.join(hubs.select("u"), "u", "left_anti").join(nearest.filter(F.col("n") <= limit).select("u", "m"), "u")
-        beside = both.join(hubs, "u").unionByName(others)
+        if few:
+            beside = both.join(nearest, "u")
+        else:
+            limit = max(HUB_LINKS, 2 * small.count() // MOST_HUBS)
+            hubs = F.broadcast(nearest.filter(F.col("n") > limit).select("u", "m"))
+            others = both.join(hubs.select("u"), "u", "left_anti").join(nearest.filter(F.col("n") <= limit).select("u", "m"), "u")
+            beside = both.join(hubs, "u").unionByName(others)
         large = beside.filter("v > u and v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         now = scratch.write(large, "links")
-        scratch.drop(pairs)
+        scratch.drop(stored)
         scratch.drop(small)
-        pairs = now
-    return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
-        pairs.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+        stored = now
+    return stored.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
+        stored.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )

@@ -148,9 +148,10 @@ def test_estimate_is_corrected_for_chance():
         assert abs(np.mean(values) - shared / (2000 - shared)) < 0.04
 
 
-@pytest.mark.parametrize("hub", [1, 256])
-def test_connected_components(spark, monkeypatch, hub):
+@pytest.mark.parametrize("hub, few", [(1, 0), (256, 0), (256, 20_000)])
+def test_connected_components(spark, monkeypatch, hub, few):
     monkeypatch.setattr(C, "HUB_LINKS", hub)
+    monkeypatch.setattr(C, "SMALL_LINKS", few)
     rng = random.Random(5)
     pairs = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(500, 540)] + [(900, 900)] + [(600, i) for i in range(601, 640)] + [(640, i) for i in range(620, 660)]
     parent = {x: x for p in pairs if p[0] != p[1] for x in p}
