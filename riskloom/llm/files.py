@@ -7,11 +7,16 @@ from uuid import uuid4
 from pyarrow import fs
 
 
+#: Schemes of Hadoop's connectors, and what the store is called here.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "wasb": "abfs", "wasbs": "abfss"}
+
+
 def locate(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system and path of ``uri``, on whatever store its scheme names."""
     if "://" not in uri and uri.startswith("file:"):
         uri = "file://" + uri.removeprefix("file:")
-    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    scheme, mark, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + mark + rest) if mark else (fs.LocalFileSystem(), uri)
 
 
 class Replacing:

@@ -62,7 +62,7 @@ def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct values, where one of each stands, and for each value its place among them."""
     order = np.argsort(h)
     ordered = h[order]
-    new = np.append(True, ordered[1:] != ordered[:-1])
+    new = np.append(True, ordered[1:] != ordered[:-1])[: len(h)]
     back = np.empty(len(h), np.int64)
     back[order] = np.cumsum(new) - 1
     return ordered[new], order[new], back

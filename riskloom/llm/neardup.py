@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.blocks import block_links
 from riskloom.llm.components import components
 from riskloom.llm.store import Scratch
-from riskloom.llm.textscan import LOWER, SPACE, hash_spans, mix, row_slices, spans, text_bytes
+from riskloom.llm.textscan import LOWER, SPACE, hash_spans, mix, releasing, row_slices, spans, text_bytes
 
 #: 48 bands of 6 minima: a pair of similarity 0.8 shares no band once in two million times.
 BANDS, BAND_ROWS = 48, 6
@@ -112,7 +112,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
             if count:
                 yield done(first)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(work), schema)
 
 
 def most_unlike(similarity: float) -> int:
@@ -296,7 +296,7 @@ def pair_links(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataF
             near = pa.array(unlike(*own) <= limit)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["a", "b"])
 
-    return both.mapInArrow(work, "a long, b long")
+    return both.mapInArrow(releasing(work), "a long, b long")
 
 
 def member_sets(docs: DataFrame, groups: DataFrame, words: int) -> DataFrame:
@@ -312,7 +312,7 @@ def member_sets(docs: DataFrame, groups: DataFrame, words: int) -> DataFrame:
                 part = batch.slice(at, 1000)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sets[at : at + 1000], pa.binary())], names=["grp", "id", "payload"])
 
-    return texts.mapInArrow(work, "grp long, id long, payload binary").filter(F.length("payload") > 0)
+    return texts.mapInArrow(releasing(work), "grp long, id long, payload binary").filter(F.length("payload") > 0)
 
 
 def clean(docs: DataFrame, words: int, percent: int = 80) -> DataFrame:

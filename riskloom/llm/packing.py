@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import byte_tokens
 from riskloom.llm.store import Scratch
+from riskloom.llm.textscan import releasing
 
 END_ID = 1
 MAX_TOKENS = 2048
@@ -47,7 +48,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS,
             made += len(doc)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "_part", "_at"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, f"{PIECES}, _part long, _at long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(work), f"{PIECES}, _part long, _at long")
 
 
 def pack_histogram(histogram: dict[int, int], max_tokens: int) -> list[tuple[int, int, int, int, int]]:
@@ -128,7 +129,7 @@ def assign(pieces: DataFrame, scratch: Scratch, max_tokens: int = MAX_TOKENS) ->
                 [*(batch.column(i) for i in range(5)), pa.array(sequence), pa.array(table[slot, 4])], names=[*columns, "sequence_id", "offset"]
             )
 
-    return ranked.select(*columns, (F.col("_rank") + F.col("_before")).alias("_rank")).mapInArrow(work, f"{PIECES}, sequence_id long, offset long")
+    return ranked.select(*columns, (F.col("_rank") + F.col("_before")).alias("_rank")).mapInArrow(releasing(work), f"{PIECES}, sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:

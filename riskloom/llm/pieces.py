@@ -272,7 +272,8 @@ def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str
 
 def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``encode`` and ``decode`` in one pass, without sending the ids out and back:
-    id_col, ids, begins, ends, decoded."""
+    id_col, ids, begins, ends, decoded. Nulls, repeated rows and other columns are treated as in
+    ``encode``; an empty table gives no row."""
     schema = f"`{id_col}` long, ids array<int>, begins array<int>, ends array<int>, decoded string"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

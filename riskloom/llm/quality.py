@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.memo import distinct
 from riskloom.llm.store import Scratch
-from riskloom.llm.textscan import LOWER, SPACE, hash_spans, mix, per_row, row_slices, spans, text_bytes
+from riskloom.llm.textscan import LOWER, SPACE, hash_spans, mix, per_row, releasing, row_slices, spans, text_bytes
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -111,7 +111,7 @@ def measures(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
     host = F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host")
     own = docs.select(F.col("doc_id").cast("long"), host, F.col("text").alias("_text"), *(F.col(c).alias(f"c_{c}") for c in carry))
-    return own.mapInArrow(work, schema)
+    return own.mapInArrow(releasing(work), schema)
 
 
 def line_counts(made: DataFrame) -> DataFrame:
@@ -185,5 +185,5 @@ def clean(docs: DataFrame) -> DataFrame:
             arrays[text_at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    out = made.select(*(F.col(f"c_{c}").alias(c) for c in columns), "_at").mapInArrow(work, schema)
+    out = made.select(*(F.col(f"c_{c}").alias(c) for c in columns), "_at").mapInArrow(releasing(work), schema)
     return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in columns else out

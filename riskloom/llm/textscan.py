@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,3 +87,20 @@ def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
 def per_row(rows: np.ndarray, count: int, weights: np.ndarray | None = None) -> np.ndarray:
     """Sums (or counts) of span values for each of ``count`` rows."""
     return np.bincount(rows, weights=weights, minlength=count).astype(np.int64)
+
+
+def releasing(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work``, after which a task gives its free memory back to the machine. Workers live on
+    from stage to stage, and what they keep would count against each later one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass  # another C library
+
+    return run

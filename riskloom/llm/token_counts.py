@@ -25,7 +25,8 @@ def count_tokens(
     a task texts are gathered into batches of equal bytes, and texts longer than a batch
     are cut where no token can reach across; only lengths leave the task. A null text
     counts as empty and has 0 tokens; a null id stays null; repeated rows are counted
-    each; further columns are left behind, so their names can't clash.
+    each; further columns are left behind, so their names can't clash. An empty table
+    gives no row.
     """
     schema = f"`{id_col}` long, n_bytes long, n_tokens long, over_limit boolean"
     piece_model = vocabulary.endswith(".model")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.store import Scratch
-from riskloom.llm.textscan import LOWER, hash_spans, mix, row_slices, spans, text_bytes
+from riskloom.llm.textscan import LOWER, hash_spans, mix, releasing, row_slices, spans, text_bytes
 
 #: Labelled rows that the weights are fitted on, at most (about: they are drawn by a hash of
 #: the id, so that the share fits the bound). Features are chosen by counts over all of them.
@@ -115,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         at = np.flatnonzero(sums.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), *(pa.array(np.append(sums[s][at], seen[s]).astype(np.int64)) for s in (0, 1))], names=["bucket", "clean", "toxic"])
 
-    counts = texts.select("toxic", "text").mapInArrow(count, "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = texts.select("toxic", "text").mapInArrow(releasing(count), "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counts = scratch.write(counts.filter(f"bucket < 0 or clean + toxic >= {MIN_TEXTS}"), "counts")
     whole = counts.filter("bucket < 0").first()
     if whole is None or not whole["clean"] or not whole["toxic"]:
@@ -144,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
                 lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(v.astype(np.int32))) for v in (sentence, feature)]
                 yield pa.RecordBatch.from_arrays([pa.array(toxic[x["first"] : x["first"] + x["rows"]]), pa.array(plain), *lists], names=["toxic", "sentences", "at", "features"])
 
-    made = drawn.mapInArrow(reduce, "toxic boolean, sentences long, at array<int>, features array<int>").toArrow()
+    made = drawn.mapInArrow(releasing(reduce), "toxic boolean, sentences long, at array<int>, features array<int>").toArrow()
     places.unpersist()
     return learn(made, chosen)
 
@@ -226,7 +226,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, carry: tu
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").alias("_text"), *(F.col(c).alias(f"c_{c}") for c in carry))
-    return rows.mapInArrow(work, schema + "".join(f", `c_{c}` {kinds[c]}" for c in carry))
+    return rows.mapInArrow(releasing(work), schema + "".join(f", `c_{c}` {kinds[c]}" for c in carry))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
