@@ -1,7 +1,8 @@
 """From raw documents to packed sequences: quality rules, toxicity, near-duplicates, packing.
 
 Each stage takes (spark, docs, sf_dir), works on all rows that the one before it kept, and
-returns the columns of ``documents``; the last returns the packed pieces.
+returns the columns of ``documents``; the last returns the packed pieces. Other columns of the table go along, whatever their names; an empty
+table gives no row.
 """
 
 from __future__ import annotations
@@ -17,19 +18,22 @@ SHINGLE_WORDS, PERCENT = 5, 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail the rules or are depleted, and common lines of the others."""
+    """Drops documents that fail the rules or are depleted, and common lines of the others.
+
+    Null and empty texts fail the rules; rows with a null or repeated doc_id are judged each."""
     find_package(spark)
     return quality.clean(docs)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that score as toxic."""
+    """Drops documents that score as toxic; without labels to learn from all stay."""
     find_package(spark)
     return toxicity.clean(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates."""
+    """Keeps one document of each group of near-duplicates. Rows with a null doc_id all stay,
+    and of a repeated doc_id one row of each text."""
     find_package(spark)
     return neardup.clean(docs, SHINGLE_WORDS, PERCENT)
 
