@@ -23,9 +23,11 @@ from riskloom.operators.limits import riskiest_rows
 from riskloom.operators.metrics import evaluate
 from riskloom.operators.split import temporal_split
 from riskloom.operators.thresholds import configured_table, lowest_cost_row
-from riskloom.plans.scoring import PREDICTION_COLUMNS, ScoringService
+from riskloom.plans.scoring import PREDICTION_COLUMNS, ScoringService, save_model
 from riskloom.plans.training import SCORE, choose_threshold, compare_models, score_later_splits
+from riskloom.roles import feature_groups
 from riskloom.session import ensure_checkpoint_dir, join_path, pin
+from riskloom.streaming.scoring import record_stream, scored_records, start_scoring
 
 _GAP_AMOUNT = "CASE WHEN event_id % 19 <> 0 THEN value END"
 
@@ -113,12 +115,20 @@ def _scored(spark, sf_dir, model_name: str) -> tuple[stages.FittedModel, DataFra
     return model, score_later_splits(splits, model, cfg)
 
 
+_EVALUATED: dict[tuple[str, str, str], list] = {}
+
+
 def _evaluated(spark, sf_dir, model_name: str) -> DataFrame:
-    _, scored = _scored(spark, sf_dir, model_name)
-    threshold, _ = choose_threshold(
-        configured_table(scored, CFG, CFG.target, SCORE), scored, CFG
-    )
-    return evaluate(scored, CFG.target, SCORE, threshold, CFG.beta, CFG.limits, ("split",))
+    """Two rows of metrics; each model is fitted once per session and folder."""
+    key = spark.sparkContext.applicationId, sf_dir, model_name
+    if key not in _EVALUATED:
+        _, scored = _scored(spark, sf_dir, model_name)
+        threshold, _ = choose_threshold(
+            configured_table(scored, CFG, CFG.target, SCORE), scored, CFG
+        )
+        found = evaluate(scored, CFG.target, SCORE, threshold, CFG.beta, CFG.limits, ("split",))
+        _EVALUATED[key] = [found.collect(), found.schema]
+    return spark.createDataFrame(*_EVALUATED[key])
 
 
 _MCC = "regexp_extract(props, '([0-9]+)', 1)"
@@ -280,21 +290,55 @@ def _(spark, sf_dir):
     )
 
 
-@query(
-    "logistic_regression_counts",
-    f"""WITH {TX_SQL}, {split_sql('tx')}
+_COUNTS_SQL = f"""WITH {TX_SQL}, {split_sql('tx')}
     SELECT split, count(*) AS n_rows, CAST(sum(is_fraud) AS BIGINT) AS positives
-    FROM parts WHERE split <> 'train' GROUP BY split""",
-)
-def _(spark, sf_dir):
-    found = _evaluated(spark, sf_dir, "logistic_regression")
+    FROM parts WHERE split <> 'train' GROUP BY split"""
+
+
+def _counts(found: DataFrame, *more: str) -> DataFrame:
     return found.select(
+        *more,
         "split",
         (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).cast("long").alias("n_rows"),
         (F.col("tp") + F.col("fn")).cast("long").alias("positives"),
     )
 
 
+@query("logistic_regression_counts", _COUNTS_SQL)
+def _(spark, sf_dir):
+    return _counts(_evaluated(spark, sf_dir, "logistic_regression"))
+
+
+@query("random_forest_counts", _COUNTS_SQL)
+def _(spark, sf_dir):
+    return _counts(_evaluated(spark, sf_dir, "random_forest"))
+
+
+@query("gradient_boosting_counts", _COUNTS_SQL)
+def _(spark, sf_dir):
+    return _counts(_evaluated(spark, sf_dir, "hist_gradient_boosting"))
+
+
+@query("compare_models_counts", f"SELECT * FROM (SELECT unnest(['logistic_regression', 'random_forest']) AS model), ({_COUNTS_SQL})")
+def _(spark, sf_dir):
+    return _counts(compare_models(_splits(spark, sf_dir), CFG), "model")
+
+
+@query(
+    "column_roles",
+    """SELECT column_name AS name, CASE WHEN column_name = 'ts' OR contains(column_name, '_id') THEN 'left out'
+      WHEN data_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT', 'BOOLEAN') THEN 'numeric' ELSE 'categorical' END AS role
+    FROM information_schema.columns WHERE table_name = 'events'""",
+)
+def _(spark, sf_dir):
+    """What becomes of each column of the events as a model input."""
+    events = table(spark, sf_dir, "events").withColumnRenamed("ts", "date")
+    groups = feature_groups(events.schema, CFG)
+    role = {**dict.fromkeys(groups.numeric, "numeric"), **dict.fromkeys(groups.categorical, "categorical")}
+    rows = [("ts" if c == "date" else c, role.get(c, "left out")) for c in events.columns]
+    return spark.createDataFrame(rows, "name string, role string")
+
+
 @query("predict_records")
 def _(spark, sf_dir):
     """Records as JSON text in, the three prediction columns out."""
@@ -304,6 +348,44 @@ def _(spark, sf_dir):
     return _service(spark, sf_dir).predict_frame(parsed).select(*PREDICTION_COLUMNS)
 
 
+@query(
+    "predict_records_rows",
+    """SELECT count(*) AS n_rows, count(*) AS scores_in_range, count(*) AS decisions_follow FROM events""",
+)
+def _(spark, sf_dir):
+    """A record each, as JSON text: only the three prediction columns come back."""
+    records = _raw(spark, sf_dir).drop("_source_pos")
+    text = records.select(F.to_json(F.struct(*records.columns)).alias("json"))
+    parsed = text.select(F.from_json("json", records.schema).alias("r")).select("r.*")
+    out = _service(spark, sf_dir).predict_frame(parsed).select(*PREDICTION_COLUMNS)
+    follows = F.col("is_fraud_predicted").cast("int") == (F.col("fraud_score") >= F.col("threshold")).cast("int")
+    return out.agg(F.count("*").alias("n_rows"), F.count_if(F.col("fraud_score").between(0, 1)).alias("scores_in_range"), F.count_if(follows).alias("decisions_follow"))
+
+
+def _saved(spark, sf_dir) -> ScoringService:
+    """The fitted service written to a folder and read again, its history in buckets."""
+    service = _service(spark, sf_dir)
+    path = join_path(ensure_checkpoint_dir(spark), f"model-{uuid4().hex}")
+    save_model(service.pipeline, service.metadata, spark, path)
+    return ScoringService.load(spark, path, {}, CFG)
+
+
+@query("saved_model_rows", _ROWS_SQL)
+def _(spark, sf_dir):
+    return _rows(_saved(spark, sf_dir).predict_frame(_raw(spark, sf_dir)))
+
+
+@query("stream_scored_rows", _ROWS_SQL)
+def _(spark, sf_dir):
+    """Records that arrive as JSON files, scored by a stream until none is left."""
+    folder = join_path(ensure_checkpoint_dir(spark), f"stream-{uuid4().hex}")
+    records = _raw(spark, sf_dir).drop("_source_pos")
+    records.write.json(join_path(folder, "in"))
+    arriving = record_stream(spark, join_path(folder, "in"), records.schema)
+    start_scoring(arriving, _service(spark, sf_dir), join_path(folder, "out"), join_path(folder, "state")).awaitTermination()
+    return _rows(scored_records(spark, join_path(folder, "out")))
+
+
 @query("predict_csv")
 def _(spark, sf_dir):
     """Transactions written as CSV, read back, scored and persisted with their scores."""

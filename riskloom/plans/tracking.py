@@ -290,8 +290,10 @@ def dense_ranks(
         *[F.col(k).alias(f"_r_{k}") for k in keys], (F.col("_one_before") + 1).alias(out)
     )
     same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in by]
-    ranked = df.join(ranks, [*same, F.col(value) == F.col(f"_r_{value}")], "left")
-    ranked = ranked.select(*df.columns, out)
+    known = df.filter(F.col(value).isNotNull()).join(ranks, [*same, F.col(value) == F.col(f"_r_{value}")], "left")
+    # Rows without a value are not joined, where they would all meet in one task.
+    missing = df.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast(ranks.schema[out].dataType))
+    ranked = known.select(*df.columns, out).unionByName(missing)
     # Missing values share the rank after the last one.
     sizes = distinct.groupBy(*[F.col(k).alias(f"_s_{k}") for k in by]).agg(
         F.count("*").alias("_n")
