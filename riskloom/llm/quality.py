@@ -185,5 +185,8 @@ def clean(docs: DataFrame) -> DataFrame:
             arrays[text_at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    out = made.select(*(F.col(f"c_{c}").alias(c) for c in columns), "_at").mapInArrow(releasing(work), schema)
+    places = "_at"
+    while places in columns:
+        places += "_"
+    out = made.select(*(F.col(f"c_{c}").alias(c) for c in columns), F.col("_at").alias(places)).mapInArrow(releasing(work), schema)
     return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in columns else out
