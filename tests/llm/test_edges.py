@@ -1,6 +1,4 @@
-"""Texts above one slice, columns with the operators' own names, and odd tables for the pipeline."""
-
-import zlib
+"""Columns with the operators' own names, and odd tables for the pipeline."""
 
 import numpy as np
 import pytest
@@ -10,10 +8,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from riskloom.llm import decontamination, fill_middle, licences, neardup, packing, pieces, quality, token_counts, toxicity, training_order
-from riskloom.llm.textscan import SLICE_BYTES
 
-from .test_filters import base_rules, some_words
-from .test_neardup import shingles
+from .test_filters import some_words
 
 MODEL, BYTES = path("piece_bpe_32k.model"), path("byte_bpe_50k.json")
 #: Names of columns that some operator adds.
@@ -65,30 +61,6 @@ def test_columns_with_the_operators_own_names(spark, clashing, documents):
         assert all(r[c] == f"own {c}" for r in made.collect() for c in OWN)
 
 
-def test_texts_above_one_slice(documents):
-    rng = np.random.default_rng(2)
-    words = some_words(rng, 5000).split()
-    long = "\n".join(" ".join(rng.choice(words, 12)) for _ in range(32_000)) + "\nUnder the MIT License"
-    assert len(long) > 1.05 * SLICE_BYTES
-    near = long.replace(long[:5], "other", 40)
-    rows = [(1, "short text before"), (2, long), (3, near), (4, "under the mit license " * 15), (5, "short text before")]
-    docs = documents(rows)
-    made = {r.doc_id: r for r in quality.quality_rules(docs).collect()}
-    for i, text in rows:
-        assert (made[i].n_words, made[i].word_chars, made[i].n_symbols, made[i].n_dup_lines, made[i].n_repeat_words, made[i].base_failed) == base_rules(text)
-    sets = {i: shingles(t, 2) for i, t in rows}
-    assert 100 * len(sets[2] & sets[3]) >= 80 * len(sets[2] | sets[3])
-    found = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs, 2).collect()}
-    assert found == {1: (len(sets[1]), 1), 2: (len(sets[2]), 2), 3: (len(sets[3]), 2), 4: (len(sets[4]), 4), 5: (len(sets[5]), 1)}
-    hits = {r.doc_id: r for r in licences.summary(licences.scan(docs)).collect()}
-    assert (hits[2].n_words, hits[2].n_base, hits[2].first_word) == (len(long.split()), 1, len(long.split()) - 4)
-    library = Tokenizer.from_file(BYTES)
-    ids = np.array([*library.encode(long, add_special_tokens=False).ids, 1], "<u4")
-    packed = sorted((r for r in packing.pack(docs, BYTES).collect() if r.doc_id == 2), key=lambda r: r.start)
-    assert sum(r.length for r in packed) == len(ids) == packed[0].doc_tokens
-    assert all(zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in packed)
-
-
 def run_pipeline(spark, folder, rows, labels, documents):
     docs = documents(rows).withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long"))
     docs.write.parquet(f"{folder}/documents.parquet")
