@@ -11,7 +11,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.config import RiskConfig
+from riskloom.config import RiskConfig, ScaleLimits
 from riskloom.models.encoder import FEATURES, TabularEncoderModel
 from riskloom.roles import LABEL, WEIGHT
 
@@ -81,6 +81,16 @@ def with_held_out_rows(vectors: DataFrame, estimator: Estimator, cfg: RiskConfig
     return vectors.withColumn(HELD_OUT, F.rand(cfg.seed) < HELD_OUT_SHARE) if watched else vectors
 
 
+def spread(vectors: DataFrame, rows: int, limits: ScaleLimits) -> DataFrame:
+    """Rows dealt to so many tasks that none fits on more than ``fit_rows_per_task`` of them.
+
+    Vectors are small when stored, so a scan gives them to few tasks; but a classifier keeps
+    more of each row, a forest two numbers per tree. Few rows stay as the scan gives them.
+    """
+    tasks = -(-rows // limits.fit_rows_per_task)
+    return vectors.repartition(tasks) if tasks > 1 else vectors
+
+
 BUILDERS: dict[str, Callable[[RiskConfig, int], Estimator]] = {
     "logistic_regression": _logistic_regression,
     "random_forest": _random_forest,

@@ -24,6 +24,7 @@ from riskloom.models.classifiers import (
     balanced_weight,
     class_counts,
     classifier,
+    spread,
     top_features,
     with_held_out_rows,
 )
@@ -192,7 +193,7 @@ def fit(train: DataFrame, cfg: RiskConfig, ready: PreparedTraining | None = None
     """Fit the configured classifier on clean training rows."""
     ready = ready or prepare(train, cfg)
     estimator = classifier(cfg, ready.rows)
-    model = estimator.fit(with_held_out_rows(ready.vectors, estimator, cfg))
+    model = estimator.fit(spread(with_held_out_rows(ready.vectors, estimator, cfg), ready.rows, cfg.limits))
     stages = [TransactionCleaner(cfg), ready.history, ready.encoder, model]
     return FittedModel(
         PipelineModel(stages),

@@ -199,3 +199,30 @@ def test_saved_pipeline_scores_raw_rows_alike(spark, twelve, tmp_path):
 def test_cleaner_stage_matches_clean(spark, twelve):
     stage = stages.TransactionCleaner(CFG)
     assert stage.transform(twelve).columns == clean(twelve, CFG).columns
+
+
+@pytest.mark.parametrize("name", ["logistic_regression", "random_forest"])
+def test_no_task_of_a_fit_holds_more_than_its_bound_of_rows(spark, twelve, name, monkeypatch):
+    """A stored table of few bytes is one partition, whatever its rows."""
+    cfg = CFG.with_(model_name=name, limits=ScaleLimits(fit_rows_per_task=3))
+    ready = stages.prepare(twelve, cfg)
+    assert ready.vectors.rdd.getNumPartitions() < 4
+    given = []
+
+    class Watched:
+        def hasParam(self, name):
+            return False
+
+        def fit(self, vectors):
+            given.append(vectors)
+            return classifiers.classifier(cfg, ready.rows).fit(vectors)
+
+    monkeypatch.setattr(stages, "classifier", lambda *_: Watched())
+    stages.fit(twelve, cfg, ready)
+    sizes = given[0].rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) == 4 and sum(sizes) == 12 and max(sizes) <= 4
+
+
+def test_few_training_rows_stay_as_they_are_stored(twelve):
+    vectors = twelve.select("amount")
+    assert classifiers.spread(vectors, 12, ScaleLimits()) is vectors
