@@ -15,8 +15,10 @@ from riskloom.session import ensure_checkpoint_dir, join_path
 from riskloom.sources import files, landing
 from riskloom.sources.json_files import read_json_records
 
-#: Members of one JSON document, which is written as one line of one file.
-DOCUMENT_MEMBERS = 500
+#: Members of one JSON document, which is written as one line of one file: the fewest, and the
+#: most. Between them there are about so many documents, a task writing a few of them.
+DOCUMENT_MEMBERS, MOST_MEMBERS = 500, 50_000
+DOCUMENTS, TASK_DOCUMENTS = 200, 8
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -63,10 +65,18 @@ def _(spark, sf_dir):
     return first_rows(_csv(spark, sf_dir), 2500, CFG.limits).select("id")
 
 
+def _members(rows: int) -> int:
+    """Members of a document: more in a large table, which else were written as ever more files."""
+    return min(MOST_MEMBERS, max(DOCUMENT_MEMBERS, -(-rows // DOCUMENTS)))
+
+
 def _documents(df: DataFrame, path: str, line) -> str:
-    """One JSON document per DOCUMENT_MEMBERS rows (id, ...), each a file in a folder of its own."""
-    number = F.floor(F.col("id") / DOCUMENT_MEMBERS).alias("document")
-    df.groupBy(number).agg(line.alias("value")).write.partitionBy("document").text(path)
+    """One JSON document per so many ids of the rows (id, ...), each a file in a folder of its own."""
+    rows = df.count()
+    members = _members(rows)
+    tasks = -(-rows // (members * TASK_DOCUMENTS)) or 1
+    dealt = df.withColumn("document", F.floor(F.col("id") / members)).repartition(tasks, "document")
+    dealt.groupBy("document").agg(line.alias("value")).write.partitionBy("document").text(path)
     return path
 
 

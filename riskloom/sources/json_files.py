@@ -3,7 +3,8 @@
 A file is cut at every comma. Which commas part two entries depends on what stands before them:
 whether a text is open there, and how many braces are. Each block of a file says what it does to
 that state, for a block that begins inside a text and for one that doesn't; one row per block
-then gives the state each of them really begins with.
+then gives the state each of them really begins with. A block is a run of at most
+``1 << BLOCK_BITS`` pieces that one task read, however large the file is.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from riskloom.session import pin
 from riskloom.sources.positions import with_source_position
 
 _BLOCK = ("_file", "_block")
+#: Bits of a piece's position that number it within its block.
+BLOCK_BITS = 16
+#: Bytes of the files whose pieces one task puts in order; a piece takes many times its length there.
+TASK_BYTES = 4 << 20
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -22,29 +27,43 @@ def _opened(text: Column) -> Column:
     """Braces and brackets that a text opens and doesn't close."""
 
     def count(letters: str) -> Column:
-        return F.length(F.regexp_replace(text, f"[^{letters}]", ""))
+        return F.length(text) - F.length(F.translate(text, letters, ""))
 
-    return count(r"\[{") - count(r"\]}")
+    return count("[{") - count("]}")
+
+
+def _tasks(text: DataFrame) -> int:
+    """Tasks for the pieces of a scan, by the bytes of its files."""
+    size = int(str(text._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return -(-size // TASK_BYTES) or 1
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
     """What stands between commas: value, place, whether it begins inside a text (``inside``), and
-    how many braces are open before (``depth``) and after it (``after``). Stored."""
+    how many braces are open before (``depth``) and after it (``after``). The texts are stored."""
     text = spark.read.option("lineSep", ",").text(path)
+    tasks = _tasks(text)
     if len(text.columns) > 1:  # folders by a column
         text = text.select("value")
-    place = {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")}
-    rows = with_source_position(text, place)
+    rows = with_source_position(text, file=_BLOCK[0])
+    rows = rows.withColumn(_BLOCK[1], F.shiftright(SOURCE_POS, BLOCK_BITS))
     # Escapes never reach over a comma, so what is left of a piece has only real quotes.
-    bare = F.regexp_replace("value", r"(?s)\\.", "")
+    escaped, quoted = F.col("value").contains("\\"), F.col("_bare").contains('"')
+    rows = rows.withColumn("_bare", F.when(escaped, F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value")))
     in_texts = r'(?s)"[^"]*("|$)'
+    # What lies outside texts, if the piece begins outside of one and if it begins inside.
     rows = rows.withColumns(
         {
-            "_quotes": F.length(bare) - F.length(F.replace(bare, F.lit('"'))),
-            "_d0": _opened(F.regexp_replace(bare, in_texts, "")),
-            "_d1": _opened(F.regexp_replace(F.concat(F.lit('"'), bare), in_texts, "")),
+            "_t0": F.when(quoted, F.regexp_replace("_bare", in_texts, "")).otherwise(F.col("_bare")),
+            "_t1": F.when(quoted, F.regexp_replace(F.concat(F.lit('"'), "_bare"), in_texts, "")).otherwise(""),
         }
     )
+    quotes = F.length("_bare") - F.length(F.translate(F.col("_bare"), '"', ""))
+    rows = rows.select(
+        *_BLOCK, SOURCE_POS, "value", quotes.alias("_quotes"),
+        _opened(F.col("_t0")).alias("_d0"), _opened(F.col("_t1")).alias("_d1"),
+    )
+    rows = rows.repartition(tasks, _BLOCK[1])
     in_block = Window.partitionBy(*_BLOCK).orderBy(SOURCE_POS).rowsBetween(*_BEFORE)
     odd = F.pmod(F.coalesce(F.sum("_quotes").over(in_block), F.lit(0)), F.lit(2))
     rows = rows.withColumn("_odd", odd)
@@ -64,7 +83,8 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     ends = ends.withColumn("_begins", start)
     own = F.when(F.col("_begins") == 0, F.col("t_c0")).otherwise(F.col("t_c1"))
     ends = ends.withColumn("_own", own).withColumn("_base", F.coalesce(F.sum("_own").over(earlier), F.lit(0)))
-    rows = rows.join(F.broadcast(ends.select(*_BLOCK, "_begins", "_base")), list(_BLOCK))
+    ends = pin(ends.select(*_BLOCK, "_begins", "_base"))
+    rows = rows.join(F.broadcast(ends), list(_BLOCK))
     outside = F.col("_begins") == 0
     depth = F.col("_base") + F.when(outside, F.col("_s0")).otherwise(F.col("_s1"))
     return rows.select(
@@ -85,7 +105,8 @@ def entries(spark: SparkSession, path: str, inner: str | None = None) -> DataFra
 
     With ``inner``, the members of the object under that key where a file has it at the top.
     """
-    rows = pin(pieces(spark, path))
+    rows = pieces(spark, path)
+    tasks = _tasks(spark.read.option("lineSep", ",").text(path))
     level, first = F.lit(1), rows.groupBy("_file").agg(F.min(SOURCE_POS).alias("_from"))
     opens = rf"{_OPENING}[\[{{]"
     if inner is not None:
@@ -111,19 +132,21 @@ def entries(spark: SparkSession, path: str, inner: str | None = None) -> DataFra
     is_first = F.col(SOURCE_POS) == F.col("_from")
     begins = is_first | (~F.col("inside") & (F.col("depth") == level))
     in_order = Window.partitionBy(*_BLOCK).orderBy(SOURCE_POS).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("value", F.when(is_first, cut).otherwise(F.col("value"))).withColumn(
-        "_nth", F.sum(begins.cast("long")).over(in_order)
-    )
+    rows = rows.select(
+        *_BLOCK, SOURCE_POS, "after", level.alias("_level"),
+        F.when(is_first, cut).otherwise(F.col("value")).alias("value"), begins.cast("long").alias("_begins"),
+    )
+    rows = rows.repartition(tasks, _BLOCK[1]).withColumn("_nth", F.sum("_begins").over(in_order))
     # The pieces of an entry come together within their block ...
     whole = F.array_sort(F.collect_list(F.struct(SOURCE_POS, "value")))
     parts = rows.groupBy(*_BLOCK, "_nth").agg(
         F.array_join(F.transform(whole, lambda p: p["value"]), ",").alias("text"),
         F.min(SOURCE_POS).alias(SOURCE_POS),
-        F.max_by(level - F.col("after"), SOURCE_POS).alias("_closed"),
+        F.max_by(F.col("_level") - F.col("after"), SOURCE_POS).alias("_closed"),
     )
     parts = pin(parts)
     # ... and what a block begins with belongs to the last entry before it: one row per block.
-    last = parts.groupBy(*_BLOCK).agg(F.max("_nth").alias("_last"))
+    last = pin(parts.groupBy(*_BLOCK).agg(F.max("_nth").alias("_last")))
     earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(*_BEFORE)
     opened = F.when(F.col("_last") > 0, F.struct(F.col("_block").alias("b"), F.col("_last").alias("n")))
     owner = last.select(*_BLOCK, F.last(opened, ignorenulls=True).over(earlier).alias("_owner"))
@@ -132,7 +155,10 @@ def entries(spark: SparkSession, path: str, inner: str | None = None) -> DataFra
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(SOURCE_POS, "text"))), lambda p: p["text"]), ",").alias("_rest"),
         F.max_by("_closed", SOURCE_POS).alias("_closed_there"),
     )
-    parts = parts.filter("_nth > 0").join(rest, [*_BLOCK, "_nth"], "left")
+    # Only the last entry of a block can go on; the others are not shuffled again.
+    parts = parts.filter("_nth > 0").join(F.broadcast(last), list(_BLOCK))
+    done = parts.filter("_nth < _last").withColumns({c: F.lit(None).cast(rest.schema[c].dataType) for c in ("_rest", "_closed_there")})
+    parts = done.unionByName(parts.filter("_nth = _last").join(rest, [*_BLOCK, "_nth"], "left"))
     text = F.concat_ws(",", "text", "_rest")
     closed = F.coalesce("_closed_there", "_closed")
     text = (

@@ -16,14 +16,16 @@ FILES_IN_PLAN = 256
 ROW_BITS = 33
 
 
-def with_source_position(df: DataFrame, more: Mapping[str, Column] | None = None) -> DataFrame:
+def with_source_position(df: DataFrame, more: Mapping[str, Column] | None = None, file: str | None = None) -> DataFrame:
     """Number the rows of a file scan in source order: by path, block and order in the block.
 
     The numbers of the blocks come from the file listing, so one scan does it, without a join
-    of rows or a shuffle. They leave gaps. ``more`` adds columns of the scan's metadata.
+    of rows or a shuffle. They leave gaps. ``more`` adds columns of the scan's metadata, ``file`` one with a number
+    that is the same for all rows of a file.
     """
     if len(df.inputFiles()) <= 1:
-        return df.select("*", *_named(more), F.monotonically_increasing_id().alias(SOURCE_POS))
+        only = {file: F.lit(0).cast("bigint")} if file else None
+        return df.select("*", *_named(more), *_named(only), F.monotonically_increasing_id().alias(SOURCE_POS))
     files, first, grain = _first_blocks(df)
     path = F.col("_metadata.file_path")
     # Local paths are spelled with one slash or three, by who tells them.
@@ -31,15 +33,19 @@ def with_source_position(df: DataFrame, more: Mapping[str, Column] | None = None
     block = F.floor(F.col("_metadata.file_block_start") / grain).cast("bigint")
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     if len(files) <= FILES_IN_PLAN:
-        position = F.shiftleft(_search(path, files, first) + block, ROW_BITS) + row
-        return df.select("*", *_named(more), position.alias(SOURCE_POS))
+        number = _search(path, files, first)
+        position = F.shiftleft(number + block, ROW_BITS) + row
+        return df.select("*", *_named(more), *_named({file: number} if file else None), position.alias(SOURCE_POS))
     listing = df.sparkSession.createDataFrame(list(zip(files, first)), "_listed string, _first bigint")
     tagged = df.select("*", *_named(more), path.alias("_path"), (F.shiftleft(block, ROW_BITS) + row).alias("_within"))
     position = F.shiftleft(F.col("_first"), ROW_BITS) + F.col("_within")
     joined = tagged.join(F.broadcast(listing), F.col("_path") == F.col("_listed"), "left")
     unknown = F.raise_error(F.concat(F.lit("not in the listing: "), F.col("_path"))).cast("bigint")
     position = F.coalesce(position, unknown)
-    return joined.withColumn(SOURCE_POS, position).drop("_path", "_within", "_listed", "_first")
+    joined = joined.withColumn(SOURCE_POS, position)
+    if file:
+        joined = joined.withColumn(file, F.col("_first"))
+    return joined.drop("_path", "_within", "_listed", "_first")
 
 
 def _named(more: Mapping[str, Column] | None) -> list[Column]:

@@ -4,7 +4,9 @@ import tracemalloc
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from catalog import sources as catalog_sources
 from riskloom.config import RiskConfig
 from riskloom.operators.enrich import first_labelled, labels_frame
 from riskloom.roles import SOURCE_POS
@@ -279,3 +281,28 @@ def test_quoted_line_breaks(spark, tmp_path):
     write(tmp_path, "t.csv", 'id,name\n1,"a\nb"\n2,c\n')
     rows = files.read_csv(spark, str(tmp_path / "t.csv"), multi_line=True).collect()
     assert [(r["id"], r["name"]) for r in rows] == [(1, "a\nb"), (2, "c")]
+
+
+@pytest.mark.parametrize("inner", [None, "target"])
+def test_one_file_is_put_together_in_short_runs(spark, tmp_path, monkeypatch, inner):
+    """Runs of two pieces, put in order by many tasks, though one task reads the file."""
+    monkeypatch.setattr(json_files, "BLOCK_BITS", 1)
+    monkeypatch.setattr(json_files, "TASK_BYTES", 200)
+    members = {f"k{i},{{": t for i, t in enumerate(ODD_TEXTS)} | {"deep": {"a": [1, {"b": ",,,,,"}, 2, 3, 4]}, "last": "x"}
+    write(tmp_path, "labels.json", json.dumps({"note": "x, }", "target": members} if inner else members))
+    pieces = json_files.pieces(spark, str(tmp_path / "labels.json"))
+    assert pieces.groupBy("_file", "_block").count().agg({"count": "max"}).first()[0] == 2
+    got = {r["key"]: r["value"] for r in json_files.read_members(spark, str(tmp_path / "labels.json"), inner).collect()}
+    assert {k: json.loads(v) if k == "deep" else v for k, v in got.items()} == members
+
+
+def test_a_larger_table_is_written_as_larger_documents(spark, tmp_path, monkeypatch):
+    assert [catalog_sources._members(n) for n in (0, 1000, 600_000, 36_000_000)] == [500, 500, 3000, 50_000]
+    monkeypatch.setattr(catalog_sources, "DOCUMENT_MEMBERS", 10)
+    monkeypatch.setattr(catalog_sources, "DOCUMENTS", 3)
+    rows = spark.range(90).withColumns({"key": F.col("id").cast("string"), "value": F.lit("No, {")})
+    document = F.to_json(F.map_from_entries(F.collect_list(F.struct("key", "value"))))
+    path = catalog_sources._documents(rows, str(tmp_path / "out"), document)
+    assert len([p for p in (tmp_path / "out").iterdir() if p.name.startswith("document=")]) == 3
+    got = files.read_json_object(spark, path).collect()
+    assert sorted(int(r["key"]) for r in got) == list(range(90)) and {r["value"] for r in got} == {"No, {"}
