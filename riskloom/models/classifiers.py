@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -91,6 +93,21 @@ def spread(vectors: DataFrame, rows: int, limits: ScaleLimits) -> DataFrame:
     return vectors.repartition(tasks) if tasks > 1 else vectors
 
 
+@contextmanager
+def kept_spread(vectors: DataFrame, rows: int, limits: ScaleLimits) -> Iterator[DataFrame]:
+    """``spread`` for the time of a fit: a classifier plans its input several times, before and
+    after the fit, so what was dealt lies on the executors' disks and is shuffled once."""
+    dealt = spread(vectors, rows, limits)
+    if dealt is vectors:
+        yield vectors
+        return
+    dealt.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield dealt
+    finally:
+        dealt.unpersist()
+
+
 BUILDERS: dict[str, Callable[[RiskConfig, int], Estimator]] = {
     "logistic_regression": _logistic_regression,
     "random_forest": _random_forest,

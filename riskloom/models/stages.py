@@ -24,7 +24,7 @@ from riskloom.models.classifiers import (
     balanced_weight,
     class_counts,
     classifier,
-    spread,
+    kept_spread,
     top_features,
     with_held_out_rows,
 )
@@ -33,10 +33,9 @@ from riskloom.operators.cleaning import clean
 from riskloom.operators.history import (
     BUCKET,
     FeatureHistory,
-    behaviour_features,
+    all_features,
     bucket_count,
     in_buckets,
-    row_features,
 )
 from riskloom.roles import LABEL, WEIGHT, Roles, feature_groups
 from riskloom.session import join_path, pin
@@ -83,11 +82,10 @@ class HistoryFeaturesModel(Model, MLWritable, MLReadable):
         # Roles are those of training; a column the input lacks plays none.
         fitted = json.loads(self.getOrDefault(self.roles))
         roles = Roles(**{k: v if v in dataset.columns else None for k, v in fitted.items()})
-        featured = row_features(dataset, roles)
         past = None
         if self.history is not None and roles.group and roles.time and roles.amount:
-            past = self.history.for_batch(featured, roles, limits)
-        return behaviour_features(featured, roles, limits, past)
+            past = self.history.for_batch(dataset, roles, limits)
+        return all_features(dataset, roles, limits, past)
 
     def write(self) -> MLWriter:
         return _HistoryWriter(self)
@@ -173,7 +171,7 @@ def prepare(train: DataFrame, cfg: RiskConfig) -> PreparedTraining:
     if roles.group and roles.time and roles.amount:
         history = FeatureHistory.of(train, roles)
         history = replace(history, compact=pin(history.compact))
-    featured = behaviour_features(row_features(train, roles), roles, cfg.limits)
+    featured = all_features(train, roles, cfg.limits)
     groups = feature_groups(featured.schema, cfg)
     featured = pin(featured.select(cfg.target, *groups.numeric, *groups.categorical))
     encoder = TabularEncoder(cfg).fit(featured)
@@ -193,7 +191,8 @@ def fit(train: DataFrame, cfg: RiskConfig, ready: PreparedTraining | None = None
     """Fit the configured classifier on clean training rows."""
     ready = ready or prepare(train, cfg)
     estimator = classifier(cfg, ready.rows)
-    model = estimator.fit(spread(with_held_out_rows(ready.vectors, estimator, cfg), ready.rows, cfg.limits))
+    with kept_spread(with_held_out_rows(ready.vectors, estimator, cfg), ready.rows, cfg.limits) as rows:
+        model = estimator.fit(rows)
     stages = [TransactionCleaner(cfg), ready.history, ready.encoder, model]
     return FittedModel(
         PipelineModel(stages),

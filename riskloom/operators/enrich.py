@@ -11,6 +11,7 @@ from riskloom.config import RiskConfig, ScaleLimits
 from riskloom.functions.cleaning import label_flag
 from riskloom.operators.cleaning import first_per_key
 from riskloom.roles import MATCH_POS, SOURCE_POS, first_present, normalize_headers
+from riskloom.session import pin
 
 
 # Key columns of the dimensions, first match wins.
@@ -225,6 +226,9 @@ def enrich(
             columns += [c for c in found[0].columns if c != "_dim_key"]
     wide = tx
     if first_match and row_key is not None and not all(small for *_, small in sides):
+        if row_key == SOURCE_POS:
+            # Read twice below, and a position may be no more than a row's place in a scan.
+            wide = tx = pin(tx)
         keys = dict.fromkeys(k for _, k, _ in sides if k in tx.columns)
         resolved = tx.select(F.col(row_key).alias("_row_key"), *keys)
         for side, tx_key, small in sides:

@@ -44,6 +44,20 @@ def row_features(df: DataFrame, roles: Roles) -> DataFrame:
     return df.withColumns(columns) if columns else df
 
 
+def all_features(
+    current: DataFrame, roles: Roles, limits: ScaleLimits, history: DataFrame | None = None
+) -> DataFrame:
+    """``row_features`` and ``behaviour_features``, in this order of columns.
+
+    The look-back comes first, so what each row tells by itself, and all the more for rows of
+    the history, is not carried through its shuffle and sort.
+    """
+    looked_back = behaviour_features(current, roles, limits, history)
+    own = row_features(current, roles).columns
+    names = [*own, *[c for c in looked_back.columns if c not in own]]
+    return row_features(looked_back, roles).select(*[f"`{n}`" for n in names])
+
+
 @dataclass(frozen=True)
 class FeatureHistory:
     """Training rows that later rows may look back at.

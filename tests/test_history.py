@@ -13,9 +13,11 @@ from riskloom.operators.history import (
     BEHAVIOUR_COLUMNS,
     LOOKBACK,
     FeatureHistory,
+    all_features,
     behaviour_features,
     bucket_of,
     history_rows,
+    row_features,
 )
 from riskloom.roles import SOURCE_POS, Roles
 
@@ -187,3 +189,14 @@ def test_hot_groups_are_cut_into_bounded_windows(spark):
     cut = H._with_slices(events, hot, ROLES, limits)
     largest = cut.groupBy("card_id", H._SLICE, H._TIE).count().agg(F.max("count")).first()[0]
     assert largest <= 2.5 * limits.hot_group_rows + H.LOOKBACK
+
+
+def test_row_features_are_not_carried_through_the_look_back(spark):
+    rng = np.random.default_rng(8)
+    past, now = (to_spark(spark, table(rng, 60, first_pos=n)) for n in (0, 100))
+    got = all_features(now, ROLES, ScaleLimits(), history_rows(past, ROLES))
+    want = behaviour_features(row_features(now, ROLES), ROLES, ScaleLimits(), history_rows(past, ROLES))
+    assert got.columns == want.columns and got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    below = got._jdf.queryExecution().optimizedPlan().toString().split("Window [", 1)[1]
+    assert "amount_log1p" not in below and "amount_log1p" in got.columns

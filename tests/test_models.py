@@ -226,3 +226,23 @@ def test_no_task_of_a_fit_holds_more_than_its_bound_of_rows(spark, twelve, name,
 def test_few_training_rows_stay_as_they_are_stored(twelve):
     vectors = twelve.select("amount")
     assert classifiers.spread(vectors, 12, ScaleLimits()) is vectors
+
+
+def test_dealt_rows_are_kept_for_the_time_of_a_fit(twelve, monkeypatch):
+    """The classifier plans its input several times; each time would shuffle all rows again."""
+    cfg = CFG.with_(limits=ScaleLimits(fit_rows_per_task=3))
+    ready = stages.prepare(twelve, cfg)
+    given = []
+
+    class Watched:
+        def hasParam(self, name):
+            return False
+
+        def fit(self, vectors):
+            given.append((vectors, vectors.storageLevel.useDisk))
+            return classifiers.classifier(cfg, ready.rows).fit(vectors)
+
+    monkeypatch.setattr(stages, "classifier", lambda *_: Watched())
+    stages.fit(twelve, cfg, ready)
+    [(vectors, kept)] = given
+    assert kept and not vectors.storageLevel.useDisk

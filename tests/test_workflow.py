@@ -147,6 +147,32 @@ def test_every_input_row_gets_a_score(spark, raw, service, with_id):
             assert [got[i]["amount"] for i in range(6)] == [r[2] for r in rows]
 
 
+@pytest.mark.parametrize("broadcast_rows, stored", [(200_000, 1), (0, 2)])
+def test_scored_rows_are_stored_once(spark, raw, service, monkeypatch, broadcast_rows, stored):
+    """Only dimensions beyond a broadcast read the rows twice, and the scores are the same."""
+    from riskloom.config import ScaleLimits
+    from riskloom.operators import enrich
+    from riskloom.plans import scoring
+    from riskloom.roles import ORIGINAL
+
+    wide = []
+
+    def watched(df, *args):
+        wide.extend([ORIGINAL] if ORIGINAL in df.columns else [])
+        return pin(df, *args)
+
+    pin = scoring.pin
+    monkeypatch.setattr(scoring, "pin", watched)
+    monkeypatch.setattr(enrich, "pin", watched, raising=False)
+    cfg = CFG.with_(limits=ScaleLimits(broadcast_rows=broadcast_rows))
+    one = ScoringService(service.pipeline, service.metadata, service.dimensions, cfg)
+    frame = raw[0]["transactions"].drop(SOURCE_POS)
+    scored = {r["id"]: r["fraud_score"] for r in one.predict_frame(frame).collect()}
+    assert len(wide) == stored and len(scored) == ROWS
+    plain = {r["id"]: r["fraud_score"] for r in service.predict_frame(raw[0]["transactions"]).collect()}
+    assert scored == pytest.approx(plain)
+
+
 def test_a_run_leaves_nothing_pinned(spark, raw, tmp_path, monkeypatch):
     from riskloom import session
 
