@@ -29,6 +29,7 @@ from riskloom.models.classifiers import (
     with_held_out_rows,
 )
 from riskloom.models.encoder import FEATURES, TabularEncoder, TabularEncoderModel
+from riskloom.models.forest import fit_forest, fits
 from riskloom.operators.cleaning import clean
 from riskloom.operators.history import (
     BUCKET,
@@ -190,9 +191,12 @@ def prepare(train: DataFrame, cfg: RiskConfig) -> PreparedTraining:
 def fit(train: DataFrame, cfg: RiskConfig, ready: PreparedTraining | None = None) -> FittedModel:
     """Fit the configured classifier on clean training rows."""
     ready = ready or prepare(train, cfg)
-    estimator = classifier(cfg, ready.rows)
-    with kept_spread(with_held_out_rows(ready.vectors, estimator, cfg), ready.rows, cfg.limits) as rows:
-        model = estimator.fit(rows)
+    if cfg.model_name == "random_forest" and fits(ready.counts, ready.encoder, cfg.limits):
+        model = fit_forest(ready.vectors, ready.counts, ready.encoder, cfg.seed, cfg.limits)
+    else:
+        estimator = classifier(cfg, ready.rows)
+        with kept_spread(with_held_out_rows(ready.vectors, estimator, cfg), ready.rows, cfg.limits) as rows:
+            model = estimator.fit(rows)
     stages = [TransactionCleaner(cfg), ready.history, ready.encoder, model]
     return FittedModel(
         PipelineModel(stages),
