@@ -61,9 +61,9 @@ class Layout(NamedTuple):
         """The numbers, and per block the place of its set entry from 1, or 0."""
         entries, at, places = vector_to_array(features), self.numbers, []
         for width in self.widths:
-            places.append(F.array_position(F.slice("_e", at + 1, width), 1.0).cast("int"))
+            places.append(F.array_position(F.slice("_forest_entries", at + 1, width), 1.0).cast("int"))
             at += width
-        return [entries.alias("_e"), F.slice("_e", 1, self.numbers).alias("_x"), F.array(*places).cast("array<int>").alias("_p")]
+        return [entries.alias("_forest_entries"), F.slice("_forest_entries", 1, self.numbers).alias("_forest_numbers"), F.array(*places).cast("array<int>").alias("_forest_places")]
 
     def split_of(self, feature: np.ndarray, bin_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(column, base, span): a row goes right if its value less base, wrapped, is below span."""
@@ -299,7 +299,7 @@ def bin_edges(vectors: DataFrame, layout: Layout) -> list[np.ndarray]:
     entries, x, _ = layout.columns(FEATURES)
     rows = vectors.select(entries).select(x)
     grid = [i / QUANTILES for i in range(QUANTILES + 1)]
-    asked = [F.percentile_approx(F.get("_x", i), grid, 10_000).alias(f"q{i}") for i in range(layout.numbers)]
+    asked = [F.percentile_approx(F.get("_forest_numbers", i), grid, 10_000).alias(f"q{i}") for i in range(layout.numbers)]
     edges = []
     for values in rows.agg(*asked).first():
         own = np.unique(values)
@@ -451,8 +451,8 @@ class ForestModel(Model, MLWritable, MLReadable):
         entries, x, p = layout.columns(FEATURES)
         names = [*dataset.columns]
         inputs = dataset.select("*", entries).select(*[f"`{n}`" for n in names], x, p)
-        scored = inputs.withColumn("_share", share("_x", "_p"))
-        one, other = F.col("_share"), 1 - F.col("_share")
+        scored = inputs.withColumn("_forest_share", share("_forest_numbers", "_forest_places"))
+        one, other = F.col("_forest_share"), 1 - F.col("_forest_share")
         return scored.select(
             *[f"`{n}`" for n in names],
             array_to_vector(F.array(other * len(self.trees), one * len(self.trees))).alias("rawPrediction"),

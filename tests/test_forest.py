@@ -147,5 +147,5 @@ def test_places_and_numbers_of_a_vector(spark):
     more = rows.unionByName(spark.createDataFrame([(9.0, "unseen")], rows.schema))
     entries, x, p = layout.columns("features")
     got = encoder.transform(more).select(entries).select(x, p).collect()
-    assert [r["_p"] for r in got] == [[1], [2], [2], [2], [0]]
-    assert [len(r["_x"]) for r in got] == [1] * 5
+    assert [r["_forest_places"] for r in got] == [[1], [2], [2], [2], [0]]
+    assert [len(r["_forest_numbers"]) for r in got] == [1] * 5
